@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from almanac.functions import keys, text
+from almanac.models import classifiers, forest
 from almanac.operators import indexing, joins, metrics, reshape, routing, runlog, scaling, splits
+from almanac.plans import digits, weather
 from almanac.plans.inputs import daily, observations, runs, table, vectors
+from almanac.sinks import tables
+from almanac.sinks.files import write_csv
+from almanac.sources import files
+from almanac.staging import new_folder
+from almanac.streaming.listener import deliver, listen
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +31,9 @@ RANDOM_BRANCHES = ("branch_a", "branch_b", "branch_c", "branch_d")
 # Width of the vectors in the embeddings table.
 WIDTH = 64
 
+# Labels in the embeddings table run from 0 to CLASSES - 1.
+CLASSES = 10
+
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
@@ -293,3 +304,129 @@ def compare_predictors(spark, sf):
     labels = table(spark, sf, "labels")
     tall = metrics.tall_predictions(labels, {"parity": F.col("doc_id") % 2, "one": F.lit(1)})
     return metrics.compare_predictors(tall, "quality")
+
+
+# --- files and tables ---------------------------------------------------------------------
+
+
+@query
+def file_inventory(spark, sf):
+    return files.file_inventory(spark, sf)
+
+
+@query
+def station_csv(spark, sf):
+    """Observations through headerless gzip files and back."""
+    folder = new_folder(spark, "station-csv")
+    write_csv(observations(spark, sf), folder, header=False, compression="gzip")
+    return files.read_station_csv(spark, folder)
+
+
+@query
+def typed_csv(spark, sf):
+    """Observations through files with a header and back."""
+    folder = new_folder(spark, "typed-csv")
+    write_csv(observations(spark, sf), folder)
+    return files.read_typed_csv(spark, folder)
+
+
+@query
+def indexed_csv(spark, sf):
+    """Orders written with a leading row number and read back."""
+    folder = new_folder(spark, "indexed-csv")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    write_csv(orders, folder, index_by=["o_orderkey"])
+    fields = [T.StructField("idx", T.LongType()), *orders.schema.fields]
+    return files.read_typed_csv(spark, folder, T.StructType(fields))
+
+
+@query
+def matrix_csv(spark, sf):
+    """Vectors through wide numeric files and back; id and label stay key columns."""
+    folder = new_folder(spark, "matrix-csv")
+    samples = vectors(spark, sf).select("id", "label", "features")
+    write_csv(reshape.array_to_columns(samples, "features", WIDTH), folder)
+    return files.read_matrix_csv(spark, folder, WIDTH, samples.select("id", "label").schema)
+
+
+@query
+def not_null_violations(spark, sf):
+    orders, events = table(spark, sf, "orders"), table(spark, sf, "events")
+    messages = events.select("event_id", F.get_json_object("props", "$.message").alias("message"))
+    return tables.null_violations(orders, orders.columns, "orders").unionByName(
+        tables.null_violations(messages, messages.columns, "messages")
+    )
+
+
+@query
+def append_rows(spark, sf):
+    """Create a NOT NULL table twice, append one row per event, read it back."""
+    folder = new_folder(spark, "sink-table")
+    name = "almanac_" + folder.rsplit("-", 1)[-1]
+    tables.create_table(spark, name, location=folder)
+    tables.create_table(spark, name, location=folder)
+    rows = table(spark, sf, "events").select(
+        keys.surrogate_key("event_id").alias("custom_id"),
+        F.col("ts").alias("timestamp"),
+        keys.user_token("event_id").alias("user_id"),
+    )
+    tables.append_rows(rows, name, required=rows.columns)
+    return spark.table(name)
+
+
+@query
+def directory_listener(spark, sf):
+    """Events dropped as JSON files into a directory and picked up by a stream."""
+    inbox, sink = new_folder(spark, "inbox"), new_folder(spark, "listened")
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    events.write.json(inbox)
+    stream = listen(
+        spark, inbox, new_folder(spark, "archive"), events.schema, "json", files_per_trigger=1000
+    )
+    deliver(stream.drop("file_name"), sink, every=None).awaitTermination()
+    return spark.read.schema(events.schema).parquet(sink)
+
+
+# --- fitted models ------------------------------------------------------------------------
+
+
+@query
+def forest_forecast(spark, sf):
+    """Forecasts for the held-out quarter of the observations."""
+    return weather.forecast(observations(spark, sf))
+
+
+@query
+def forest_validation(spark, sf):
+    return metrics.regression_metrics(forest_forecast(spark, sf), "tmax", "prediction")
+
+
+@query
+def forest_forecast_lagged(spark, sf):
+    """The same with yesterday's value in place of the season."""
+    lagged = joins.yesterday_join(observations(spark, sf))
+    return weather.forecast(lagged, forest.LAG_FEATURES)
+
+
+@query
+def l1_classifier(spark, sf):
+    return digits.classify(vectors(spark, sf), classifiers.l1_logistic())
+
+
+@query
+def linear_svc_classifier(spark, sf):
+    return digits.classify(vectors(spark, sf), classifiers.linear_svc())
+
+
+@query
+def mlp_classifier(spark, sf):
+    return digits.classify(vectors(spark, sf), classifiers.perceptron([WIDTH, 16, CLASSES]))
+
+
+@query
+def score_models(spark, sf):
+    return digits.compare_saved(
+        vectors(spark, sf),
+        {"l1_logistic": classifiers.l1_logistic(), "linear_svc": classifiers.linear_svc()},
+        new_folder(spark, "models"),
+    )

@@ -34,6 +34,12 @@ _POSITIONS = """(
            count(*) OVER () AS n
     FROM embeddings)"""
 
+_OBSERVATIONS = f"""
+    SELECT CAST(station AS VARCHAR) AS station, date, CAST(c_nationkey AS FLOAT) AS latitude,
+           CAST(length(c_mktsegment) AS FLOAT) AS longitude, CAST(c_acctbal AS FLOAT) AS elevation,
+           CAST(tmax AS FLOAT) AS tmax
+    FROM {_DAILY} d JOIN customer c ON d.station = c.c_custkey"""
+
 ORACLE: dict[str, str] = {
     "daily_max": f"SELECT * FROM {_DAILY}",
     "day_of_year_features": f"""
@@ -160,4 +166,24 @@ ORACLE: dict[str, str] = {
         FROM (SELECT 'parity' AS model, doc_id % 2 AS pred, quality FROM labels
               UNION ALL SELECT 'one', 1, quality FROM labels)
         GROUP BY model""",
+    "station_csv": _OBSERVATIONS,
+    "typed_csv": _OBSERVATIONS,
+    "indexed_csv": """
+        SELECT CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS idx, o_orderkey, o_totalprice
+        FROM orders""",
+    "matrix_csv": """
+        SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS features FROM embeddings""",
+    "not_null_violations": "\n        UNION ALL ".join(
+        f"SELECT 'orders' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS violations FROM orders"
+        for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    )
+    + """
+        UNION ALL SELECT 'messages', 'event_id', count(*) - count(event_id) FROM events
+        UNION ALL SELECT 'messages', 'message', count(*) - count(json_extract_string(props, '$.message'))
+        FROM events""",
+    "append_rows": f"""
+        SELECT CAST({_hex('md5(CAST(event_id AS VARCHAR))', 8)} % 123456789 AS INT) AS custom_id,
+               ts AS timestamp, substr(md5(CAST(event_id AS VARCHAR)), 1, 10) AS user_id
+        FROM events""",
+    "directory_listener": "SELECT event_id, user_id, event_type, value FROM events",
 }
