@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.models.caching import cached
+from almanac.models.hinge import L1Hinge, L1HingeModel
 from almanac.operators import metrics
 
 # With C = 50 / n the penalty 1 / (C * n) is 0.02 for every n.
@@ -52,9 +53,18 @@ def l1_logistic(penalty: float = L1_PENALTY, tol: float = TOLERANCE) -> Estimato
     )
 
 
-def linear_svc(penalty: float = L1_PENALTY, tol: float = TOLERANCE, parallelism: int = 4) -> Estimator:
-    """One hinge-loss classifier per class; Spark's has an L2 penalty only."""
-    single = LinearSVC(featuresCol="scaled", regParam=penalty, standardization=False, tol=tol)
+def l1_hinge(classes: int, penalty: float = L1_PENALTY, tol: float = TOLERANCE) -> Estimator:
+    """Hinge loss with a pure L1 penalty on scaled features, one weight row per class."""
+    return L1Hinge(numClasses=classes, featuresCol="scaled", labelCol="label", regParam=penalty, tol=tol)
+
+
+def linear_svc(
+    penalty: float = L1_PENALTY, tol: float = TOLERANCE, max_iter: int = 5, parallelism: int = 4
+) -> Estimator:
+    """One hinge-loss classifier per class with an L2 penalty, Spark's own."""
+    single = LinearSVC(
+        featuresCol="scaled", regParam=penalty, standardization=False, tol=tol, maxIter=max_iter
+    )
     return OneVsRest(classifier=single, featuresCol="scaled", labelCol="label", parallelism=parallelism)
 
 
@@ -115,6 +125,8 @@ def _weight_rows(model: PipelineModel) -> Iterator[Sequence[float]]:
     fitted = model.stages[-1]
     if isinstance(fitted, OneVsRestModel):
         return (single.coefficients.toArray() for single in fitted.models)
+    if isinstance(fitted, L1HingeModel):
+        return iter(fitted.coefficient_rows)
     if hasattr(fitted, "coefficientMatrix"):
         return iter(fitted.coefficientMatrix.toArray())
     return iter(())

@@ -17,10 +17,12 @@ def yesterday_join(
     ``lag`` would do.  Both keys are hashed, so a station with most of the rows is
     spread over its days; ``daily`` should hold one row per station and day.
     """
-    before = daily.select(
-        station, F.date_add(day, 1).alias(day), F.col(value).alias(f"yesterday_{value}")
-    )
-    return daily.join(before, [station, day])
+    # Stating the join's NULL checks here makes both sides the same plan, so that
+    # one shuffle of ``daily`` serves both.
+    next_day = F.date_add(day, 1)
+    known = daily.where(F.col(station).isNotNull() & F.col(day).isNotNull() & next_day.isNotNull())
+    before = known.select(station, next_day.alias(day), F.col(value).alias(f"yesterday_{value}"))
+    return known.join(before, [station, day])
 
 
 def align_on_key(features: DataFrame, labels: DataFrame, key: str) -> DataFrame:
@@ -29,30 +31,27 @@ def align_on_key(features: DataFrame, labels: DataFrame, key: str) -> DataFrame:
 
 
 def join_heavy_keys(
-    rows: DataFrame, per_key: DataFrame, key: str, row_id: Sequence[str], count: str, pieces: int = 4096
+    rows: DataFrame, per_key: DataFrame, key: str, row_id: Sequence[str], pieces: int = 4096
 ) -> DataFrame:
-    """Left-join many rows to a one-row-per-key table when few keys hold most rows.
+    """Left-join many rows to a one-row-per-key table when few keys may hold most rows.
 
-    ``per_key`` carries each key's row count in ``count``.  Keys above
-    ``total / pieces`` rows, of which there are fewer than ``pieces``, are cut into
-    salted pieces of about that size; all other keys join as they are.  The salt is
-    a hash of the row's id, so a retried task makes the same one.
+    Keys with more than ``total / pieces`` rows, of which there are fewer than
+    ``pieces``, are cut into salted pieces of about that size; all other keys join as
+    they are.  The salt is a hash of the row's id, so a retried task makes the same
+    one.  A NULL key is a key like any other.
     """
-    total = per_key.agg(F.sum(count)).scalar()
-    heavy = F.broadcast(
-        per_key.where(F.col(count) * pieces > total).select(
-            key, F.ceil(F.col(count) * pieces / total).cast("int").alias("__pieces")
-        )
-    )
-    many = F.coalesce("__pieces", F.lit(1))
-    salted = (
-        rows.join(heavy, key, "left")
-        .withColumn("__salt", F.pmod(F.xxhash64(*row_id), many).cast("int"))
-        .drop("__pieces")
-    )
-    copies = (
-        per_key.join(heavy, key, "left")
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), many - 1)))
-        .drop("__pieces", count)
+    counts = rows.groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("__rows"))
+    share = F.col("__rows") * pieces / counts.agg(F.sum("__rows")).scalar()
+    heavy = F.broadcast(counts.where(share > 1).select("__key", F.ceil(share).cast("int").alias("__pieces")))
+
+    def with_pieces(df: DataFrame) -> DataFrame:
+        joined = df.join(heavy, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
+        return joined.withColumn("__pieces", F.coalesce("__pieces", F.lit(1)))
+
+    salted = with_pieces(rows).withColumn("__salt", F.pmod(F.xxhash64(*row_id), "__pieces").cast("int"))
+    copies = with_pieces(per_key).withColumn(
+        "__copy", F.explode(F.sequence(F.lit(0), F.col("__pieces") - 1))
     )
-    return salted.join(copies, [key, "__salt"], "left").drop("__salt")
+    copies = copies.drop("__pieces").withColumnRenamed(key, "__key")
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__salt") == F.col("__copy"))
+    return salted.join(copies, same, "left").drop("__key", "__copy", "__salt", "__pieces")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.functions.text import ds, ds_add
@@ -37,12 +38,10 @@ def depends_on_past(
     key joined back to the runs; no task ever sorts the whole history of a key.
     """
     place = F.struct(*order_by)
-    history = runs.groupBy(key).agg(
-        F.min(F.when(F.col(state) == FAILED, place)).alias("__first_failure"),
-        F.count("*").alias("__runs"),
-    )
-    joined = join_heavy_keys(runs, history, key, order_by, "__runs")
+    failures = runs.where(F.col(state) == FAILED)
+    history = failures.groupBy(key).agg(F.min(place).alias("__first_failure"))
     eligible = F.col("__first_failure").isNull() | (place <= F.col("__first_failure"))
+    joined = join_heavy_keys(runs, history, key, order_by)
     return joined.withColumn(name, eligible).drop("__first_failure")
 
 
@@ -59,24 +58,42 @@ def schedule_grid(
     df: DataFrame, ts: str, every: str, counted: str, catchup: bool = True,
     start: str | None = None, end: str | None = None,
 ) -> DataFrame:
-    """One row ``(slot, n)`` per interval, with the rows falling into it, 0 for gaps.
+    """One row ``(slot, n)`` per interval from ``start`` to ``end``, with 0 for gaps.
 
-    Intervals are aligned to midnight of day 0 like ``window``.  The data are counted
-    per slot first, so the grid joins a table that is no longer than itself.
-    Without ``catchup`` only the last interval remains.
+    ``n`` counts the non-NULL ``counted`` values in the interval.  The bounds default to
+    the data's own; intervals are aligned to the epoch like ``window``.  The data are
+    read once and counted per slot; each counted slot then brings the empty ones up to
+    the next.  Without ``catchup`` only the last interval remains.
     """
-    counts = df.groupBy(F.window(ts, every)["start"].alias("slot")).agg(F.count(counted).alias("n"))
-    bounds = counts.agg(F.min("slot").alias("first"), F.max("slot").alias("last"))
-    kind = dict(df.dtypes)[ts]
-    for bound, given in (("first", start), ("last", end)):
-        if given is not None:
-            bounds = bounds.withColumn(bound, F.window(F.lit(given).cast(kind), every)["start"])
+    step = F.expr(f"INTERVAL {every}")
+    marks = [_empty_slot(df, ts, bound, every) for bound in (start, end) if bound is not None]
+    if start is not None:
+        df = df.where(F.col(ts) >= _slot_of(df, ts, start, every))
+    if end is not None:
+        df = df.where(F.col(ts) < _slot_of(df, ts, end, every) + step)
     if not catchup:
-        bounds = bounds.select(F.col("last").alias("first"), "last")
-    slots = bounds.where("first <= last").select(
-        F.explode(F.sequence("first", "last", F.expr(f"INTERVAL {every}"))).alias("slot")
+        df = latest_only(df, ts, every) if end is None else df.where(F.col(ts) >= _slot_of(df, ts, end, every))
+        marks = marks[-1:] if end is not None else []
+    counts = df.groupBy(F.window(ts, every)["start"].alias("slot")).agg(F.count(counted).alias("n"))
+    if marks:
+        counts = reduce(DataFrame.unionByName, marks, counts).groupBy("slot").agg(F.sum("n").alias("n"))
+    # One row per slot with data: their number is bounded by the calendar, not by the table.
+    following = F.lead("slot").over(Window.orderBy("slot"))
+    runs_to = counts.select("slot", "n", F.coalesce(following - step, "slot").alias("upto"))
+    filled = runs_to.select("slot", "n", F.explode(F.sequence("slot", "upto", step)).alias("at"))
+    return filled.select(
+        F.col("at").alias("slot"), F.when(F.col("at") == F.col("slot"), F.col("n")).otherwise(0).alias("n")
     )
-    return slots.join(counts, "slot", "left").select("slot", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def _slot_of(df: DataFrame, ts: str, instant: str, every: str) -> Column:
+    return _empty_slot(df, ts, instant, every).select("slot").scalar()
+
+
+def _empty_slot(df: DataFrame, ts: str, instant: str, every: str) -> DataFrame:
+    """The slot that holds ``instant``, with a count of 0."""
+    one = df.sparkSession.range(1).select(F.lit(instant).cast(df.schema[ts].dataType).alias("at"))
+    return one.select(F.window("at", every)["start"].alias("slot"), F.lit(0).cast("bigint").alias("n"))
 
 
 def latest_per_key(df: DataFrame, key: str, order_by: Sequence[str], values: Sequence) -> DataFrame:

@@ -46,7 +46,8 @@ def exact_split(
 
     Sizes are row counts (int) or shares of the table (float; train rounds down,
     test rounds up).  Features and label stay in one row, so they cannot get out
-    of step.  Asking for more rows than there are is an error.
+    of step.  Asking for more rows than there are is an error, save that an empty
+    table gives an empty split.
     """
     hashed = indexing.hashed_rows(df, id_col, seed)
     sizes = indexing.bucket_sizes(hashed)

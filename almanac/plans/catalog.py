@@ -284,7 +284,7 @@ def feature_stats(spark, sf):
 def standardize(spark, sf):
     embeddings = table(spark, sf, "embeddings").select("vec_id", "embedding")
     scaled = scaling.standardize(embeddings, "embedding", scaling.fit_scaler(embeddings, "embedding"))
-    return scaled.select("vec_id", F.posexplode("scaled").alias("pos", "z")).withColumn("z", F.round("z", 6))
+    return scaled.select("vec_id", F.posexplode_outer("scaled").alias("pos", "z")).withColumn("z", F.round("z", 6))
 
 
 @query
@@ -413,6 +413,11 @@ def l1_classifier(spark, sf):
     return digits.classify(vectors(spark, sf), classifiers.l1_logistic())
 
 
+@query
+def l1_hinge_classifier(spark, sf):
+    return digits.classify(vectors(spark, sf), classifiers.l1_hinge(CLASSES))
+
+
 @query
 def linear_svc_classifier(spark, sf):
     return digits.classify(vectors(spark, sf), classifiers.linear_svc())
@@ -427,6 +432,6 @@ def mlp_classifier(spark, sf):
 def score_models(spark, sf):
     return digits.compare_saved(
         vectors(spark, sf),
-        {"l1_logistic": classifiers.l1_logistic(), "linear_svc": classifiers.linear_svc()},
+        {"l1_logistic": classifiers.l1_logistic(), "l1_hinge": classifiers.l1_hinge(CLASSES)},
         new_folder(spark, "models"),
     )

@@ -62,5 +62,5 @@ def file_inventory(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _strict(spark: SparkSession, schema: T.StructType):
-    # Without column pruning a broken value or header fails also when its column is not used.
+    # Without column pruning the whole header is checked, also when few columns are used.
     return spark.read.schema(schema).option("mode", "FAILFAST").option("columnPruning", False)
