@@ -19,7 +19,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.models.caching import cached
+from almanac.models.caching import cached, training_set
 from almanac.models.hinge import L1Hinge, L1HingeModel
 from almanac.operators import metrics
 
@@ -75,9 +75,9 @@ def perceptron(layers: Sequence[int], seed: int = 0, max_iter: int = 50) -> Esti
 
 
 def fit_models(train: DataFrame, estimators: dict[str, Estimator]) -> dict[str, PipelineModel]:
-    """Fit every estimator on one cached, scaled training set; each model carries the scaler."""
-    rows = with_vector(train.select("features", F.col("label").cast("double").alias("label")))
-    with cached(rows):
+    """Fit every estimator on one scaled training set in memory; each model carries the scaler."""
+    vectors = with_vector(train.select("features", F.col("label").cast("double").alias("label")))
+    with training_set(vectors) as rows:
         scaling = fit_scaling(rows)
         with cached(scaling.transform(rows).select("scaled", "label")) as scaled:
             return {
@@ -92,12 +92,14 @@ def predict(model: PipelineModel, test: DataFrame) -> DataFrame:
 
 
 def predict_all(models: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
-    """Tall table (model, id, label, pred)."""
-    tall = [
-        predict(model, test).select(F.lit(name).alias("model"), "id", "label", F.col("prediction").alias("pred"))
-        for name, model in models.items()
-    ]
-    return tall[0] if len(tall) == 1 else _union(tall)
+    """Tall table (id, label, model, pred); all models score a row in one pass over the test set."""
+    scored = with_vector(test.select("id", "label", "features"))
+    kept = scored.columns
+    for name, model in models.items():
+        kept = [*kept, f"__{name}"]
+        scored = model.transform(scored).withColumnRenamed("prediction", f"__{name}").select(*kept)
+    tall = metrics.tall_predictions(scored, {name: F.col(f"__{name}") for name in models})
+    return tall.select("id", "label", "model", "pred")
 
 
 def coefficients(spark: SparkSession, models: dict[str, PipelineModel]) -> DataFrame:
@@ -130,10 +132,3 @@ def _weight_rows(model: PipelineModel) -> Iterator[Sequence[float]]:
     if hasattr(fitted, "coefficientMatrix"):
         return iter(fitted.coefficientMatrix.toArray())
     return iter(())
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    first, *others = frames
-    for other in others:
-        first = first.unionByName(other)
-    return first
