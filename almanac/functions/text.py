@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,6 +23,11 @@ def json_field(document: Column | str, path: str, default: str = "") -> Column:
     return F.coalesce(F.get_json_object(_col(document), path), F.lit(default))
 
 
+def with_json_fields(df: DataFrame, document: str, names: Sequence[str]) -> DataFrame:
+    """Add several top-level fields as text columns, parsing each document once."""
+    return df.select("*", F.json_tuple(document, *names).alias(*names))
+
+
 def json_int(document: Column | str, path: str) -> Column:
     """Integer at ``path``; NULL where absent or not a number."""
     return F.get_json_object(_col(document), path).try_cast("int")

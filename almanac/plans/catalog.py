@@ -230,10 +230,11 @@ def date_macros(spark, sf):
 
 @query
 def json_field_default(spark, sf):
-    return table(spark, sf, "events").select(
+    events = table(spark, sf, "events").select("event_id", "props")
+    return text.with_json_fields(events, "props", ["k", "message"]).select(
         "event_id",
-        text.json_int("props", "$.k").alias("k"),
-        text.json_field("props", "$.message").alias("message"),
+        F.col("k").try_cast("int").alias("k"),
+        F.coalesce("message", F.lit("")).alias("message"),
     )
 
 

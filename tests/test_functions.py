@@ -41,6 +41,12 @@ def test_json_fields(spark):
     assert tuple(broken) == ("", False)
 
 
+def test_several_json_fields_from_one_parse(spark):
+    docs = spark.createDataFrame([(1, '{"a": 5, "b": "x"}'), (2, "not json"), (3, None)], "id int, doc string")
+    got = text.with_json_fields(docs, "doc", ["a", "b", "c"]).orderBy("id").collect()
+    assert [(r.a, r.b, r.c) for r in got] == [("5", "x", None), (None, None, None), (None, None, None)]
+
+
 def test_url_parameters_are_decoded(spark):
     url = "http://h.example.com/get?param1=value1&param2=a%20b%26c&empty=#frag"
     got = one(
