@@ -8,26 +8,18 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from almanac.staging import stage
-
 
 @contextmanager
 def cached(df: DataFrame) -> Iterator[DataFrame]:
-    """Persist for the duration of a block; lost blocks are recomputed from the plan."""
+    """Persist for the duration of a block; lost blocks are recomputed from the plan.
+
+    Rows the caller has persisted already are left as they are.
+    """
+    if df.storageLevel.useMemory or df.storageLevel.useDisk:
+        yield df
+        return
     df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield df
     finally:
         df.unpersist()
-
-
-@contextmanager
-def training_set(df: DataFrame) -> Iterator[DataFrame]:
-    """Write the rows once to the shared folder and keep them in memory for a block.
-
-    Reading the files back gives as many tasks as the data need, where a cached
-    shuffle keeps one task per shuffle partition on every pass.  A lost block is
-    read again instead of repeating the split that made it.
-    """
-    with cached(stage(df, "training-set")) as rows:
-        yield rows

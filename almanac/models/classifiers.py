@@ -19,7 +19,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.models.caching import cached, training_set
+from almanac.models.caching import cached
 from almanac.models.hinge import L1Hinge, L1HingeModel
 from almanac.operators import metrics
 
@@ -75,15 +75,17 @@ def perceptron(layers: Sequence[int], seed: int = 0, max_iter: int = 50) -> Esti
 
 
 def fit_models(train: DataFrame, estimators: dict[str, Estimator]) -> dict[str, PipelineModel]:
-    """Fit every estimator on one scaled training set in memory; each model carries the scaler."""
-    vectors = with_vector(train.select("features", F.col("label").cast("double").alias("label")))
-    with training_set(vectors) as rows:
-        scaling = fit_scaling(rows)
-        with cached(scaling.transform(rows).select("scaled", "label")) as scaled:
-            return {
-                name: PipelineModel([*scaling.stages, estimator.fit(scaled)])
-                for name, estimator in estimators.items()
-            }
+    """Fit every estimator on one scaled training set in memory; each model carries the scaler.
+
+    Best given a stored table, like :func:`almanac.models.forest.fit_forest`.
+    """
+    rows = with_vector(train.select("features", F.col("label").cast("double").alias("label")))
+    scaling = fit_scaling(rows)
+    with cached(scaling.transform(rows).select("scaled", "label")) as scaled:
+        return {
+            name: PipelineModel([*scaling.stages, estimator.fit(scaled)])
+            for name, estimator in estimators.items()
+        }
 
 
 def predict(model: PipelineModel, test: DataFrame) -> DataFrame:

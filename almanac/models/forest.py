@@ -9,7 +9,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 
-from almanac.models.caching import training_set
+from almanac.models.caching import cached
 
 # Feature sets and forest size.
 SEASON_FEATURES = ("latitude", "longitude", "elevation", "day_of_year")
@@ -25,7 +25,11 @@ def fit_forest(
     depth: int = DEPTH,
     seed: int = SEED,
 ) -> PipelineModel:
-    """SQL stage, assembler and forest as one pipeline, fitted on the needed columns only."""
+    """SQL stage, assembler and forest as one pipeline, fitted on the needed columns only.
+
+    Best given a stored table: a cached shuffle keeps one task per shuffle partition
+    on every pass, while files give as many tasks as the data need.
+    """
     needed = {label, *features} - {"day_of_year"} | ({"date"} if "day_of_year" in features else set())
     stages = [
         VectorAssembler(inputCols=list(features), outputCol="features"),
@@ -36,5 +40,5 @@ def fit_forest(
     ]
     if "day_of_year" in features:
         stages.insert(0, SQLTransformer(statement="SELECT *, dayofyear(date) AS day_of_year FROM __THIS__"))
-    with training_set(train.select(*sorted(needed))) as rows:
+    with cached(train.select(*sorted(needed))) as rows:
         return Pipeline(stages=stages).fit(rows)

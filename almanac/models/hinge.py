@@ -55,10 +55,10 @@ class L1Hinge(
         self._setDefault(numClasses=2, regParam=0.02, tol=0.1, maxIter=100)
 
     def _fit(self, dataset: DataFrame) -> L1HingeModel:
-        rows = dataset.select(
-            vector_to_array(self.getFeaturesCol()).alias("x"), F.col(self.getLabelCol()).cast("int").alias("y")
-        )
-        with cached(rows) as train:
+        with cached(dataset) as kept:
+            train = kept.select(
+                vector_to_array(self.getFeaturesCol()).alias("x"), F.col(self.getLabelCol()).cast("int").alias("y")
+            )
             weights = _descend(
                 train, self.getOrDefault(self.numClasses), self.getRegParam(), self.getTol(), self.getMaxIter()
             )

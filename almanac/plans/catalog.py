@@ -28,6 +28,9 @@ QUERIES: dict[str, Query] = {}
 MINUTE_BRANCHES = ("dummy_task_1", "dummy_task_2")
 RANDOM_BRANCHES = ("branch_a", "branch_b", "branch_c", "branch_d")
 
+# Fixed value: the text a triggered run prints.
+RECEIVED = "Remotely received value of %s for key=message"
+
 # Width of the vectors in the embeddings table.
 WIDTH = 64
 
@@ -259,7 +262,7 @@ def url_params(spark, sf):
 
 @query
 def render_message(spark, sf):
-    message = text.render("Remotely received value of %s for key=message", "event_type")
+    message = text.render(RECEIVED, "event_type")
     return table(spark, sf, "events").select("event_id", message.alias("message"))
 
 

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from almanac.models import classifiers
 from almanac.operators.splits import exact_split
 from almanac.sinks.models import load_model, save_model
+from almanac.staging import stage
 
 
 def train_and_test(
     samples: DataFrame, train_size: int | float = 0.75, test_size: int | float = 0.25, seed: int = 0
 ) -> tuple[DataFrame, DataFrame]:
-    parts = exact_split(samples, "id", train_size, test_size, seed)
+    """The two parts of an exact split, which is computed once and written."""
+    parts = stage(exact_split(samples, "id", train_size, test_size, seed), "samples")
     return parts.where("part = 'train'").drop("part"), parts.where("part = 'test'").drop("part")
 
 

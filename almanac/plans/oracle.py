@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from almanac.plans.catalog import MINUTE_BRANCHES, RANDOM_BRANCHES, WIDTH
+from almanac.plans.catalog import MINUTE_BRANCHES, RANDOM_BRANCHES, RECEIVED, WIDTH
 
 _DAILY = "(SELECT user_id AS station, CAST(ts AS DATE) AS date, max(value) AS tmax FROM events GROUP BY 1, 2)"
 
@@ -139,9 +139,8 @@ ORACLE: dict[str, str] = {
                nullif(regexp_extract(url, '[?&]ref=([^&#]*)', 1), '') AS ref,
                nullif(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1), '') AS utm_source
         FROM pages""",
-    "render_message": """
-        SELECT event_id, format('Remotely received value of {} for key=message', event_type) AS message
-        FROM events""",
+    "render_message": f"""
+        SELECT event_id, format('{RECEIVED.replace("%s", "{}")}', event_type) AS message FROM events""",
     "surrogate_keys": f"""
         SELECT event_id,
                CAST({_hex('md5(CAST(event_id AS VARCHAR))', 8)} % 123456789 AS INT) AS custom_id,
