@@ -18,7 +18,7 @@ def concat_tables(first: DataFrame, *others: DataFrame) -> DataFrame:
 def parse_date(df: DataFrame, column: str, fmt: str = "yyyy-MM-dd", into: str | None = None) -> DataFrame:
     """Replace text by a date; text that is not a date is an error."""
     text = F.col(column)
-    parsed = F.try_to_timestamp(text, F.lit(fmt)).cast("date")
+    parsed = F.try_to_date(text, fmt)
     bad = text.isNotNull() & parsed.isNull()
     message = F.concat(F.lit(f"not a date in column {column}: "), text)
     return df.withColumn(into or column, F.when(bad, F.raise_error(message)).otherwise(parsed))
@@ -26,7 +26,7 @@ def parse_date(df: DataFrame, column: str, fmt: str = "yyyy-MM-dd", into: str |
 
 def split_by_date(df: DataFrame, column: str, fmt: str = "yyyy-MM-dd") -> tuple[DataFrame, DataFrame]:
     """Rows whose text parses, with the date in place, and the untouched rest."""
-    parsed = F.try_to_timestamp(F.col(column), F.lit(fmt)).cast("date")
+    parsed = F.try_to_date(F.col(column), fmt)
     good = df.where(F.col(column).isNull() | parsed.isNotNull()).withColumn(column, parsed)
     return good, df.where(F.col(column).isNotNull() & parsed.isNull())
 

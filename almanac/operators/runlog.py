@@ -63,16 +63,18 @@ def schedule_grid(
     ``n`` counts the non-NULL ``counted`` values in the interval.  The bounds default to
     the data's own; intervals are aligned to the epoch like ``window``.  The data are
     read once and counted per slot; each counted slot then brings the empty ones up to
-    the next.  Without ``catchup`` only the last interval remains.
+    the next.  Zoned instants are taken at the session's clock.  Without ``catchup`` only the last interval remains.
     """
     step = F.expr(f"INTERVAL {every}")
-    marks = [_empty_slot(df, ts, bound, every) for bound in (start, end) if bound is not None]
+    # Slots have a fixed length, which steps of a day do not have where clocks change.
+    df = df.withColumn(ts, F.col(ts).cast("timestamp_ntz"))
+    marks = [_empty_slot(df, bound, every) for bound in (start, end) if bound is not None]
     if start is not None:
-        df = df.where(F.col(ts) >= _slot_of(df, ts, start, every))
+        df = df.where(F.col(ts) >= _slot_of(df, start, every))
     if end is not None:
-        df = df.where(F.col(ts) < _slot_of(df, ts, end, every) + step)
+        df = df.where(F.col(ts) < _slot_of(df, end, every) + step)
     if not catchup:
-        df = latest_only(df, ts, every) if end is None else df.where(F.col(ts) >= _slot_of(df, ts, end, every))
+        df = latest_only(df, ts, every) if end is None else df.where(F.col(ts) >= _slot_of(df, end, every))
         marks = marks[-1:] if end is not None else []
     counts = df.groupBy(F.window(ts, every)["start"].alias("slot")).agg(F.count(counted).alias("n"))
     if marks:
@@ -86,13 +88,13 @@ def schedule_grid(
     )
 
 
-def _slot_of(df: DataFrame, ts: str, instant: str, every: str) -> Column:
-    return _empty_slot(df, ts, instant, every).select("slot").scalar()
+def _slot_of(df: DataFrame, instant: str, every: str) -> Column:
+    return _empty_slot(df, instant, every).select("slot").scalar()
 
 
-def _empty_slot(df: DataFrame, ts: str, instant: str, every: str) -> DataFrame:
+def _empty_slot(df: DataFrame, instant: str, every: str) -> DataFrame:
     """The slot that holds ``instant``, with a count of 0."""
-    one = df.sparkSession.range(1).select(F.lit(instant).cast(df.schema[ts].dataType).alias("at"))
+    one = df.sparkSession.range(1).select(F.lit(instant).cast("timestamp_ntz").alias("at"))
     return one.select(F.window("at", every)["start"].alias("slot"), F.lit(0).cast("bigint").alias("n"))
 
 

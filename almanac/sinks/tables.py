@@ -68,7 +68,11 @@ def append_jdbc(
     df: DataFrame, url: str, table: str, required: Sequence[str], batch_size: int = 10_000,
     max_connections: int = 32, **options: str,
 ) -> None:
-    """Append to a database table; ``max_connections`` bounds the load on the database."""
+    """Append to a database table; ``max_connections`` bounds the load on the database.
+
+    Each task writes in one transaction.  Give the table a unique key: a task that is lost
+    after its commit is run again.
+    """
     writer = require_not_null(df, required).write.format("jdbc").mode("append")
     writer.options(
         url=url, dbtable=table, batchsize=str(batch_size), numPartitions=str(max_connections), **options

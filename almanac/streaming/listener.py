@@ -24,8 +24,8 @@ def listen(
     """Stream of the rows of new files with their ``file_name``.
 
     Files wait in ``source`` until taken, ``files_per_trigger`` at a time, and move
-    to ``archive`` in the background after their batch is committed.  A batch
-    without files does nothing.
+    to ``archive``, on the same file system, in the background after their batch is
+    committed.  A batch without files does nothing.
     """
     reader = spark.readStream.format(fmt).option("maxFilesPerTrigger", files_per_trigger)
     if schema is not None:

@@ -89,6 +89,19 @@ def test_grid_without_catchup_is_the_last_slot(spark):
     assert slots(got) == [(50, 0)]
 
 
+def test_grid_has_equal_days_where_clocks_change(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        runs = spark.sql(
+            "SELECT explode(array(timestamp'2024-03-09 12:00:00', timestamp'2024-03-12 01:00:00')) AS ts, 1 AS id"
+        )
+        got = runlog.schedule_grid(runs, "ts", "1 day", "id").orderBy("slot").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [(r.slot.day, r.slot.hour, r.n) for r in got] == [(9, 0, 1), (10, 0, 0), (11, 0, 0), (12, 0, 1)]
+
+
 def test_grid_of_nothing(spark):
     assert slots(runlog.schedule_grid(log(spark, []), "ts", "1 hour", "id")) == []
 
