@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from almanac.functions.schedule import step_of
 from almanac.functions.text import ds, ds_add
 from almanac.operators.joins import join_heavy_keys
 
@@ -45,17 +47,17 @@ def depends_on_past(
     return joined.withColumn(name, eligible).drop("__first_failure")
 
 
-def latest_only(df: DataFrame, ts: str, every: str) -> DataFrame:
-    """Rows of the most recent schedule interval, e.g. ``every="4 hours"``.
+def latest_only(df: DataFrame, ts: str, every: str | timedelta) -> DataFrame:
+    """Rows of the most recent schedule interval, e.g. ``every="4 hours"`` or ``"@daily"``.
 
     The interval start is a scalar subquery, which the scan uses to skip row groups.
     """
-    start = df.agg(F.max(ts).alias(ts)).select(F.window(ts, every)["start"]).scalar()
+    start = df.agg(F.max(ts).alias(ts)).select(F.window(ts, step_of(every))["start"]).scalar()
     return df.where(F.col(ts) >= start)
 
 
 def schedule_grid(
-    df: DataFrame, ts: str, every: str, counted: str, catchup: bool = True,
+    df: DataFrame, ts: str, every: str | timedelta, counted: str, catchup: bool = True,
     start: str | None = None, end: str | None = None,
 ) -> DataFrame:
     """One row ``(slot, n)`` per interval from ``start`` to ``end``, with 0 for gaps.
@@ -65,6 +67,7 @@ def schedule_grid(
     read once and counted per slot; each counted slot then brings the empty ones up to
     the next.  Zoned instants are taken at the session's clock.  Without ``catchup`` only the last interval remains.
     """
+    every = step_of(every)
     step = F.expr(f"INTERVAL {every}")
     # Slots have a fixed length, which steps of a day do not have where clocks change.
     df = df.withColumn(ts, F.col(ts).cast("timestamp_ntz"))

@@ -1,8 +1,12 @@
 import hashlib
+from datetime import timedelta
+
+import pytest
 
 from pyspark.sql import functions as F
 
 from almanac.functions import keys, text
+from almanac.functions.schedule import step_of
 
 
 def one(spark, value, **columns):
@@ -70,3 +74,25 @@ def test_text_check_reads_the_whole_body(spark):
 
 def test_render(spark):
     assert one(spark, "r1", m=text.render("run %s of %s", "v", F.lit("x"))).m == "run r1 of x"
+
+
+@pytest.mark.parametrize(
+    "schedule, step",
+    [
+        (timedelta(hours=4), "14400 seconds"),
+        (timedelta(minutes=10), "600 seconds"),
+        (timedelta(1), "86400 seconds"),
+        ("@daily", "1 day"),
+        ("0 0 * * *", "1 day"),
+        ("*/1 * * * *", "1 minutes"),
+        ("4 hours", "4 hours"),
+    ],
+)
+def test_schedules_with_a_fixed_step(schedule, step):
+    assert step_of(schedule) == step
+
+
+@pytest.mark.parametrize("schedule", ["@once", "@monthly", "*/7 * * * *", "0 0 1 * *", "1 month", timedelta(0)])
+def test_schedules_without_a_fixed_step(schedule):
+    with pytest.raises(ValueError):
+        step_of(schedule)

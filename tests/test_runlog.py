@@ -68,6 +68,13 @@ def test_grid_fills_gaps(spark):
     assert slots(runlog.schedule_grid(runs, "ts", "10 minutes", "id")) == [(0, 2), (10, 0), (20, 0), (30, 1)]
 
 
+def test_grid_and_latest_take_schedules(spark):
+    runs = log(spark, [("a", 1, 3, "x"), ("a", 2, 1500, "x")])
+    assert slots(runlog.schedule_grid(runs, "ts", "@daily", "id")) == [(0, 1), (1440, 1)]
+    assert slots(runlog.schedule_grid(runs, "ts", dt.timedelta(hours=12), "id")) == [(0, 1), (720, 0), (1440, 1)]
+    assert [r.id for r in runlog.latest_only(runs, "ts", "0 0 * * *").collect()] == [2]
+
+
 def test_grid_reaches_stated_bounds_and_stops_there(spark):
     runs = log(spark, [("a", 1, 3, "x"), ("a", 2, 25, "x"), ("a", 3, 75, "x")])
     got = runlog.schedule_grid(
