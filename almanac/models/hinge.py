@@ -25,14 +25,15 @@ from pyspark.sql import functions as F
 
 from almanac.models.caching import cached
 
-# Passes without progress before training stops.
+# Steps running without progress before training stops.
 PATIENCE = 5
 
 # Tasks whose gradients are added up in the first round of aggregation.
 FAN_IN = 64
 
-# Passes spent on finding the step length.
-POWER_STEPS = 8
+# Share of the expected gain that a step must reach, and bounds of the curvature estimate.
+ENOUGH = 1e-4
+FLATTEST, STEEPEST = 1e-3, 1e6
 
 
 class L1Hinge(
@@ -41,8 +42,8 @@ class L1Hinge(
 ):
     """One-versus-rest smoothed hinge loss plus ``regParam`` times the weights' L1 norm.
 
-    Stops after ``maxIter`` passes, or when the mean objective of a class has not
-    improved by ``tol`` for ``PATIENCE`` passes.
+    Stops after ``maxIter`` passes, or when ``PATIENCE`` steps running have each improved
+    the mean objective of a class by less than ``tol``.
     """
 
     numClasses = Param(Params._dummy(), "numClasses", "labels are 0..numClasses-1", TypeConverters.toInt)
@@ -105,47 +106,47 @@ class L1HingeModel(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsWritabl
 
 
 def _descend(train: DataFrame, classes: int, penalty: float, tol: float, max_iter: int) -> np.ndarray:
-    """Accelerated proximal gradient; the driver holds ``classes`` weight rows and no data."""
+    """Proximal gradient steps that never raise the objective.
+
+    The step length follows the change of the gradient over the last step; a step that
+    does not lower the objective enough is retried at half the length.  The driver holds
+    a few weight matrices and no data.
+    """
     shape = train.select(F.size("x").alias("width"), F.spark_partition_id().alias("task"))
     n, width, last_task = shape.agg(F.count("*"), F.max("width"), F.max("task")).first()
     if not n:
         raise ValueError("no training rows")
     rounds = 1 if last_task < FAN_IN else 2
-    curvature = _largest_curvature(train, n, width, rounds)
+
+    def evaluate(at: np.ndarray) -> tuple[np.ndarray, float]:
+        gradient, loss = _hinge_pass(train, n, at, rounds)
+        return gradient, loss + penalty * float(np.abs(at[:, :-1]).sum())
+
     weights = np.zeros((classes, width + 1))
-    ahead, momentum = weights, 1.0
-    best, stale = np.inf, 0
+    gradient, objective = evaluate(weights)
+    curvature, stale = 1.0, 0
     for _ in range(max_iter):
-        gradient, loss = _hinge_pass(train, n, ahead, rounds)
-        objective = (loss + penalty * np.abs(ahead[:, :-1]).sum()) / classes
-        stale = 0 if objective < best - tol else stale + 1
-        if objective > best:
-            momentum, curvature = 1.0, 1.5 * curvature
-        best = min(best, objective)
+        moved = weights - gradient / curvature
+        tried = np.sign(moved) * np.maximum(np.abs(moved) - penalty / curvature, 0.0)
+        tried[:, -1] = moved[:, -1]
+        step = tried - weights
+        length = float((step * step).sum())
+        if length == 0.0:
+            break
+        tried_gradient, tried_objective = evaluate(tried)
+        gain = objective - tried_objective
+        if gain < ENOUGH * curvature * length:
+            curvature *= 2.0
+            continue
+        bend = float((step * (tried_gradient - gradient)).sum()) / length
+        curvature = min(max(bend, FLATTEST), STEEPEST)
+        weights, gradient, objective = tried, tried_gradient, tried_objective
+        stale = 0 if gain / classes >= tol else stale + 1
         if stale >= PATIENCE:
             break
-        moved = ahead - gradient / curvature
-        shrunk = np.sign(moved) * np.maximum(np.abs(moved) - penalty / curvature, 0.0)
-        shrunk[:, -1] = moved[:, -1]
-        faster = (1 + np.sqrt(1 + 4 * momentum * momentum)) / 2
-        ahead = shrunk + (momentum - 1) / faster * (shrunk - weights)
-        weights, momentum = shrunk, faster
     return weights
 
 
-def _largest_curvature(train: DataFrame, n: int, width: int, rounds: int) -> float:
-    """Upper estimate of the loss's curvature by power iteration on the second moments."""
-    direction = np.ones(width + 1) / np.sqrt(width + 1)
-    size = 1.0
-    for _ in range(POWER_STEPS):
-        pushed = _summed(train, lambda x, y, v=direction: x.T @ (x @ v), rounds) / n
-        size = float(np.linalg.norm(pushed))
-        if size == 0.0:
-            return 1.0
-        direction = pushed / size
-    return 1.2 * size
-
-
 def _hinge_pass(train: DataFrame, n: int, weights: np.ndarray, rounds: int) -> tuple[np.ndarray, float]:
     """Mean gradient and mean loss of all classes at ``weights``."""
 

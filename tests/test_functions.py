@@ -2,7 +2,6 @@ import hashlib
 from datetime import timedelta
 
 import pytest
-
 from pyspark.sql import functions as F
 
 from almanac.functions import keys, text
