@@ -31,15 +31,17 @@ def align_on_key(features: DataFrame, labels: DataFrame, key: str) -> DataFrame:
 
 
 def join_heavy_keys(
-    rows: DataFrame, per_key: DataFrame, key: str, row_id: Sequence[str], pieces: int = 4096
+    rows: DataFrame, per_key: DataFrame, key: str, row_id: Sequence[str], pieces: int | None = None
 ) -> DataFrame:
     """Left-join many rows to a one-row-per-key table when few keys may hold most rows.
 
     Keys with more than ``total / pieces`` rows, of which there are fewer than
     ``pieces``, are cut into salted pieces of about that size; all other keys join as
-    they are.  The salt is a hash of the row's id, so a retried task makes the same
-    one.  A NULL key is a key like any other.
+    they are.  ``pieces`` defaults to four times the session's shuffle partitions, so a
+    piece is a quarter of an average partition.  The salt is a hash of the row's id, so a
+    retried task makes the same one.  A NULL key is a key like any other.
     """
+    pieces = pieces or 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = rows.groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("__rows"))
     share = F.col("__rows") * pieces / counts.agg(F.sum("__rows")).scalar()
     heavy = F.broadcast(counts.where(share > 1).select("__key", F.ceil(share).cast("int").alias("__pieces")))

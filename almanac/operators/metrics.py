@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def daily_max(df: DataFrame, station: str, ts: str, value: str, names: Sequence[str] = ("station", "date", "tmax")) -> DataFrame:
+def daily_max(
+    df: DataFrame, station: str, ts: str, value: str, names: Sequence[str] = ("station", "date", "tmax")
+) -> DataFrame:
     """Largest value per station and calendar day."""
     by_station, by_day, top = names
     return df.groupBy(F.col(station).alias(by_station), F.col(ts).cast("date").alias(by_day)).agg(
