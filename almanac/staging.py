@@ -1,38 +1,34 @@
 """Tables written once between two passes of an operator.
 
 A two-pass operator needs both passes to see the same rows in the same places,
-also after an executor is lost. It therefore writes its intermediate table to
-the folder shared by the cluster (``spark.checkpoint.dir``) and reads it back.
+also after an executor is lost.  It therefore writes its intermediate table to
+a folder all executors share and reads it back: the session's
+``spark.checkpoint.dir``, else its checkpoint folder, else its warehouse, which
+every session has.  Everything lies below one folder per application, which
+:func:`clean` removes once the results have been consumed.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_root(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="almanac-")
-
-
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder named by the session; a private one only on local masters."""
+    """The folder shared by the cluster, the same for every master."""
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if root:
-        return root
-    if context.master.startswith("local"):
-        return _local_root(context.applicationId)
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    return named or spark.conf.get("spark.sql.warehouse.dir")
+
+
+def application_folder(spark: SparkSession) -> str:
+    return f"{staging_root(spark).rstrip('/')}/almanac/{spark.sparkContext.applicationId}"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nobody has used yet."""
-    return f"{staging_root(spark).rstrip('/')}/almanac/{label}-{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -40,3 +36,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> bool:
+    """Remove what this application has staged; results that still read it are lost."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

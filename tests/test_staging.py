@@ -1,33 +1,45 @@
-import os
 from types import SimpleNamespace
 
-import pytest
+from pyspark.sql import functions as F
 
 from almanac import staging
 
 
 def fake(conf=None, checkpoint=None, master="local[2]"):
     context = SimpleNamespace(getCheckpointDir=lambda: checkpoint, master=master, applicationId="app-" + master)
-    return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: conf or default))
+    settings = {"spark.sql.warehouse.dir": "file:/warehouse", **(conf or {})}
+    return SimpleNamespace(
+        sparkContext=context, conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
+    )
 
 
 def test_the_sessions_folder_comes_first():
-    assert staging.staging_root(fake("hdfs://shared", "hdfs://other", "yarn")) == "hdfs://shared"
+    named = {"spark.checkpoint.dir": "hdfs://shared"}
+    assert staging.staging_root(fake(named, "hdfs://other", "yarn")) == "hdfs://shared"
     assert staging.staging_root(fake(None, "hdfs://other", "yarn")) == "hdfs://other"
 
 
-def test_a_cluster_without_a_shared_folder_is_an_error():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        staging.staging_root(fake(master="spark://host:7077"))
-
-
-def test_local_sessions_get_a_folder_of_their_own():
-    assert os.path.isdir(staging.staging_root(fake()))
+def test_a_plain_session_uses_its_warehouse_whatever_the_master():
+    for master in ("local[2]", "spark://host:7077"):
+        assert staging.staging_root(fake(master=master)) == "file:/warehouse"
 
 
 def test_stage_writes_below_the_folder_and_keeps_the_schema(spark):
     df = spark.range(10).withColumnRenamed("id", "x")
     staged = staging.stage(df, "label")
     assert staged.schema["x"].dataType == df.schema["x"].dataType
-    assert all(spark.conf.get("spark.checkpoint.dir") + "/almanac/label-" in f for f in staged.inputFiles())
+    below = f"{spark.conf.get('spark.checkpoint.dir')}/almanac/{spark.sparkContext.applicationId}/label-"
+    assert all(below in f for f in staged.inputFiles())
     assert staged.count() == 10
+
+
+def test_a_session_that_sets_nothing_can_stage_and_clean(spark, tmp_path):
+    plain = spark.newSession()
+    plain.conf.unset("spark.checkpoint.dir")
+    plain.conf.set("spark.checkpoint.dir", "")
+    assert staging.staging_root(plain) == plain.conf.get("spark.sql.warehouse.dir")
+    plain.conf.set("spark.checkpoint.dir", str(tmp_path))
+    staged = staging.stage(plain.range(5).select(F.col("id") * 2), "numbers")
+    assert staged.count() == 5
+    assert staging.clean(plain)
+    assert not list(tmp_path.glob("almanac/*"))
