@@ -2,17 +2,41 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import mixing, reputation, sharding
+from almanac.llm import decontaminate, language, mixing, reputation, sharding, simhash, token_files, topk
 from almanac.plans.inputs import table
 
 # Rules of the URL filter, number of shards.
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 SHARDS = 24
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def with_library(query: Query) -> Query:
+    """Lets the Python workers of a session import this library from where the driver has it.
+
+    A cluster on which it is installed, or shipped with ``--py-files``, finds it there first or last alike.
+    """
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        environment = spark.sparkContext.environment
+        paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in paths:
+            environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+        return query(spark, sf_dir)
+
+    return run
 
 
 def page_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,11 +52,40 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("host_bound", 6).alias("host_bound"))
 
 
+def op2_language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    trees = language.train(docs.where(~held_out))
+    predicted = language.predict(docs.select("doc_id", "text"), trees)
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clustered = simhash.cluster(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return clustered.select("doc_id", "fingerprint", "component_id")
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write(table(spark, sf_dir, "documents"), TOKENIZER)
+    return token_files.read_documents(spark, manifest)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    digest = decontaminate.items_digest(F.col("items")).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
 def op9_shard_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(
         table(spark, sf_dir, "documents").select("doc_id", "text"), shards=SHARDS
@@ -43,8 +96,10 @@ def op9_shard_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_url_reputation": op1_url_reputation,
-    "op6_mix_sources": op6_mix_sources,
-    "op9_shard_packing": op9_shard_packing,
+QUERIES: dict[str, Query] = {
+    query.__name__: with_library(query)
+    for query in (
+        op1_url_reputation, op2_language_ppm, op3_simhash_golay, op5_token_files, op6_mix_sources, op7_top_k,
+        op8_benchmark_leaks, op9_shard_packing,
+    )
 }

@@ -5,13 +5,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from almanac.llm import mixing, sharding
-from almanac.llm.queries import SHARDS
+from almanac.llm import decontaminate, language, mixing, sharding, simhash
+from almanac.llm.queries import SHARDS, with_library
 from almanac.plans.inputs import table
 from almanac.staging import stage
 
 
+# Bits per byte from which a text is in none of the learned languages; 8 is what bytes take without a model.
+UNREADABLE = 7.0
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents written in a learned language; those without a letter or that no language shortens go."""
+    predicted = language.predict(docs, language.train(docs))
+    readable = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("bits_per_byte") < UNREADABLE)
+    return predicted.where(readable).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.keep_one(docs)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights; a document comes as often as the mix takes it."""
     return mixing.mixed_documents(docs)
@@ -23,6 +45,9 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("identify_language", identify_language),
+    ("drop_near_copies", drop_near_copies),
+    ("drop_benchmark_leaks", drop_benchmark_leaks),
     ("mix_sources", mix_sources),
     ("shard", shard),
 ]
@@ -30,6 +55,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ORACLE_SQL: str | None = None
 
 
+@with_library
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result but the last is written and read again."""
     docs = table(spark, sf_dir, "documents")
