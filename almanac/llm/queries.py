@@ -10,7 +10,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import decontaminate, language, mixing, reputation, sharding, simhash, token_files, topk
+from almanac.llm import (
+    decontaminate,
+    language,
+    mixing,
+    private_data,
+    reputation,
+    secret_scan,
+    sharding,
+    simhash,
+    spans,
+    token_files,
+    topk,
+)
 from almanac.plans.inputs import table
 
 # Rules of the URL filter, number of shards.
@@ -65,6 +77,21 @@ def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered.select("doc_id", "fingerprint", "component_id")
 
 
+def _span_digest(found: DataFrame, kinds: tuple[str, ...], n_base: int) -> DataFrame:
+    """Counts per base kind, checksum of the base spans, and all spans as text."""
+    base = F.filter("spans", lambda s: s["kind_no"] < n_base)
+    counts = [spans.count_kind(F.col("spans"), k).alias(f"n_{kinds[k]}") for k in range(n_base)]
+    return found.select(
+        "doc_id", *counts, F.sha2(spans.label(base, kinds), 256).alias("base_sha256"),
+        spans.label(F.col("spans"), kinds).alias("spans"),
+    )
+
+
+def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _span_digest(private_data.sanitise(docs), private_data.KINDS, private_data.TERM)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write(table(spark, sf_dir, "documents"), TOKENIZER)
     return token_files.read_documents(spark, manifest)
@@ -96,10 +123,15 @@ def op9_shard_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _span_digest(secret_scan.scan(docs), secret_scan.KINDS, secret_scan.RANDOM)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: with_library(query)
     for query in (
-        op1_url_reputation, op2_language_ppm, op3_simhash_golay, op5_token_files, op6_mix_sources, op7_top_k,
-        op8_benchmark_leaks, op9_shard_packing,
+        op1_url_reputation, op2_language_ppm, op3_simhash_golay, op4_private_data, op5_token_files, op6_mix_sources,
+        op7_top_k, op8_benchmark_leaks, op9_shard_packing, op10_secret_scan,
     )
 }

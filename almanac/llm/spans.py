@@ -7,6 +7,8 @@ and matches before it.  Places count code points.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,26 +16,35 @@ from pyspark.sql import functions as F
 BLOCK = 256
 
 
-def starts(lengths: Column) -> Column:
-    """Exclusive running sums of an array of whole numbers."""
-
-    def running(values: Column, value) -> Column:
-        return F.aggregate(
-            values,
-            F.struct(F.lit(0).alias("total"), F.array().cast("array<int>").alias("before")),
-            lambda acc, x: F.struct(
-                (acc["total"] + value(x)).alias("total"),
-                F.concat(acc["before"], F.array(acc["total"])).alias("before"),
-            ),
-        )
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
 
+def _running(values: Column, value: Callable[[Column], Column]) -> Column:
+    """struct<total, before>: the sum and the exclusive running sums."""
+    return F.aggregate(
+        values,
+        F.struct(F.lit(0).alias("total"), F.array().cast("array<int>").alias("before")),
+        lambda acc, x: F.struct(
+            (acc["total"] + value(x)).alias("total"),
+            F.concat(acc["before"], F.array(acc["total"])).alias("before"),
+        ),
+    )
+
+
+def starts(lengths: Column) -> Column:
+    """Exclusive running sums of a bound array of whole numbers (see :func:`let`), not empty."""
     blocks = F.transform(
         F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / BLOCK).cast("int")),
-        lambda b: running(F.slice(lengths, b * BLOCK + 1, F.lit(BLOCK)), lambda x: x),
+        lambda b: _running(F.slice(lengths, b * BLOCK + 1, F.lit(BLOCK)), lambda x: x),
     )
-    offsets = running(blocks, lambda block: block["total"])["before"]
-    summed = F.flatten(F.zip_with(blocks, offsets, lambda block, at: F.transform(block["before"], lambda x: x + at)))
-    return F.when(F.size(lengths) > 0, summed).otherwise(F.array().cast("array<int>"))
+
+    def joined(bound: Column) -> Column:
+        offsets = _running(bound, lambda block: block["total"])["before"]
+        return F.flatten(F.zip_with(bound, offsets, lambda block, at: F.transform(block["before"], lambda x: x + at)))
+
+    return let(blocks, joined)
 
 
 def find(text: Column, pattern: str, guard: Column | None = None, context: int = 0) -> Column:
@@ -43,24 +54,31 @@ def find(text: Column, pattern: str, guard: Column | None = None, context: int =
     ``before`` and ``after`` hold up to ``context`` code points around the match, up to
     its neighbours.  A match must not be empty.
     """
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    n = F.size(values)
-    places = starts(F.zip_with(F.slice(gaps, F.lit(1), n), values, lambda g, v: F.length(g) + F.length(v)))
-    found = F.zip_with(
-        F.arrays_zip(values.alias("value"), places.alias("at")),
-        F.arrays_zip(F.slice(gaps, F.lit(1), n).alias("left"), F.slice(gaps, F.lit(2), n).alias("right")),
-        lambda m, g: F.struct(
-            (m["at"] + F.length(g["left"])).alias("start"),
-            (m["at"] + F.length(g["left"]) + F.length(m["value"])).alias("end"),
-            m["value"].alias("value"),
-            (F.right(g["left"], F.lit(context)) if context else F.lit("")).alias("before"),
-            (F.left(g["right"], F.lit(context)) if context else F.lit("")).alias("after"),
-        ),
-    )
     empty = F.array().cast("array<struct<start:int,end:int,value:string,before:string,after:string>>")
+
+    def placed(p: Column) -> Column:
+        values, gaps = p["values"], p["gaps"]
+        lengths = F.zip_with(F.slice(gaps, F.lit(1), F.size(values)), values, lambda g, v: F.length(g) + F.length(v))
+        whole = let(
+            lengths,
+            lambda bound: F.transform(
+                F.arrays_zip(values.alias("value"), starts(bound).alias("at")),
+                lambda m, i: F.struct(
+                    (m["at"] + F.length(F.get(gaps, i))).alias("start"),
+                    (m["at"] + F.length(F.get(gaps, i)) + F.length(m["value"])).alias("end"),
+                    m["value"].alias("value"),
+                    (F.right(F.get(gaps, i), F.lit(context)) if context else F.lit("")).alias("before"),
+                    (F.left(F.get(gaps, i + 1), F.lit(context)) if context else F.lit("")).alias("after"),
+                ),
+            ),
+        )
+        return F.when(F.size(values) > 0, whole).otherwise(empty)
+
+    pieces = F.struct(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"), F.split(text, pattern, -1).alias("gaps")
+    )
     searched = text.isNotNull() if guard is None else text.isNotNull() & guard
-    return F.when(searched, found).otherwise(empty)
+    return F.when(searched, let(pieces, placed)).otherwise(empty)
 
 
 def label(spans: Column, kinds: tuple[str, ...]) -> Column:
