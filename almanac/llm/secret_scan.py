@@ -114,7 +114,9 @@ def train(docs: DataFrame, shortest: int = SHORTEST, sample_rows: int = SAMPLE_R
 
     labelled = drawn.select(F.explode(spans.let(base_spans(F.col("text")), samples)).alias("s")).select("s.*")
     counts = (
-        labelled.where("token <> ''").select("random", F.explode(steps(F.col("token"))).alias("step"))
+        labelled.where("token <> ''")
+        # Each pair once a token, so that one very long token does not outweigh the others.
+        .select("random", F.explode(F.array_distinct(steps(F.col("token")))).alias("step"))
         .groupBy("step")
         .agg(F.count(F.when(F.col("random"), 1)).alias("random"), F.count(F.when(~F.col("random"), 1)).alias("ordinary"))
     )
