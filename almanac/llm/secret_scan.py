@@ -3,7 +3,7 @@
 The patterns find assignments to a secret's name, access keys and long hexadecimal
 numbers.  Other long tokens are judged by two first-order Markov models of their characters: one
 of random strings, trained on the secret parts the patterns found, and one of ordinary identifiers,
-trained on the other long tokens.  A token is reported if the log-likelihood ratio
+trained on the other long tokens without a digit.  A token is reported if the log-likelihood ratio
 of the two models exceeds ``THRESHOLD`` (in ln units) and it holds a digit and a letter.
 
 Training reads the tokens of about ``SAMPLE_ROWS`` documents, drawn by a hash.  The random model is half
@@ -105,7 +105,10 @@ def train(docs: DataFrame, shortest: int = SHORTEST, sample_rows: int = SAMPLE_R
 
     def samples(base: Column) -> Column:
         secrets = F.transform(base, lambda b: F.regexp_replace(b["secret"], "[^" + TOKEN_CHARACTER[1:], ""))
-        ordinary = F.transform(other_tokens(F.col("text"), base, shortest), lambda t: t["value"])
+        # A token to be reported holds a digit; those without one are the ordinary samples, so no secret unknown to the patterns teaches them.
+        ordinary = F.filter(
+            F.transform(other_tokens(F.col("text"), base, shortest), lambda t: t["value"]), lambda t: ~t.rlike("[0-9]")
+        )
 
         def labelled(tokens: Column, random: bool) -> Column:
             return F.transform(tokens, lambda t: F.struct(F.lit(random).alias("random"), t.alias("token")))
