@@ -195,8 +195,9 @@ def find_leaks(
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """``docs`` without those that hold a benchmark passage."""
-    return find_leaks(docs, benchmark, **how).where(~F.col("contaminated")).select(*docs.columns)
+    """``docs`` as given, without those that hold a benchmark passage."""
+    whole = docs.select("text", F.struct(*docs.columns).alias("__doc"))
+    return find_leaks(whole, benchmark, **how).where(~F.col("contaminated")).select("__doc.*")
 
 
 def items_digest(items: Column) -> Column:

@@ -142,9 +142,9 @@ def train(docs: DataFrame, order: int = ORDER, most_bytes: int = MOST_BYTES) ->
     labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
     languages = sorted(sizes)
-    share = F.create_map(*[x for l in languages for x in (F.lit(l), F.lit(min(1.0, most_bytes / max(1, sizes[l]))))])
     if not languages:
         return Trees([], [], order)
+    share = F.create_map(*[x for l in languages for x in (F.lit(l), F.lit(min(1.0, most_bytes / max(1, sizes[l]))))])
     drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit("ppm")), F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30)
     number = F.array_position(F.array(*[F.lit(l) for l in languages]), F.col("lang")) - 1
 
@@ -183,6 +183,12 @@ def predict(docs: DataFrame, trees: Trees) -> DataFrame:
     )
 
 
+def readable(docs: DataFrame, trees: Trees, most_bits: float) -> DataFrame:
+    """``docs`` as given, without those that have no letter or take ``most_bits`` or more per byte in every language."""
+    predicted = predict(docs.select("text", F.struct(*docs.columns).alias("__doc")), trees)
+    return predicted.where((F.col("lang_pred") != UNDETERMINED) & (F.col("bits_per_byte") < most_bits)).select("__doc.*")
+
+
 def scored(trees: Trees, texts: list[bytes | None]) -> pa.Array:
     names, scores, costs = [UNDETERMINED] * len(texts), np.zeros(len(texts)), [None] * len(texts)
     filled = [i for i, t in enumerate(texts) if t and trees.languages]

@@ -143,8 +143,7 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
 
     A cut copy holds the words taken from it and the white space between them; where ``n_chars`` is given it is counted anew.
     """
-    kept = docs.columns
-    mixed = mix(docs, **how)
+    mixed = mix(docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("__doc")), **how)
     whole = F.when(F.col("tail") == F.col("size"), F.col("epochs") + 1).otherwise(F.col("epochs"))
     copies = mixed.where("size > 0").withColumn("__whole", whole)
     full = copies.where("__whole > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__whole"))))
@@ -152,7 +151,8 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     start = F.concat(
         F.lit(f"^{space}(?:{WORD}+{space}){{"), (F.col("tail") - 1).cast("string"), F.lit(f"}}+{WORD}+")
     )
-    part = copies.where("tail > 0 AND tail < size").withColumn("text", F.regexp_substr(F.col("text"), start))
-    if "n_chars" in kept:
-        part = part.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return full.select(*kept).unionByName(part.select(*kept))
+    cut = copies.where("tail > 0 AND tail < size").withColumn("__cut", F.regexp_substr(F.col("text"), start))
+    doc = F.col("__doc").withField("text", F.col("__cut"))
+    if "n_chars" in docs.columns:
+        doc = doc.withField("n_chars", F.length("__cut").cast(docs.schema["n_chars"].dataType))
+    return full.select("__doc").unionByName(cut.select(doc.alias("__doc"))).select("__doc.*")

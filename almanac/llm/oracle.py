@@ -1,5 +1,133 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express; constants are stated here again."""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+URL_REPUTATION = rf"""
+WITH page AS (
+    SELECT page_id, row_number() OVER () AS uid,
+        coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}'), '') AS host,
+        coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), outcome AS (
+    SELECT host, quality = 1 AND toxic = 0 AS good FROM page LEFT JOIN labels ON doc_id = page_id
+), hosts AS (
+    SELECT host, coalesce(sum(good::BIGINT), 0)::BIGINT AS k, count(good) AS n,
+        array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix
+    FROM outcome GROUP BY host
+), domains AS (
+    SELECT domain, suffix, sum(k)::BIGINT AS k, sum(n)::BIGINT AS n FROM hosts GROUP BY ALL
+), suffixes AS (
+    SELECT suffix, sum(k)::BIGINT AS k, sum(n)::BIGINT AS n FROM domains GROUP BY ALL
+), levels AS (
+    SELECT 'host' AS level, k, n FROM hosts UNION ALL SELECT 'domain', k, n FROM domains UNION ALL SELECT 'suffix', k, n FROM suffixes
+), sums AS (
+    SELECT level, sum(k)::DOUBLE AS k, sum(n)::DOUBLE AS n, count(*) AS g, sum(n * n)::DOUBLE AS sq, sum(k * k / n) AS b
+    FROM levels WHERE n > 0 GROUP BY level
+), fitted AS (
+    SELECT level, k / n AS m, (b - n * (k / n) * (k / n) - (g - 1) * (k / n) * (1 - k / n)) / nullif(n - sq / n, 0) AS v FROM sums
+), prior AS (
+    SELECT level, m, greatest(1.0, least(10000.0, CASE WHEN v > 0 THEN m * (1 - m) / v - 1 ELSE 10000.0 END)) AS weight FROM fitted
+), suffix_mean AS (
+    SELECT suffix, (k + m * weight) / (n + weight) AS mean FROM suffixes, prior WHERE level = 'suffix'
+), domain_mean AS (
+    SELECT domain, (k + mean * weight) / (n + weight) AS mean
+    FROM domains JOIN suffix_mean USING (suffix), prior WHERE level = 'domain'
+), host_mean AS (
+    SELECT host, n, weight, (k + mean * weight) / (n + weight) AS mean
+    FROM hosts JOIN domain_mean USING (domain), prior WHERE level = 'host'
+), bounds AS (
+    SELECT host, mean - 1.645 * sqrt(mean * (1 - mean) / (n + weight + 1)) AS bound FROM host_mean
+), rules(rule, domain, below, says) AS (
+    VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+        ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')
+), longest AS (
+    SELECT uid, arg_max(rule, length(rule)) AS rule, arg_max(says, length(rule)) AS says
+    FROM page JOIN rules ON (host = domain OR ends_with(host, '.' || domain)) AND starts_with(path, below)
+    GROUP BY uid
+)
+SELECT page_id, page.host, path, rule,
+    coalesce(says, CASE WHEN bound >= 0.5 THEN 'allow' ELSE 'block' END) AS verdict, round(bound, 6) AS host_bound
+FROM page JOIN bounds USING (host) LEFT JOIN longest USING (uid)
+"""
+
+MIX_SOURCES = r"""
+WITH doc AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+        md5(concat_ws(':', '6', coalesce(doc_id::VARCHAR, 'null'), coalesce(text, ''))) AS key
+    FROM documents
+), of_source AS (
+    SELECT source, sum(size)::BIGINT AS source_size FROM doc GROUP BY source
+), weighted AS (
+    SELECT source, source_size, 3.0 * source_size AS most,
+        ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS weight
+    FROM of_source
+), filled AS (
+    SELECT most / weight AS ratio,
+        sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY most / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+        sum(weight) OVER (ORDER BY most / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open
+    FROM weighted
+), level AS (
+    SELECT coalesce(arg_min(rest / open, ratio) FILTER (rest / open < ratio), 0) AS level FROM filled
+), shared AS (
+    SELECT source, source_size, least(most, weight * level)::DOUBLE AS target, round(least(most, weight * level))::BIGINT AS budget
+    FROM weighted, level
+), ordered AS (
+    SELECT doc.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM doc
+)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+    CASE WHEN source_size = 0 THEN 0 ELSE budget // source_size * size
+        + greatest(0, least(size, budget % source_size - before)) END::BIGINT AS taken
+FROM ordered JOIN shared ON ordered.source IS NOT DISTINCT FROM shared.source
+"""
+
+TOP_K = """
+WITH v AS (
+    SELECT row_number() OVER () AS uid, vec_id, list_transform(embedding, lambda x: floor(64.0 * x::DOUBLE)) AS w
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+), scored AS (
+    SELECT q.uid, q.vec_id AS query_id, v.vec_id, list_dot_product(q.w, v.w)::BIGINT AS score,
+        row_number() OVER (PARTITION BY q.uid ORDER BY list_dot_product(q.w, v.w) DESC, v.vec_id, v.uid)::INTEGER AS rank
+    FROM v AS q JOIN v ON q.uid <> v.uid WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, rank, vec_id, score FROM scored WHERE rank <= 20
+"""
+
+BENCHMARK_LEAKS = rf"""
+WITH doc AS (
+    SELECT doc_id, row_number() OVER () AS uid, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words
+    FROM documents
+), item AS (
+    SELECT coalesce(item_id::VARCHAR, 'null') AS item, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark WHERE text IS NOT NULL
+), pattern AS (
+    SELECT DISTINCT item, least(10, len(words)) AS length, array_to_string(list_slice(words, pos, pos + 9), ' ') AS pattern
+    FROM item, unnest(range(1, greatest(1, len(words) - 9) + 1)) AS places(pos) WHERE len(words) > 0
+), place AS (
+    SELECT uid, words, length, unnest(range(1, len(words) - length + 2)) AS pos
+    FROM doc, (SELECT DISTINCT length FROM pattern)
+), found AS (
+    SELECT uid, pos, place.length, item
+    FROM place JOIN pattern ON place.length = pattern.length AND array_to_string(list_slice(words, pos, pos + place.length - 1), ' ') = pattern
+), hit AS (
+    SELECT uid, count(DISTINCT word) AS n_hit FROM (SELECT uid, unnest(range(pos, pos + length)) AS word FROM found) GROUP BY uid
+), items AS (
+    SELECT uid, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM found GROUP BY uid
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (uid) LEFT JOIN items USING (uid)
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_url_reputation": URL_REPUTATION,
+    "op6_mix_sources": MIX_SOURCES,
+    "op7_top_k": TOP_K,
+    "op8_benchmark_leaks": BENCHMARK_LEAKS,
+}

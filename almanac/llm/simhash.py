@@ -199,11 +199,11 @@ def cluster(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = golay.MAX_B
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = golay.MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each component, that with the smallest ``doc_id``."""
-    members = _members(docs, shingle, max_bits)
+    """``docs`` as given, with one document of each component: that with the smallest ``doc_id``."""
+    members = _members(docs.select("doc_id", "text", F.struct(*docs.columns).alias("__doc")), shingle, max_bits)
     kept = stage(
         members.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("__root").agg(F.min("__row").alias("__row")).select("__row"),
         "kept",
     )
-    return members.join(kept, "__row", "left_semi").select(*docs.columns)
+    return members.join(kept, "__row", "left_semi").select("__doc.*")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from almanac.llm import decontaminate, language, mixing, sharding, simhash
 from almanac.llm.queries import SHARDS, with_library
@@ -19,9 +18,7 @@ UNREADABLE = 7.0
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents written in a learned language; those without a letter or that no language shortens go."""
-    predicted = language.predict(docs, language.train(docs))
-    readable = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("bits_per_byte") < UNREADABLE)
-    return predicted.where(readable).select(*docs.columns)
+    return language.readable(docs, language.train(docs), UNREADABLE)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
