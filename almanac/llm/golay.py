@@ -98,7 +98,7 @@ def keys(fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         near_a, near_b = nearby_indices(first[probe]), nearby_indices(second[probe])
         both = np.where(
             (near_a[:, :, None] < 0) | (near_b[:, None, :] < 0), -1, near_a[:, :, None] << 12 | near_b[:, None, :]
-        ).reshape(len(probe), -1)
+        ).reshape(len(probe), NEARBY.shape[1] ** 2)
         at, column = np.nonzero(both >= 0)
         out_keys.append(kind | (both[at, column] << 1 | (1 - odd_second[probe[at]])) << 1 | 1)
         out_rows.append(probe[at])
