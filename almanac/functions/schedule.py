@@ -18,6 +18,15 @@ _HOUR_DIVISORS = {n for n in range(1, 31) if 60 % n == 0}
 _INTERVAL = re.compile(r"\d+ (second|minute|hour|day)s?")
 
 
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def seconds_of(step: str) -> int:
+    """Length of an interval text, as :func:`step_of` returns it."""
+    number, unit = step.split()
+    return int(number) * _UNITS[unit.removesuffix("s")]
+
+
 def step_of(schedule: str | timedelta) -> str:
     """Interval text of a timedelta, a preset, a minute pattern or an interval text.
 

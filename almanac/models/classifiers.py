@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import math
+import warnings
 from collections.abc import Iterator, Sequence
 
-from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
@@ -13,19 +13,22 @@ from pyspark.ml.classification import (
     OneVsRest,
     OneVsRestModel,
 )
-from pyspark.ml.feature import ElementwiseProduct, StandardScaler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.models.caching import cached
 from almanac.models.hinge import L1Hinge, L1HingeModel
+from almanac.models.standardiser import fit_standardiser
 from almanac.operators import metrics
 
-# With C = 50 / n the penalty 1 / (C * n) is 0.02 for every n.
+# Fixed value: with C = 50 / n the penalty 1 / (C * n) is 0.02 for every n.
 L1_PENALTY = 0.02
-TOLERANCE = 0.1
+
+# Relative change of the objective at which training ends, and a cap on steps that it should never meet.
+# The hinge loss of Spark's own classifier creeps near its optimum, so it ends earlier.
+TOLERANCE, SVC_TOLERANCE = 1e-6, 0.1
+MOST_STEPS = 1000
 
 
 def with_vector(df: DataFrame, column: str = "features") -> DataFrame:
@@ -33,33 +36,27 @@ def with_vector(df: DataFrame, column: str = "features") -> DataFrame:
 
 
 def fit_scaling(train: DataFrame, column: str = "features", out: str = "scaled") -> PipelineModel:
-    """Scale by mean and population deviation of ``train``.
-
-    Spark ML divides by the sample deviation, hence the second stage.  Constant
-    features become 0.
-    """
-    scaler = StandardScaler(inputCol=column, outputCol="__centred", withMean=True, withStd=True).fit(train)
-    n = train.count()
-    factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
-    weights = Vectors.dense([factor] * len(scaler.mean))
-    return PipelineModel([scaler, ElementwiseProduct(scalingVec=weights, inputCol="__centred", outputCol=out)])
+    """Scale by mean and population deviation of ``train``; constant features become 0."""
+    return PipelineModel([fit_standardiser(train, column, out)])
 
 
-def l1_logistic(penalty: float = L1_PENALTY, tol: float = TOLERANCE) -> Estimator:
+def l1_logistic(penalty: float = L1_PENALTY, tol: float = TOLERANCE, max_iter: int = MOST_STEPS) -> Estimator:
     """Multinomial logistic regression with a pure L1 penalty on scaled features."""
     return LogisticRegression(
         featuresCol="scaled", labelCol="label", family="multinomial",
-        regParam=penalty, elasticNetParam=1.0, standardization=False, tol=tol,
+        regParam=penalty, elasticNetParam=1.0, standardization=False, tol=tol, maxIter=max_iter,
     )
 
 
-def l1_hinge(classes: int, penalty: float = L1_PENALTY, tol: float = TOLERANCE) -> Estimator:
+def l1_hinge(classes: int, penalty: float = L1_PENALTY, tol: float = TOLERANCE, max_iter: int = MOST_STEPS) -> Estimator:
     """Hinge loss with a pure L1 penalty on scaled features, one weight row per class."""
-    return L1Hinge(numClasses=classes, featuresCol="scaled", labelCol="label", regParam=penalty, tol=tol)
+    return L1Hinge(
+        numClasses=classes, featuresCol="scaled", labelCol="label", regParam=penalty, tol=tol, maxIter=max_iter
+    )
 
 
 def linear_svc(
-    penalty: float = L1_PENALTY, tol: float = TOLERANCE, max_iter: int = 5, parallelism: int = 4
+    penalty: float = L1_PENALTY, tol: float = SVC_TOLERANCE, max_iter: int = MOST_STEPS, parallelism: int = 4
 ) -> Estimator:
     """One hinge-loss classifier per class with an L2 penalty, Spark's own."""
     single = LinearSVC(
@@ -68,24 +65,42 @@ def linear_svc(
     return OneVsRest(classifier=single, featuresCol="scaled", labelCol="label", parallelism=parallelism)
 
 
-def perceptron(layers: Sequence[int], seed: int = 0, max_iter: int = 50) -> Estimator:
+def perceptron(layers: Sequence[int], seed: int = 0, max_iter: int = MOST_STEPS) -> Estimator:
     return MultilayerPerceptronClassifier(
-        featuresCol="scaled", labelCol="label", layers=list(layers), seed=seed, maxIter=max_iter
+        featuresCol="scaled", labelCol="label", layers=list(layers), seed=seed, tol=TOLERANCE, maxIter=max_iter
     )
 
 
 def fit_models(train: DataFrame, estimators: dict[str, Estimator]) -> dict[str, PipelineModel]:
     """Fit every estimator on one scaled training set in memory; each model carries the scaler.
 
-    Best given a stored table, like :func:`almanac.models.forest.fit_forest`.
+    The training rows are kept while they are scaled, the scaled ones while models pass over them.  A
+    fit that took no step, or was stopped by its cap on steps, is reported as a warning.
     """
     rows = with_vector(train.select("features", F.col("label").cast("double").alias("label")))
-    scaling = fit_scaling(rows)
-    with cached(scaling.transform(rows).select("scaled", "label")) as scaled:
-        return {
-            name: PipelineModel([*scaling.stages, estimator.fit(scaled)])
-            for name, estimator in estimators.items()
-        }
+    with cached(rows) as kept:
+        scaling = fit_scaling(kept)
+        with cached(scaling.transform(kept).select("scaled", "label")) as scaled:
+            fitted = {name: estimator.fit(scaled) for name, estimator in estimators.items()}
+    for name, model in fitted.items():
+        for steps in steps_taken(model):
+            if not 0 < steps < _most_steps(estimators[name]):
+                warnings.warn(f"{name} stopped after {steps} steps", RuntimeWarning, stacklevel=2)
+    return {name: PipelineModel([*scaling.stages, model]) for name, model in fitted.items()}
+
+
+def steps_taken(model: Model) -> list[int]:
+    """Steps of each fit inside a model just trained."""
+    if isinstance(model, OneVsRestModel):
+        return [single.summary().totalIterations for single in model.models]
+    if isinstance(model, L1HingeModel):
+        return [model.passes]
+    summary = model.summary() if callable(model.summary) else model.summary
+    return [summary.totalIterations]
+
+
+def _most_steps(estimator: Estimator) -> int:
+    return (estimator.getClassifier() if isinstance(estimator, OneVsRest) else estimator).getMaxIter()
 
 
 def predict(model: PipelineModel, test: DataFrame) -> DataFrame:
@@ -115,6 +130,16 @@ def coefficients(spark: SparkSession, models: dict[str, PipelineModel]) -> DataF
     return spark.createDataFrame(rows, "model string, class int, feature int, value double")
 
 
+def intercepts(spark: SparkSession, models: dict[str, PipelineModel]) -> DataFrame:
+    """(model, class, intercept)."""
+    rows = [
+        (name, k, float(value))
+        for name, model in models.items()
+        for k, value in enumerate(_intercepts(model.stages[-1]))
+    ]
+    return spark.createDataFrame(rows, "model string, class int, intercept double")
+
+
 def compare_models(models: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
     """(model, acc, n, zero_pct) on held-out rows."""
     spark = test.sparkSession
@@ -125,6 +150,14 @@ def compare_models(models: dict[str, PipelineModel], test: DataFrame) -> DataFra
     return scores.join(sparsity, "model", "left")
 
 
+def _intercepts(fitted: Model) -> Sequence[float]:
+    if isinstance(fitted, L1HingeModel):
+        return fitted.matrix[:, -1]
+    if isinstance(fitted, OneVsRestModel):
+        return [single.intercept for single in fitted.models]
+    return fitted.interceptVector.toArray()
+
+
 def _weight_rows(model: PipelineModel) -> Iterator[Sequence[float]]:
     fitted = model.stages[-1]
     if isinstance(fitted, OneVsRestModel):

@@ -3,7 +3,7 @@
 Spark's own hinge classifier has an L2 penalty only, which never makes a weight
 exactly zero.  Training is proximal gradient descent: each pass is one Spark job
 in which every task reduces its rows to one gradient, and tasks' gradients are
-summed in one or two rounds of aggregation.  All classes share each pass.
+summed in two rounds of aggregation.  All classes share each pass.
 """
 
 from __future__ import annotations
@@ -50,28 +50,31 @@ class L1Hinge(
 
     @keyword_only
     def __init__(self, *, numClasses=2, featuresCol="features", labelCol="label", predictionCol="prediction",
-                 regParam=0.02, tol=0.1, maxIter=100):
+                 regParam=0.02, tol=1e-6, maxIter=1000):
         super().__init__()
         self._set(**self._input_kwargs)
-        self._setDefault(numClasses=2, regParam=0.02, tol=0.1, maxIter=100)
+        self._setDefault(numClasses=2, regParam=0.02, tol=1e-6, maxIter=1000)
 
     def _fit(self, dataset: DataFrame) -> L1HingeModel:
         with cached(dataset) as kept:
             train = kept.select(
                 vector_to_array(self.getFeaturesCol()).alias("x"), F.col(self.getLabelCol()).cast("int").alias("y")
             )
-            weights = _descend(
+            weights, passes = _descend(
                 train, self.getOrDefault(self.numClasses), self.getRegParam(), self.getTol(), self.getMaxIter()
             )
         model = L1HingeModel(
             numClasses=len(weights), weights=[float(w) for w in weights.ravel()],
             featuresCol=self.getFeaturesCol(), predictionCol=self.getPredictionCol(),
         )
+        model.passes = passes
         return model
 
 
 class L1HingeModel(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsWritable, DefaultParamsReadable):
-    """Predicts the class with the largest margin."""
+    """Predicts the class with the largest margin.  ``passes``: steps the training tried, None once loaded."""
+
+    passes: int | None = None
 
     numClasses = Param(Params._dummy(), "numClasses", "number of weight rows", TypeConverters.toInt)
     weights = Param(
@@ -105,27 +108,27 @@ class L1HingeModel(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsWritabl
         return dataset.withColumn(self.getPredictionCol(), largest_margin(vector_to_array(self.getFeaturesCol())))
 
 
-def _descend(train: DataFrame, classes: int, penalty: float, tol: float, max_iter: int) -> np.ndarray:
+def _descend(train: DataFrame, classes: int, penalty: float, tol: float, max_iter: int) -> tuple[np.ndarray, int]:
     """Proximal gradient steps that never raise the objective.
 
     The step length follows the change of the gradient over the last step; a step that
     does not lower the objective enough is retried at half the length.  The driver holds
     a few weight matrices and no data.
     """
-    shape = train.select(F.size("x").alias("width"), F.spark_partition_id().alias("task"))
-    n, width, last_task = shape.agg(F.count("*"), F.max("width"), F.max("task")).first()
+    n, width, least, most = train.agg(F.count("*"), F.max(F.size("x")), F.min("y"), F.max("y")).first()
     if not n:
         raise ValueError("no training rows")
-    rounds = 1 if last_task < FAN_IN else 2
+    if least is None or least < 0 or most >= classes:
+        raise ValueError(f"labels must be 0 to {classes - 1}, found {least} to {most}")
 
     def evaluate(at: np.ndarray) -> tuple[np.ndarray, float]:
-        gradient, loss = _hinge_pass(train, n, at, rounds)
+        gradient, loss = _hinge_pass(train, n, at)
         return gradient, loss + penalty * float(np.abs(at[:, :-1]).sum())
 
     weights = np.zeros((classes, width + 1))
     gradient, objective = evaluate(weights)
-    curvature, stale = 1.0, 0
-    for _ in range(max_iter):
+    curvature, stale, passes = 1.0, 0, 0
+    for passes in range(1, max_iter + 1):
         moved = weights - gradient / curvature
         tried = np.sign(moved) * np.maximum(np.abs(moved) - penalty / curvature, 0.0)
         tried[:, -1] = moved[:, -1]
@@ -144,10 +147,10 @@ def _descend(train: DataFrame, classes: int, penalty: float, tol: float, max_ite
         stale = 0 if gain / classes >= tol else stale + 1
         if stale >= PATIENCE:
             break
-    return weights
+    return weights, passes
 
 
-def _hinge_pass(train: DataFrame, n: int, weights: np.ndarray, rounds: int) -> tuple[np.ndarray, float]:
+def _hinge_pass(train: DataFrame, n: int, weights: np.ndarray) -> tuple[np.ndarray, float]:
     """Mean gradient and mean loss of all classes at ``weights``."""
 
     def partial(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -159,13 +162,11 @@ def _hinge_pass(train: DataFrame, n: int, weights: np.ndarray, rounds: int) -> t
         slope = -sign * np.minimum(short, 1.0)
         return np.append((slope.T @ x).ravel(), loss.sum())
 
-    total = _summed(train, partial, rounds) / n
+    total = _summed(train, partial) / n
     return total[:-1].reshape(weights.shape), float(total[-1])
 
 
-def _summed(
-    train: DataFrame, partial: Callable[[np.ndarray, np.ndarray], np.ndarray], rounds: int
-) -> np.ndarray:
+def _summed(train: DataFrame, partial: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
     """Sum of ``partial(x, y)`` over all rows; ``x`` gets a trailing 1 for the intercept."""
 
     def reduce_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,6 +184,5 @@ def _summed(
     sums = train.mapInArrow(reduce_rows, "g array<double>").select(
         array_to_vector("g").alias("g"), F.floor(F.spark_partition_id() / FAN_IN).alias("group")
     )
-    if rounds > 1:
-        sums = sums.groupBy("group").agg(Summarizer.sum(F.col("g")).alias("g"))
+    sums = sums.groupBy("group").agg(Summarizer.sum(F.col("g")).alias("g"))
     return sums.agg(Summarizer.sum(F.col("g")).alias("g")).first()["g"].toArray()

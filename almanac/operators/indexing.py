@@ -47,10 +47,10 @@ def hashed_rows(df: DataFrame, id_col: str, seed: int, digits: int = 4) -> DataF
     """Give every row its seeded hash and the hash prefix that names its bucket.
 
     Buckets are even however skewed the data are, since they come from a hash of
-    a unique id, and their order is the order of the hashes.
+    a unique id, and their order is the order of the hashes.  A row without an id is an error.
     """
-    return df.withColumn(_HASH, keyed_hash(seed, id_col)).withColumn(
-        _BUCKET, F.substring(_HASH, 1, digits)
+    known = F.when(F.col(id_col).isNull(), F.raise_error(f"NULL in id column {id_col}")).otherwise(F.col(id_col))
+    return df.withColumn(_HASH, keyed_hash(seed, known)).withColumn(        _BUCKET, F.substring(_HASH, 1, digits)
     )
 
 

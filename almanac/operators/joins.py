@@ -1,9 +1,7 @@
-"""Day-lag self join, key alignment and a join that tolerates heavy keys."""
+"""Day-lag self join and key alignment."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,31 +27,3 @@ def align_on_key(features: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     """Pair features and labels by row id instead of by position."""
     return features.join(labels, key)
 
-
-def join_heavy_keys(
-    rows: DataFrame, per_key: DataFrame, key: str, row_id: Sequence[str], pieces: int | None = None
-) -> DataFrame:
-    """Left-join many rows to a one-row-per-key table when few keys may hold most rows.
-
-    Keys with more than ``total / pieces`` rows, of which there are fewer than
-    ``pieces``, are cut into salted pieces of about that size; all other keys join as
-    they are.  ``pieces`` defaults to four times the session's shuffle partitions, so a
-    piece is a quarter of an average partition.  The salt is a hash of the row's id, so a
-    retried task makes the same one.  A NULL key is a key like any other.
-    """
-    pieces = pieces or 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = rows.groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("__rows"))
-    share = F.col("__rows") * pieces / counts.agg(F.sum("__rows")).scalar()
-    heavy = F.broadcast(counts.where(share > 1).select("__key", F.ceil(share).cast("int").alias("__pieces")))
-
-    def with_pieces(df: DataFrame) -> DataFrame:
-        joined = df.join(heavy, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
-        return joined.withColumn("__pieces", F.coalesce("__pieces", F.lit(1)))
-
-    salted = with_pieces(rows).withColumn("__salt", F.pmod(F.xxhash64(*row_id), "__pieces").cast("int"))
-    copies = with_pieces(per_key).withColumn(
-        "__copy", F.explode(F.sequence(F.lit(0), F.col("__pieces") - 1))
-    )
-    copies = copies.drop("__pieces").withColumnRenamed(key, "__key")
-    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__salt") == F.col("__copy"))
-    return salted.join(copies, same, "left").drop("__key", "__copy", "__salt", "__pieces")

@@ -19,14 +19,14 @@ def daily_max(
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """One row with RMSE, MAE and R2 (rounded to 6 places)."""
+    """One row with RMSE, MAE and R2 (rounded to 6 places), over the rows that have both values."""
     y = F.col(actual).cast("double")
     error = y - F.col(predicted).cast("double")
     squared = error * error
     return df.agg(
         F.round(F.sqrt(F.avg(squared)), 6).alias("rmse"),
         F.round(F.avg(F.abs(error)), 6).alias("mae"),
-        F.round(1 - F.try_divide(F.avg(squared), F.var_pop(y)), 6).alias("r2"),
+        F.round(1 - F.try_divide(F.avg(squared), F.var_pop(F.when(error.isNotNull(), y))), 6).alias("r2"),
     )
 
 

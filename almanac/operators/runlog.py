@@ -3,30 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import timedelta
+from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.functions.schedule import step_of
+from almanac.functions.schedule import seconds_of, step_of
 from almanac.functions.text import ds, ds_add
-from almanac.operators.joins import join_heavy_keys
+from almanac.staging import stage
 
 # The states a finished run can be in.
 SUCCESS, FAILED, SKIPPED = "success", "failed", "skipped"
 
+# Slots that one row of the calendar's first step stands for.
+RUN = 10_000
+
 
 def trigger_rules(runs: DataFrame, by: Sequence, state: str = "state") -> DataFrame:
     """Which downstream rules each group of runs satisfies.
 
-    A skipped run defeats ``all_success`` and leaves ``one_success`` alone.
+    A skipped run defeats ``all_success`` and leaves ``one_success`` alone.  A run without a
+    state has neither succeeded nor finished.
     """
-    succeeded = F.col(state) == SUCCESS
+    succeeded = F.coalesce(F.col(state) == SUCCESS, F.lit(False))
+    finished = F.coalesce(F.col(state).isin(SUCCESS, FAILED, SKIPPED), F.lit(False))
     return runs.groupBy(*by).agg(
         F.bool_and(succeeded).alias("all_success"),
         F.bool_or(succeeded).alias("one_success"),
-        F.bool_and(F.col(state).isin(SUCCESS, FAILED, SKIPPED)).alias("all_done"),
+        F.bool_and(finished).alias("all_done"),
         F.count("*").alias("n"),
     )
 
@@ -37,14 +42,18 @@ def depends_on_past(
     """A run is eligible unless an earlier run of its key failed.
 
     Only the first failure of a key matters, so the history is one aggregate per
-    key joined back to the runs; no task ever sorts the whole history of a key.
+    key joined back to the runs; no task ever sorts the whole history of a key.  The
+    history is written first: both sides of the join are then plain scans, a small history is
+    broadcast by its size, and adaptive execution can split a key that holds most runs.
     """
     place = F.struct(*order_by)
     failures = runs.where(F.col(state) == FAILED)
-    history = failures.groupBy(key).agg(F.min(place).alias("__first_failure"))
+    history = stage(
+        failures.groupBy(F.col(key).alias("__key")).agg(F.min(place).alias("__first_failure")), "first-failures"
+    )
     eligible = F.col("__first_failure").isNull() | (place <= F.col("__first_failure"))
-    joined = join_heavy_keys(runs, history, key, order_by)
-    return joined.withColumn(name, eligible).drop("__first_failure")
+    joined = runs.join(history, F.col(key).eqNullSafe(F.col("__key")), "left")
+    return joined.withColumn(name, eligible).drop("__key", "__first_failure")
 
 
 def latest_only(df: DataFrame, ts: str, every: str | timedelta) -> DataFrame:
@@ -64,8 +73,8 @@ def schedule_grid(
 
     ``n`` counts the non-NULL ``counted`` values in the interval.  The bounds default to
     the data's own; intervals are aligned to the epoch like ``window``.  The data are
-    read once and counted per slot; each counted slot then brings the empty ones up to
-    the next.  Zoned instants are taken at the session's clock.  Without ``catchup`` only the last interval remains.
+    counted per slot; the calendar of slots is made in runs of ``RUN`` by all tasks and joined with the
+    counts.  Zoned instants are taken at the session's clock.  Without ``catchup`` only the last interval remains.
     """
     every = step_of(every)
     step = F.expr(f"INTERVAL {every}")
@@ -82,13 +91,24 @@ def schedule_grid(
     counts = df.groupBy(F.window(ts, every)["start"].alias("slot")).agg(F.count(counted).alias("n"))
     if marks:
         counts = reduce(DataFrame.unionByName, marks, counts).groupBy("slot").agg(F.sum("n").alias("n"))
-    # One row per slot with data: their number is bounded by the calendar, not by the table.
-    following = F.lead("slot").over(Window.orderBy("slot"))
-    runs_to = counts.select("slot", "n", F.coalesce(following - step, "slot").alias("upto"))
-    filled = runs_to.select("slot", "n", F.explode(F.sequence("slot", "upto", step)).alias("at"))
-    return filled.select(
-        F.col("at").alias("slot"), F.when(F.col("at") == F.col("slot"), F.col("n")).otherwise(0).alias("n")
+    counts = stage(counts, "slot-counts")
+    first, last = counts.agg(F.min("slot"), F.max("slot")).first()
+    if first is None:
+        return counts.select("slot", "n")
+    return _calendar(df.sparkSession, first, last, every).join(counts, "slot", "left").select(
+        "slot", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
+    )
+
+
+def _calendar(spark: SparkSession, first: datetime, last: datetime, every: str) -> DataFrame:
+    """(slot) from ``first`` to ``last``; every task makes whole runs of slots."""
+    seconds = seconds_of(every)
+    slots = int((last - first).total_seconds()) // seconds + 1
+    places = spark.range(-(-slots // RUN)).select(
+        F.explode(F.sequence(F.col("id") * RUN, F.least((F.col("id") + 1) * RUN, F.lit(slots)) - 1)).alias("place")
     )
+    second = F.expr("INTERVAL '1' SECOND")
+    return places.select((F.lit(first.isoformat(sep=" ")).cast("timestamp_ntz") + second * (F.col("place") * seconds)).alias("slot"))
 
 
 def _slot_of(df: DataFrame, instant: str, every: str) -> Column:

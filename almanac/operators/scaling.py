@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 def fit_scaler(df: DataFrame, column: str) -> DataFrame:
     """One row ``(n, mean, sd)``: arrays of means and population deviations.
 
-    Each task keeps two vectors as wide as the features, whatever its row count.
+    Each task keeps two vectors as wide as the features, whatever its row count.  Rows without a vector do not count.
     """
     vector = array_to_vector(F.col(column))
-    stats = df.select(Summarizer.metrics("count", "mean", "variance").summary(vector).alias("s"))
+    stats = df.where(F.col(column).isNotNull()).select(Summarizer.metrics("count", "mean", "variance").summary(vector).alias("s"))
     n = F.col("s.count")
     return stats.select(
         n.alias("n"),
@@ -33,10 +33,17 @@ def feature_stats(df: DataFrame, column: str) -> DataFrame:
 
 
 def standardize(df: DataFrame, column: str, scaler: DataFrame, name: str = "scaled") -> DataFrame:
-    """``(x - mean) / sd`` with statistics fitted elsewhere; constant features become 0."""
+    """``(x - mean) / sd`` with statistics fitted elsewhere; constant features become 0.
+
+    A vector of another width than the scaler's is an error.
+    """
     fitted = scaler.select(F.arrays_zip("mean", "sd")).scalar()
+    other_width = F.concat(
+        F.lit("expected "), F.size("__fitted").cast("string"), F.lit(" elements, got "), F.size(column).cast("string")
+    )
+    checked = F.when(F.size(column) != F.size("__fitted"), F.raise_error(other_width)).otherwise(F.col(column))
     scaled = F.zip_with(
-        F.col(column),
+        checked,
         F.col("__fitted"),
         lambda x, s: (x.cast("double") - s["mean"]) / F.when(s["sd"] == 0, 1.0).otherwise(s["sd"]),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Estimator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,18 +32,22 @@ RANDOM_BRANCHES = ("branch_a", "branch_b", "branch_c", "branch_d")
 # Fixed value: the text a triggered run prints.
 RECEIVED = "Remotely received value of %s for key=message"
 
-# Width of the vectors in the embeddings table.
-WIDTH = 64
-
-# Labels in the embeddings table run from 0 to CLASSES - 1.
-CLASSES = 10
-
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
 
 
+def width(samples: DataFrame, column: str = "features") -> int:
+    """Elements of the vectors, from the first row; rows of another width fail later."""
+    return samples.select(F.size(column)).first()[0]
+
+
+def classes(samples: DataFrame) -> int:
+    """Labels run from 0 to this number less one."""
+    return samples.agg(F.max("label")).first()[0] + 1
+
+
 # --- calendar features and joins -------------------------------------------------
 
 
@@ -61,6 +66,14 @@ def yesterday_join(spark, sf):
     return joins.yesterday_join(daily(spark, sf))
 
 
+@query
+def lagged_features(spark, sf):
+    """The training table: attributes of the station, day of year, the day's value and yesterday's."""
+    lagged = reshape.day_of_year(joins.yesterday_join(observations(spark, sf)))
+    # A float and a date are joined by key; the attributes come from the day itself.
+    return lagged.select("station", "date", *forest.LAG_FEATURES[:3], "day_of_year", "tmax", "yesterday_tmax")
+
+
 @query
 def regression_metrics(spark, sf):
     return metrics.regression_metrics(joins.yesterday_join(daily(spark, sf)), "tmax", "yesterday_tmax")
@@ -95,6 +108,20 @@ def parse_dates(spark, sf):
     return reshape.parse_date(written, "d")
 
 
+@query
+def date_rejects(spark, sf):
+    """Query values of page URLs that are no dates, next to order dates that are."""
+    values = table(spark, sf, "pages").select(
+        F.col("page_id").alias("key"), F.coalesce(text.url_param("url", "page"), F.lit("none")).alias("d")
+    )
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("key"), F.col("o_orderdate").cast("date").cast("string").alias("d")
+    )
+    good, bad = reshape.split_by_date(values.unionByName(orders), "d")
+    dated = good.select("key", F.col("d").cast("string").alias("d"), F.lit(True).alias("is_date"))
+    return dated.unionByName(bad.withColumn("is_date", F.lit(False)))
+
+
 @query
 def sql_over_this(spark, sf):
     return reshape.sql_over(
@@ -110,15 +137,23 @@ def head_rows(spark, sf):
 
 @query
 def array_to_columns(spark, sf):
-    return reshape.array_to_columns(
-        table(spark, sf, "embeddings").select("vec_id", "embedding"), "embedding", WIDTH
-    )
+    embeddings = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return reshape.array_to_columns(embeddings, "embedding", width(embeddings, "embedding"))
 
 
 @query
 def columns_to_array(spark, sf):
     wide = array_to_columns(spark, sf)
-    return reshape.columns_to_array(wide, [f"p{i}" for i in range(WIDTH)], "features")
+    return reshape.columns_to_array(wide, [c for c in wide.columns if c != "vec_id"], "features")
+
+
+@query
+def flatten_vectors(spark, sf):
+    """Vectors cut into four rows of a matrix, and flattened again."""
+    embeddings = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    quarter = F.ceil(F.size("x") / 4).cast("int")
+    matrix = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.slice("x", i * quarter + 1, quarter))
+    return embeddings.withColumn("matrix", matrix).select("vec_id", reshape.flatten_nested("matrix").alias("features"))
 
 
 @query
@@ -223,6 +258,14 @@ def latest_per_key(spark, sf):
     return runlog.latest_per_key(table(spark, sf, "events"), "user_id", ["ts", "event_id"], messages)
 
 
+@query
+def latest_map(spark, sf):
+    """Newest map of each key, one row per entry."""
+    message = F.create_map("event_type", F.col("value").cast("string")).alias("message")
+    newest = runlog.latest_per_key(table(spark, sf, "events"), "user_id", ["ts", "event_id"], [message])
+    return newest.select("user_id", F.inline(F.map_entries("message"))).withColumnRenamed("key", "name")
+
+
 @query
 def date_macros(spark, sf):
     return runlog.date_macros(table(spark, sf, "events").select("event_id", "ts"), "ts").drop("ts")
@@ -260,6 +303,15 @@ def url_params(spark, sf):
     )
 
 
+@query
+def form_fields(spark, sf):
+    """The query part of each URL read as a form body."""
+    body = F.try_parse_url(F.col("url"), F.lit("QUERY"))
+    return table(spark, sf, "pages").select(
+        "page_id", *[text.form_param(F.coalesce(body, F.lit("")), name).alias(name) for name in ("page", "ref")]
+    )
+
+
 @query
 def render_message(spark, sf):
     message = text.render(RECEIVED, "event_type")
@@ -313,11 +365,6 @@ def compare_predictors(spark, sf):
 # --- files and tables ---------------------------------------------------------------------
 
 
-@query
-def file_inventory(spark, sf):
-    return files.file_inventory(spark, sf)
-
-
 @query
 def station_csv(spark, sf):
     """Observations through headerless gzip files and back."""
@@ -349,8 +396,9 @@ def matrix_csv(spark, sf):
     """Vectors through wide numeric files and back; id and label stay key columns."""
     folder = new_folder(spark, "matrix-csv")
     samples = vectors(spark, sf).select("id", "label", "features")
-    write_csv(reshape.array_to_columns(samples, "features", WIDTH), folder)
-    return files.read_matrix_csv(spark, folder, WIDTH, samples.select("id", "label").schema)
+    wide = width(samples)
+    write_csv(reshape.array_to_columns(samples, "features", wide), folder)
+    return files.read_matrix_csv(spark, folder, wide, samples.select("id", "label").schema)
 
 
 @query
@@ -375,7 +423,9 @@ def append_rows(spark, sf):
         keys.user_token("event_id").alias("user_id"),
     )
     tables.append_rows(rows, name, required=rows.columns)
-    return spark.table(name)
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {tables.qualified(name)}")  # the files stay
+    return spark.read.schema(schema).parquet(folder)
 
 
 @query
@@ -387,8 +437,11 @@ def directory_listener(spark, sf):
     stream = listen(
         spark, inbox, new_folder(spark, "archive"), events.schema, "json", files_per_trigger=1000
     )
-    deliver(stream.drop("file_name"), sink, every=None).awaitTermination()
-    return spark.read.schema(events.schema).parquet(sink)
+    deliver(stream, sink, every=None).awaitTermination()
+    listened = spark.read.schema(stream.schema).parquet(sink)
+    # A row for each event, and whether its file's name has been kept.
+    named = F.col("file_name").rlike(r"^part-.*\.json$").alias("named")
+    return listened.select("event_id", "user_id", "event_type", "value", named)
 
 
 # --- fitted models ------------------------------------------------------------------------
@@ -412,30 +465,73 @@ def forest_forecast_lagged(spark, sf):
     return weather.forecast(lagged, forest.LAG_FEATURES)
 
 
+def estimators(samples: DataFrame) -> dict[str, Estimator]:
+    k = classes(samples)
+    return {
+        "l1_logistic": classifiers.l1_logistic(),
+        "l1_hinge": classifiers.l1_hinge(k),
+        "linear_svc": classifiers.linear_svc(),
+        "mlp": classifiers.perceptron([width(samples), 16, k]),
+    }
+
+
+def classified(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    samples = vectors(spark, sf)
+    return digits.classify(samples, estimators(samples)[name])
+
+
 @query
 def l1_classifier(spark, sf):
-    return digits.classify(vectors(spark, sf), classifiers.l1_logistic())
+    return classified(spark, sf, "l1_logistic")
 
 
 @query
 def l1_hinge_classifier(spark, sf):
-    return digits.classify(vectors(spark, sf), classifiers.l1_hinge(CLASSES))
+    return classified(spark, sf, "l1_hinge")
 
 
 @query
 def linear_svc_classifier(spark, sf):
-    return digits.classify(vectors(spark, sf), classifiers.linear_svc())
+    return classified(spark, sf, "linear_svc")
 
 
 @query
 def mlp_classifier(spark, sf):
-    return digits.classify(vectors(spark, sf), classifiers.perceptron([WIDTH, 16, CLASSES]))
+    return classified(spark, sf, "mlp")
 
 
 @query
 def score_models(spark, sf):
-    return digits.compare_saved(
-        vectors(spark, sf),
-        {"l1_logistic": classifiers.l1_logistic(), "l1_hinge": classifiers.l1_hinge(CLASSES)},
-        new_folder(spark, "models"),
-    )
+    samples = vectors(spark, sf)
+    chosen = {name: e for name, e in estimators(samples).items() if name.startswith("l1")}
+    return digits.compare_saved(samples, chosen, new_folder(spark, "models"))
+
+
+@query
+def classifier_rows(spark, sf):
+    """Every held-out row by every classifier: is the class in range, and the same after saving and loading?"""
+    samples = vectors(spark, sf)
+    return digits.reload_check(samples, estimators(samples), new_folder(spark, "models"), classes(samples))
+
+
+@query
+def linear_margins(spark, sf):
+    """Held-out rows: is the prediction the one that the coefficient table gives?"""
+    samples = vectors(spark, sf)
+    chosen = {name: e for name, e in estimators(samples).items() if name.startswith("l1")}
+    return digits.recomputed(samples, chosen)
+
+
+@query
+def model_scaler(spark, sf):
+    """Mean and deviation of each feature, from a model that has been saved and loaded."""
+    samples = vectors(spark, sf)
+    return digits.saved_scaler(samples, classifiers.l1_logistic(), new_folder(spark, "models"))
+
+
+@query
+def forest_holdout(spark, sf):
+    """The held-out observations, each with a finite forecast?"""
+    forecast = forest_forecast(spark, sf)
+    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
+    return forecast.select("station", "date", "tmax", finite.alias("finite"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from almanac.plans.catalog import MINUTE_BRANCHES, RANDOM_BRANCHES, RECEIVED, WIDTH
-
 _DAILY = "(SELECT user_id AS station, CAST(ts AS DATE) AS date, max(value) AS tmax FROM events GROUP BY 1, 2)"
 
 _LAGGED = f"""(
@@ -61,7 +59,7 @@ ORACLE: dict[str, str] = {
     "sql_over_this": "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1",
     "head_rows": "SELECT event_id, ts FROM events ORDER BY event_id LIMIT 5",
     "array_to_columns": "SELECT vec_id, "
-    + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS p{i}" for i in range(WIDTH))
+    + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS p{i}" for i in range(64))
     + " FROM embeddings",
     "columns_to_array": "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS features FROM embeddings",
     "assemble_features": """
@@ -77,13 +75,13 @@ ORACLE: dict[str, str] = {
     "exact_split": f"""
         SELECT vec_id, label, CASE WHEN pos < floor(n * 0.25) THEN 'train' ELSE 'test' END AS part
         FROM {_POSITIONS} WHERE pos < floor(n * 0.25) + ceil(n * 0.5)""",
-    "route_by_minute": f"""
+    "route_by_minute": """
         SELECT event_id,
-               CASE WHEN minute(ts) % 2 = 0 THEN '{MINUTE_BRANCHES[0]}' ELSE '{MINUTE_BRANCHES[1]}' END AS branch
+               CASE WHEN minute(ts) % 2 = 0 THEN 'dummy_task_1' ELSE 'dummy_task_2' END AS branch
         FROM events""",
     "random_branch": f"""
         SELECT event_id,
-               ({list(RANDOM_BRANCHES)})[{_hex("md5('42:' || CAST(event_id AS VARCHAR))", 8)} % 4 + 1] AS branch
+               (['branch_a', 'branch_b', 'branch_c', 'branch_d'])[{_hex("md5('42:' || CAST(event_id AS VARCHAR))", 8)} % 4 + 1] AS branch
         FROM events""",
     "gate_if": """
         SELECT o.*, g.g
@@ -139,8 +137,8 @@ ORACLE: dict[str, str] = {
                nullif(regexp_extract(url, '[?&]ref=([^&#]*)', 1), '') AS ref,
                nullif(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1), '') AS utm_source
         FROM pages""",
-    "render_message": f"""
-        SELECT event_id, format('{RECEIVED.replace("%s", "{}")}', event_type) AS message FROM events""",
+    "render_message": """
+        SELECT event_id, format('Remotely received value of {} for key=message', event_type) AS message FROM events""",
     "surrogate_keys": f"""
         SELECT event_id,
                CAST({_hex('md5(CAST(event_id AS VARCHAR))', 8)} % 123456789 AS INT) AS custom_id,
@@ -184,5 +182,35 @@ ORACLE: dict[str, str] = {
         SELECT CAST({_hex('md5(CAST(event_id AS VARCHAR))', 8)} % 123456789 AS INT) AS custom_id,
                ts AS timestamp, substr(md5(CAST(event_id AS VARCHAR)), 1, 10) AS user_id
         FROM events""",
-    "directory_listener": "SELECT event_id, user_id, event_type, value FROM events",
+    "directory_listener": "SELECT event_id, user_id, event_type, value, true AS named FROM events",
+    "lagged_features": f"""
+        SELECT t.station, t.date, t.latitude, t.longitude, t.elevation, CAST(dayofyear(t.date) AS INT) AS day_of_year,
+               t.tmax, y.tmax AS yesterday_tmax
+        FROM ({_OBSERVATIONS}) t JOIN ({_OBSERVATIONS}) y ON t.station = y.station AND t.date - 1 = y.date""",
+    "latest_map": """
+        SELECT user_id, arg_max(event_type, (ts, event_id)) AS name, arg_max(CAST(value AS VARCHAR), (ts, event_id)) AS value
+        FROM events GROUP BY user_id""",
+    "form_fields": """
+        SELECT page_id, nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS page,
+               nullif(regexp_extract(url, '[?&]ref=([^&#]*)', 1), '') AS ref
+        FROM pages""",
+    "flatten_vectors": "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS features FROM embeddings",
+    "date_rejects": """
+        SELECT page_id AS key, coalesce(nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), ''), 'none') AS d, false AS is_date
+        FROM pages
+        UNION ALL SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d'), true FROM orders""",
+    "model_scaler": f"""
+        SELECT pos, round(avg(x), 6) AS m, round(stddev_pop(x), 6) AS sd
+        FROM {_LONG} e JOIN (SELECT vec_id FROM {_POSITIONS} WHERE pos < floor(n * 0.75)) USING (vec_id) GROUP BY pos""",
+    "forest_holdout": f"""
+        SELECT station, date, tmax, isfinite(tmax) AS finite FROM ({_OBSERVATIONS})
+        WHERE {_hex("md5('15:' || station || ':' || CAST(date AS VARCHAR))", 8)} >= 3221225472""",
+    "classifier_rows": f"""
+        SELECT model, vec_id AS id, label, label BETWEEN 0 AND 9 AS in_range, vec_id IS NOT NULL AS same
+        FROM {_POSITIONS}, (VALUES ('l1_logistic'), ('l1_hinge'), ('linear_svc'), ('mlp')) m(model)
+        WHERE pos >= floor(n * 0.75) AND pos < floor(n * 0.75) + ceil(n * 0.25)""",
+    "linear_margins": f"""
+        SELECT model, vec_id AS id, label, vec_id IS NOT NULL AS same
+        FROM {_POSITIONS}, (VALUES ('l1_logistic'), ('l1_hinge')) m(model)
+        WHERE pos >= floor(n * 0.75) AND pos < floor(n * 0.75) + ceil(n * 0.25)""",
 }

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 
 from almanac.models.forest import SEASON_FEATURES, fit_forest
 from almanac.operators.splits import weighted_split
-from almanac.staging import stage
 
 # Shares of the two parts.
 SHARES = {"train": 0.75, "validation": 0.25}
@@ -17,9 +16,9 @@ SHARES = {"train": 0.75, "validation": 0.25}
 def forecast(observed: DataFrame, features: Sequence[str] = SEASON_FEATURES, seed: int = 15) -> DataFrame:
     """(station, date, tmax, prediction) of the validation rows.
 
-    The observations are written once; training and scoring read them back.
+    A row's part depends on its station and date only; training keeps its part in memory.
     """
-    parts = stage(weighted_split(observed, ["station", "date"], SHARES, seed), "observations")
+    parts = weighted_split(observed, ["station", "date"], SHARES, seed)
     model = fit_forest(parts.where("part = 'train'"), features)
     scored = model.transform(parts.where("part = 'validation'"))
     return scored.select("station", "date", "tmax", "prediction")

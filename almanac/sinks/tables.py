@@ -16,10 +16,19 @@ SINK_COLUMNS = {"custom_id": "INT", "timestamp": "TIMESTAMP_NTZ", "user_id": "VA
 def create_table(
     spark: SparkSession, name: str, columns: dict[str, str] = SINK_COLUMNS, location: str | None = None
 ) -> None:
-    """Create the table unless it is there already."""
-    ddl = ", ".join(f"`{column}` {kind} NOT NULL" for column, kind in columns.items())
-    place = "" if location is None else f" LOCATION '{location}'"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{place}")
+    """Create the table ``name`` or ``database.name`` unless it is there already."""
+    ddl = ", ".join(f"{quoted(column)} {kind} NOT NULL" for column, kind in columns.items())
+    place = "" if location is None else " LOCATION '{}'".format(location.replace("\\", "\\\\").replace("'", "\\'"))
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified(name)} ({ddl}) USING parquet{place}")
+
+
+def quoted(name: str) -> str:
+    """One identifier, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def qualified(name: str) -> str:
+    return ".".join(map(quoted, name.split(".")))
 
 
 def require_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -61,7 +70,7 @@ def insert_row(spark: SparkSession, table: str, values: Sequence) -> None:
     if any(v is None for v in values):
         raise ValueError("NULL in a NOT NULL column")
     marks = ", ".join("?" * len(values))
-    spark.sql(f"INSERT INTO {table} VALUES ({marks})", args=list(values))
+    spark.sql(f"INSERT INTO {qualified(table)} VALUES ({marks})", args=list(values))
 
 
 def append_jdbc(

@@ -86,3 +86,10 @@ def test_weighted_split_is_near_its_weights_and_independent_of_partitions(spark)
 def test_weighted_split_plans_no_shuffle(spark):
     plan = weighted_split(spark.range(10), "id", {"train": 3, "rest": 1}, 0)._jdf.queryExecution().toString()
     assert "Exchange" not in plan
+
+
+def test_a_row_without_an_id_is_an_error(spark):
+    rows = spark.createDataFrame([(1,), (None,)], "key long")
+    for run in (lambda: permuted(rows, "key", seed=0), lambda: exact_split(rows, "key", 1, 1, seed=0)):
+        with pytest.raises(Exception, match="NULL in id column key"):
+            run().collect()

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from almanac.operators.joins import align_on_key, join_heavy_keys, yesterday_join
+from almanac.operators.joins import align_on_key, yesterday_join
 
 
 def days(spark, rows):
@@ -51,31 +51,3 @@ def test_align_pairs_by_key_not_by_position(spark):
     y = spark.createDataFrame([(1, "y1"), (2, "y2")], "id int, y string")
     assert sorted((r.id, r.x, r.y) for r in align_on_key(x, y, "id").collect()) == [(1, "x1", "y1"), (2, "x2", "y2")]
 
-
-def test_heavy_key_join_equals_a_plain_left_join(spark):
-    rows = spark.range(3000).select(
-        "id", F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 7 == 0, F.lit(None))
-        .otherwise(F.col("id") % 50).cast("long").alias("k"),
-    )
-    per_key = spark.createDataFrame([(0, "hot"), (5, "five"), (None, "null"), (999, "unused")], "k long, v string")
-    expected = {0: "hot", 5: "five", None: "null"}
-    for pieces in (1, 16, 4096):
-        got = join_heavy_keys(rows, per_key, "k", ["id"], pieces).collect()
-        assert len(got) == 3000
-        assert all(r.v == expected.get(r.k) for r in got)
-        assert set(got[0].asDict()) == {"id", "k", "v"}
-
-
-def test_heavy_key_is_cut_into_pieces(spark):
-    rows = spark.range(3000).select("id", F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).cast("long").alias("k"))
-    per_key = rows.select("k").distinct().withColumn("v", F.lit(1))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = join_heavy_keys(rows, per_key, "k", ["id"], pieces=64)
-        sizes = [r.n for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(sizes) == 3000
-    assert max(sizes) < 1000

@@ -1,6 +1,7 @@
 import datetime as dt
 import math
 import random
+import warnings
 
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -165,6 +166,64 @@ def test_metrics_by_hand(spark):
     assert got.r2 == pytest.approx(1 - 5 / 8)
 
 
+def test_rows_without_a_prediction_do_not_count(spark):
+    rows = [(1.0, 1.0), (2.0, 1.5), (90.0, None)]
+    got = metrics.regression_metrics(spark.createDataFrame(rows, "y double, p double"), "y", "p").first()
+    assert got.r2 == pytest.approx(1 - 0.125 / 0.25)
+
+
+def test_vectors_of_another_width_are_an_error(spark):
+    scaler = scaling.fit_scaler(spark.createDataFrame([([1.0, 2.0],), ([3.0, 5.0],), (None,)], "x array<double>"), "x")
+    assert scaler.first().n == 2
+    for wrong in ([1.0], [1.0, 2.0, 3.0]):
+        df = spark.createDataFrame([(wrong,)], "x array<double>")
+        with pytest.raises(Exception, match="expected 2 elements"):
+            scaling.standardize(df, "x", scaler).collect()
+    nothing = spark.createDataFrame([(None,)], "x array<double>")
+    assert scaling.standardize(nothing, "x", scaler).first().scaled is None
+
+
+def test_labels_out_of_range_are_an_error(separable):
+    with pytest.raises(ValueError, match="labels must be 0 to 1"):
+        classifiers.fit_models(separable, {"m": classifiers.l1_hinge(2)})
+
+
+def test_training_goes_on_until_it_converges(spark):
+    """Vectors whose classes are hard to tell apart: the first step must not be taken for the end."""
+    from almanac.plans.inputs import vectors
+
+    train, test = digits.train_and_test(vectors(spark, "/root/testdata/sf0.01"))
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", RuntimeWarning)
+        models = classifiers.fit_models(
+            train, {"l1_logistic": classifiers.l1_logistic(), "l1_hinge": classifiers.l1_hinge(10), "linear_svc": classifiers.linear_svc()}
+        )
+    for model in models.values():
+        assert all(1 <= steps < classifiers.MOST_STEPS for steps in classifiers.steps_taken(model.stages[-1]))
+    logistic = models["l1_logistic"].stages[-1]
+    history = logistic.summary.objectiveHistory
+    assert history[-1] < history[0] - 0.01
+    assert (logistic.coefficientMatrix.toArray() != 0).any()
+    assert classifiers.predict(models["l1_logistic"], test).select("prediction").distinct().count() > 1
+
+
+def test_a_fit_that_meets_its_cap_is_reported(separable):
+    with pytest.warns(RuntimeWarning, match="stopped after 1 steps"):
+        classifiers.fit_models(separable, {"m": classifiers.l1_logistic(max_iter=1)})
+
+
+def test_the_scaler_is_one_job(separable):
+    rows = classifiers.with_vector(separable)
+    rows.count()
+    context = separable.sparkSession.sparkContext
+    context.setJobGroup("scaler", "scaler")
+    try:
+        classifiers.fit_scaling(rows)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("scaler")) <= 2  # adaptive execution runs a shuffle as a job
+
+
 def test_r2_of_a_constant_is_null(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 1.0)], "y double, p double")
     assert metrics.regression_metrics(df, "y", "p").first().r2 is None

@@ -4,10 +4,10 @@ import pytest
 from oracle_check import connect, differences
 
 import __spark_entry__ as contract
+from almanac.plans.catalog import QUERIES
+from almanac.plans.oracle import ORACLE as SQL
 
 SF = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
 UNCHECKED = sorted(set(QUERIES) - set(SQL))
 
 
@@ -30,12 +30,23 @@ def test_every_sql_belongs_to_a_query():
     assert set(SQL) <= set(QUERIES)
 
 
-def test_only_models_and_listings_go_without_sql():
+def test_only_fitted_values_go_without_sql():
     assert UNCHECKED == [
-        "file_inventory", "forest_forecast", "forest_forecast_lagged", "forest_validation",
+        "forest_forecast", "forest_forecast_lagged", "forest_validation",
         "l1_classifier", "l1_hinge_classifier", "linear_svc_classifier", "mlp_classifier", "score_models",
     ]
 
 
+def test_all_of_them_are_registered():
+    assert QUERIES.items() <= contract.queries().items()
+    assert SQL.items() <= contract.oracle_sql().items()
+
+
+def test_appending_leaves_no_table_behind(spark):
+    before = spark.catalog.listTables()
+    assert QUERIES["append_rows"](spark, SF).count() > 0
+    assert spark.catalog.listTables() == before
+
+
 def test_entry_has_a_stable_schema(spark):
     assert contract.entry(spark).columns == ["station", "date", "tmax", "yesterday_tmax"]

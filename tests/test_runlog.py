@@ -23,6 +23,8 @@ def log(spark, rows):
         (("skipped", "skipped"), False, False, True),
         (("failed", "skipped"), False, False, True),
         (("success", "running"), False, True, False),
+        (("success", None), False, True, False),
+        ((None, None), False, False, False),
     ],
 )
 def test_trigger_rules(spark, states, all_success, one_success, all_done):
@@ -131,3 +133,32 @@ def test_aggregates_combine_before_the_shuffle(spark):
     runs = spark.range(1000).select((F.col("id") % 2).alias("run"), F.lit("success").alias("state"))
     plan = runlog.trigger_rules(runs, ["run"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
+
+
+def test_a_long_calendar_is_made_by_many_tasks_in_runs(spark):
+    runs = log(spark, [("a", 1, 0, "x"), ("a", 2, 2 * 24 * 60, "x")])
+    grid = runlog.schedule_grid(runs, "ts", "1 second", "id")
+    assert grid.count() == 2 * 86400 + 1
+    assert grid.agg(F.sum("n"), F.countDistinct("slot")).first() == (2, 2 * 86400 + 1)
+    plan = grid._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
+
+
+def test_seventy_years_of_seconds_can_be_planned(spark):
+    runs = log(spark, [("a", 1, 0, "x"), ("a", 2, 70 * 365 * 24 * 60, "x")])
+    grid = runlog.schedule_grid(runs, "ts", "1 second", "id")
+    assert grid.limit(5).count() == 5
+
+
+def test_grid_of_no_rows_is_empty(spark):
+    assert runlog.schedule_grid(log(spark, []).limit(0), "ts", "1 hour", "id").collect() == []
+
+
+def test_depends_on_past_reads_its_input_twice(spark):
+    runs = spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumn(
+        "state", F.when(F.col("event_type") == "error", "failed").otherwise("success")
+    )
+    plan = runlog.depends_on_past(runs, "user_id", ["ts", "event_id"])._jdf.queryExecution().executedPlan().toString()
+    # The log itself and the first failures, which are written by one more scan of the log.
+    assert plan.count("FileScan") == 2
+    assert "Window" not in plan

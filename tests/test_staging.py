@@ -1,3 +1,6 @@
+import os
+import subprocess
+import sys
 from types import SimpleNamespace
 
 from pyspark.sql import functions as F
@@ -33,13 +36,27 @@ def test_stage_writes_below_the_folder_and_keeps_the_schema(spark):
     assert staged.count() == 10
 
 
-def test_a_session_that_sets_nothing_can_stage_and_clean(spark, tmp_path):
-    plain = spark.newSession()
-    plain.conf.unset("spark.checkpoint.dir")
-    plain.conf.set("spark.checkpoint.dir", "")
-    assert staging.staging_root(plain) == plain.conf.get("spark.sql.warehouse.dir")
-    plain.conf.set("spark.checkpoint.dir", str(tmp_path))
-    staged = staging.stage(plain.range(5).select(F.col("id") * 2), "numbers")
+def test_what_has_been_staged_can_be_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "staging_root", lambda session: str(tmp_path))
+    staged = staging.stage(spark.range(5).select(F.col("id") * 2), "numbers")
     assert staged.count() == 5
-    assert staging.clean(plain)
+    assert staging.clean(spark)
     assert not list(tmp_path.glob("almanac/*"))
+
+
+def test_a_session_that_sets_nothing_can_run_every_kind_of_staging(tmp_path):
+    """In a process of its own, since a session's folders cannot be changed."""
+    code = """
+from pyspark.sql import SparkSession
+import __spark_entry__ as contract
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+for name in ("row_index", "append_rows", "station_csv", "depends_on_past"):
+    assert contract.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+from almanac import staging
+assert staging.clean(spark)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": root}, capture_output=True, text=True
+    )
+    assert done.returncode == 0, done.stderr[-2000:]

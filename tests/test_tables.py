@@ -66,3 +66,13 @@ def test_violations_are_counted_in_one_scan(spark):
     df = rows(spark, (1, NOW, "a"), (None, NOW, None), (3, None, None))
     got = tables.null_violations(df, COLUMNS, "t").collect()
     assert [(r.column_name, r.violations) for r in got] == [("custom_id", 1), ("timestamp", 1), ("user_id", 2)]
+
+
+def test_names_and_places_are_quoted(spark, folder):
+    name, place = "odd `name` " + uuid.uuid4().hex, f"{folder}/it's"
+    tables.create_table(spark, name, {"a b": "INT"}, location=place)
+    try:
+        tables.insert_row(spark, name, [1])
+        assert [tuple(r) for r in spark.read.parquet(place).collect()] == [(1,)]
+    finally:
+        spark.sql(f"DROP TABLE {tables.qualified(name)}")
