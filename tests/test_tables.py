@@ -69,7 +69,8 @@ def test_violations_are_counted_in_one_scan(spark):
 
 
 def test_names_and_places_are_quoted(spark, folder):
-    name, place = "odd `name` " + uuid.uuid4().hex, f"{folder}/it's"
+    assert tables.qualified("db.odd `name`") == "`db`.`odd ``name```"
+    name, place = "sink_" + uuid.uuid4().hex, f"{folder}/it's"
     tables.create_table(spark, name, {"a b": "INT"}, location=place)
     try:
         tables.insert_row(spark, name, [1])
