@@ -125,9 +125,151 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM doc LEFT JOIN hit USING (uid) LEFT JOIN items USING (uid)
 """
 
+# Matches of each kind and their places: matches and the pieces between them alternate.
+def _places(kinds: str) -> str:
+    return rf"""doc AS (
+    SELECT doc_id, row_number() OVER () AS uid, coalesce(text, '') AS text FROM documents
+), kinds(kind, name, pattern) AS (
+    VALUES {kinds}
+), searched AS (
+    SELECT uid, kind, regexp_extract_all(text, pattern) AS found, string_split_regex(text, pattern) AS gaps FROM doc, kinds
+), alternating AS (
+    SELECT uid, kind, unnest(range(1, len(found) + 1)) AS i, unnest(found) AS value, unnest(gaps[1:len(found)]) AS gap
+    FROM searched WHERE len(found) > 0
+), place AS (
+    SELECT uid, kind, value, start, start + length(value) AS stop
+    FROM (
+        SELECT uid, kind, value, (length(gap) + coalesce(sum(length(gap) + length(value)) OVER (
+            PARTITION BY uid, kind ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start
+        FROM alternating)
+)"""
+
+
+def _digest(base: str, every: str) -> str:
+    """Counts are added by the caller; checksum of the base spans, and all spans as text."""
+    one = "name || ':' || start || ':' || stop"
+    return f"""checksum AS (
+    SELECT uid, sha256(string_agg({one}, ',' ORDER BY start, kind)) AS base_sha256 FROM {base} JOIN kinds USING (kind) GROUP BY uid
+), listed AS (
+    SELECT uid, string_agg({one}, ',' ORDER BY start, kind) AS spans FROM {every} JOIN kinds USING (kind) GROUP BY uid
+)"""
+
+
+_VALUE = "[A-Za-z0-9+/_.=-]"
+_ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?(""" + _VALUE + "+)"
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+
+# Equal to the query as long as all documents are in its training sample of 20,000.
+SECRET_SCAN = rf"""
+WITH {_places(f"(0, 'assign', '{_ASSIGN}'), (1, 'access', 'AKIA[A-Z0-9]+'), (2, 'hex', '[0-9a-f]+'), (3, 'random', '[A-Za-z0-9+/_=-]+')")},
+base AS (
+    SELECT *, CASE kind WHEN 0 THEN regexp_extract(value, '{_ASSIGN}', 1) ELSE value END AS secret FROM place
+    WHERE kind = 0 AND length(regexp_extract(value, '{_ASSIGN}', 1)) >= 6
+        OR kind = 1 AND length(value) >= 20 OR kind = 2 AND length(value) >= 24
+), token AS (
+    SELECT * FROM place t WHERE kind = 3 AND length(value) >= 16
+        AND NOT EXISTS (SELECT 1 FROM base b WHERE b.uid = t.uid AND b.start < t.stop AND t.start < b.stop)
+), sample AS (
+    SELECT true AS random, row_number() OVER () AS n, regexp_replace(secret, '[^A-Za-z0-9+/_=-]', '', 'g') AS token FROM base
+    UNION ALL SELECT false, -row_number() OVER (), value FROM token WHERE NOT regexp_matches(value, '[0-9]')
+), sample_char AS (
+    SELECT random, n, unnest(range(1, length(token) + 1)) AS i, strpos('{_ALPHABET}', unnest(string_split(token, ''))) AS c
+    FROM sample WHERE token <> ''
+), pair AS (
+    SELECT DISTINCT random, n, coalesce(lag(c) OVER (PARTITION BY random, n ORDER BY i), 0) AS a, c AS b FROM sample_char
+), counted AS (
+    SELECT a, b, count(*) FILTER (random) AS r, count(*) FILTER (NOT random) AS o FROM pair GROUP BY a, b
+), grid AS (
+    SELECT g.a, h.b, coalesce(r, 0)::DOUBLE AS r, coalesce(o, 0)::DOUBLE AS o
+    FROM range(68) g(a) CROSS JOIN range(68) h(b) LEFT JOIN counted USING (a, b)
+), ratio AS (
+    SELECT a, b, round(1000 * ln(
+        (0.5::DOUBLE * CASE WHEN sum(r) OVER of_a > 0 THEN r / sum(r) OVER of_a ELSE 1 / 67::DOUBLE END + 0.5::DOUBLE / 67)
+        / (0.9::DOUBLE * (o + 10 * CASE WHEN sum(o) OVER () > 0 THEN sum(o) OVER (PARTITION BY b) / sum(o) OVER () ELSE 1 / 67::DOUBLE END)
+            / (sum(o) OVER of_a + 10) + 0.1::DOUBLE / 67)))::INTEGER AS ratio
+    FROM grid WINDOW of_a AS (PARTITION BY a)
+), token_char AS (
+    SELECT uid, start, unnest(range(1, length(value) + 1)) AS i, strpos('{_ALPHABET}', unnest(string_split(value, ''))) AS b
+    FROM token WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+), token_pair AS (
+    SELECT uid, start, coalesce(lag(b) OVER (PARTITION BY uid, start ORDER BY i), 0) AS a, b FROM token_char
+), random AS (
+    SELECT uid, start FROM token_pair JOIN ratio USING (a, b) GROUP BY uid, start HAVING sum(ratio) > 10000
+), every AS (
+    SELECT uid, kind, start, stop FROM base UNION ALL SELECT uid, kind, start, stop FROM token JOIN random USING (uid, start)
+), {_digest("base", "every")},
+counts AS (
+    SELECT uid, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS k, count(*) FILTER (kind = 2) AS h FROM base GROUP BY uid
+)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_access, coalesce(h, 0)::BIGINT AS n_hex,
+    coalesce(base_sha256, sha256('')) AS base_sha256, coalesce(spans, '') AS spans
+FROM doc LEFT JOIN counts USING (uid) LEFT JOIN checksum USING (uid) LEFT JOIN listed USING (uid)
+"""
+
+# A context ends after 80 code points or at the neighbouring match of its kind.
+PRIVATE_DATA = rf"""
+WITH {_places(r"(0, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+'), (1, 'ip', '[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+'), (2, 'card', '[0-9]+(?:[\x20-][0-9]+)*'), (3, 'phone', '\+[0-9][\x20().0-9-]+[0-9]'), (4, 'term', 'x^y')")},
+neighbour AS (
+    SELECT uid, kind, unnest(gaps[1:len(found)]) AS before, unnest(gaps[2:len(found) + 1]) AS after, unnest(range(1, len(found) + 1)) AS i
+    FROM searched WHERE len(found) > 0
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY uid, kind ORDER BY start) AS i, regexp_replace(value, '[^0-9]', '', 'g') AS digits FROM place
+), base AS (
+    SELECT uid, kind, start, stop, "right"(before, 80) AS before, "left"(after, 80) AS after,
+        kind || ':' || CASE WHEN kind < 2 THEN lower(value) ELSE digits END AS entity
+    FROM numbered JOIN neighbour USING (uid, kind, i)
+    WHERE CASE kind WHEN 0 THEN true
+        WHEN 1 THEN list_bool_and(list_transform(string_split(value, '.'),
+            lambda x: length(ltrim(x, '0')) <= 3 AND ('0' || right(ltrim(x, '0'), 3))::INTEGER <= 255))
+        WHEN 2 THEN length(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1),
+            lambda j: CASE WHEN j % 2 = 0 THEN ([0, 2, 4, 6, 8, 1, 3, 5, 7, 9])[substr(reverse(digits), j, 1)::INTEGER + 1]
+                ELSE substr(reverse(digits), j, 1)::INTEGER END)) % 10 = 0
+        ELSE length(digits) BETWEEN 9 AND 15 END
+), context AS (
+    SELECT uid, entity, start, row_number() OVER () AS c, before AS text, start - length(before) AS edge, true AS is_left FROM base
+    UNION ALL SELECT uid, entity, start, -row_number() OVER (), after, stop, false FROM base
+), context_words AS (
+    SELECT uid, entity, c, edge, is_left, text, regexp_extract_all(text, '\p{{L}}{{2,}}') AS found, string_split_regex(text, '\p{{L}}{{2,}}') AS gaps FROM context
+), context_alternating AS (
+    SELECT uid, entity, c, edge, is_left, length(text) AS size, unnest(range(1, len(found) + 1)) AS i, unnest(found) AS value, unnest(gaps[1:len(found)]) AS gap
+    FROM context_words WHERE len(found) > 0
+), near AS (
+    SELECT uid, entity, lower(value) AS term, (edge + own)::BIGINT AS start, (edge + own + length(value))::BIGINT AS stop
+    FROM (
+        SELECT *, length(gap) + coalesce(sum(length(gap) + length(value)) OVER (
+            PARTITION BY c ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS own
+        FROM context_alternating)
+    WHERE CASE WHEN is_left THEN own > 0 OR size < 80 ELSE own + length(value) < size OR size < 80 END
+), outside AS (
+    SELECT * FROM near n WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.uid = n.uid AND b.start < n.stop AND n.start < b.stop)
+), together AS (
+    SELECT entity, term, count(*) AS n_tc FROM outside GROUP BY ALL
+), around AS (
+    SELECT entity, sum(n_tc) AS n_c FROM together GROUP BY entity
+), corpus AS (
+    SELECT term, count(*) AS n_t, sum(count(*)) OVER () AS n
+    FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{{L}}{{2,}}')) AS term FROM doc) GROUP BY term
+), told AS (
+    SELECT entity, term FROM together JOIN corpus USING (term) JOIN around USING (entity)
+    WHERE n_tc >= 3 AND n > n_c AND log2((least(n_tc, n_t) * n)::DOUBLE / (n_t * n_c)::DOUBLE) / log2(n::DOUBLE / n_c) >= 0.9
+), every AS (
+    SELECT uid, kind, start, stop FROM base
+    UNION ALL SELECT DISTINCT uid, 4, start, stop FROM outside JOIN told USING (entity, term)
+), {_digest("base", "every")},
+counts AS (
+    SELECT uid, count(*) FILTER (kind = 0) AS e, count(*) FILTER (kind = 1) AS i, count(*) FILTER (kind = 2) AS c,
+        count(*) FILTER (kind = 3) AS p FROM base GROUP BY uid
+)
+SELECT doc_id, coalesce(e, 0)::BIGINT AS n_email, coalesce(i, 0)::BIGINT AS n_ip, coalesce(c, 0)::BIGINT AS n_card,
+    coalesce(p, 0)::BIGINT AS n_phone, coalesce(base_sha256, sha256('')) AS base_sha256, coalesce(spans, '') AS spans
+FROM doc LEFT JOIN counts USING (uid) LEFT JOIN checksum USING (uid) LEFT JOIN listed USING (uid)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_url_reputation": URL_REPUTATION,
+    "op4_private_data": PRIVATE_DATA,
     "op6_mix_sources": MIX_SOURCES,
     "op7_top_k": TOP_K,
     "op8_benchmark_leaks": BENCHMARK_LEAKS,
+    "op10_secret_scan": SECRET_SCAN,
 }
