@@ -12,13 +12,14 @@ from pyspark.sql import types as T
 
 from almanac.functions import keys, text
 from almanac.models import classifiers, forest
+from almanac.models.caching import cached
 from almanac.operators import indexing, joins, metrics, reshape, routing, runlog, scaling, splits
 from almanac.plans import digits, weather
 from almanac.plans.inputs import daily, observations, runs, table, vectors
 from almanac.sinks import tables
 from almanac.sinks.files import write_csv
 from almanac.sources import files
-from almanac.staging import new_folder
+from almanac.staging import new_folder, stage
 from almanac.streaming.listener import deliver, listen
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,13 +40,14 @@ def query(fn: Query) -> Query:
 
 
 def width(samples: DataFrame, column: str = "features") -> int:
-    """Elements of the vectors, from the first row; rows of another width fail later."""
-    return samples.select(F.size(column)).first()[0]
+    """Elements of the vectors, from the first row; rows of another width fail later.  An empty table has none."""
+    first = samples.select(F.size(column)).first()
+    return first[0] if first else 0
 
 
 def classes(samples: DataFrame) -> int:
     """Labels run from 0 to this number less one."""
-    return samples.agg(F.max("label")).first()[0] + 1
+    return (samples.agg(F.max("label")).first()[0] or 0) + 1
 
 
 # --- calendar features and joins -------------------------------------------------
@@ -343,6 +345,15 @@ def standardize(spark, sf):
     return scaled.select("vec_id", F.posexplode_outer("scaled").alias("pos", "z")).withColumn("z", F.round("z", 6))
 
 
+@query
+def cached_shares(spark, sf):
+    """Share of each event type; the events are kept in memory for two passes over them."""
+    with cached(table(spark, sf, "events").select("event_type")) as kept:
+        total = kept.count()
+        counts = stage(kept.groupBy("event_type").agg(F.count("*").alias("n")), "event-types")
+    return counts.withColumn("share", F.round(F.col("n") / F.lit(total), 6))
+
+
 @query
 def zero_share(spark, sf):
     weights = table(spark, sf, "embeddings").select(F.posexplode("embedding").alias("pos", "x"))

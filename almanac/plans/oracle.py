@@ -150,6 +150,9 @@ ORACLE: dict[str, str] = {
         SELECT vec_id, pos, round((x - m) / CASE WHEN sd = 0 THEN 1 ELSE sd END, 6) AS z
         FROM {_LONG} e JOIN (SELECT pos, avg(x) AS m, stddev_pop(x) AS sd FROM {_LONG} GROUP BY pos) s
         USING (pos)""",
+    "cached_shares": """
+        SELECT event_type, count(*) AS n, round(count(*)::DOUBLE / sum(count(*)) OVER (), 6) AS share
+        FROM events GROUP BY event_type""",
     "zero_share": f"""
         SELECT pos, round(avg(CASE WHEN abs(x) < 0.05 THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS zero_pct
         FROM {_LONG} GROUP BY pos""",
