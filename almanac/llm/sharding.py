@@ -30,6 +30,12 @@ ROW_BYTES = 8
 # Items per shard: finer items give more even shards and more work for the driver.
 PIECES = 256
 
+# For very many shards they are coarser: the driver packs about so many items, but no fewer than LEAST_PIECES a shard.
+MOST_ITEMS, LEAST_PIECES = 2_000_000, 16
+
+# Items up to which their bins are broadcast: some 24 MB.
+MOST_BROADCAST = 1_000_000
+
 # Parts into which each item's rows are dealt for numbering.
 UNITS = 64
 
@@ -72,7 +78,8 @@ def assign(
     )
     groups = stage(keyed.groupBy("__group").agg(F.sum("size").alias("size")), "groups")
     total = groups.agg(F.sum("size")).first()[0] or 0
-    n_items = pieces * (shards or max(1, -(-total // capacity)))
+    bins_wanted = shards or max(1, -(-total // capacity))
+    n_items = bins_wanted * max(LEAST_PIECES, min(pieces, MOST_ITEMS // bins_wanted))
     limit = total // n_items
     parcel = F.pmod("__group", F.lit(n_items))
     parcels = groups.where(F.col("size") <= limit).groupBy(parcel.alias("item")).agg(F.sum("size").alias("size"))
@@ -86,6 +93,9 @@ def assign(
         [(r["__group"], n_items + i, bins[n_items + i]) for i, r in enumerate(large)],
         "__large bigint, __item bigint, __own int",
     )
+    # Both have fewer rows than there may be items, whatever the size of the data.
+    if n_items <= MOST_BROADCAST:
+        of_large, of_parcel = F.broadcast(of_large), F.broadcast(of_parcel)
     placed = (
         keyed.join(of_large, F.col("__group") == F.col("__large"), "left")
         .join(of_parcel, F.when(F.col("__item").isNull(), parcel) == F.col("__parcel"), "left")

@@ -160,8 +160,8 @@ def links(prints: DataFrame, max_bits: int, most_rows: int = MOST_ROWS) -> DataF
     return shuffled.mapInArrow(_links(max_bits), "a bigint, b bigint")
 
 
-def _members(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
-    """``docs`` with __row, __print, __root and component_id."""
+def _placed(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with __row and __print, and (__of, __root, component_id) for each distinct fingerprint."""
     marked = stage(
         docs.drop("fingerprint", "component_id")
         .withColumn("__print", fingerprint_column(F.col("text"), shingle))
@@ -186,24 +186,34 @@ def _members(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
         ),
         "placed",
     )
-    return marked.join(placed, F.col("__print") == F.col("__of")).drop("__of")
+    return marked, placed
 
 
 def cluster(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = golay.MAX_BITS) -> DataFrame:
     """``docs`` with fingerprint (16 hex digits) and component_id (smallest ``doc_id`` it is linked to)."""
+    marked, placed = _placed(docs, shingle, max_bits)
     return (
-        _members(docs, shingle, max_bits)
+        marked.join(placed, F.col("__print") == F.col("__of"))
         .withColumn("fingerprint", F.lower(F.lpad(F.hex("__print"), 16, "0")))
-        .drop("__row", "__print", "__root")
+        .drop("__row", "__print", "__of", "__root")
     )
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = golay.MAX_BITS) -> DataFrame:
-    """``docs`` as given, with one document of each component: that with the smallest ``doc_id``."""
-    members = _members(docs.select("doc_id", "text", F.struct(*docs.columns).alias("__doc")), shingle, max_bits)
+    """``docs`` as given, with one document of each component: that with the smallest ``doc_id``.
+
+    Only the numbers of rows are joined and grouped; the documents meet the few rows that go.
+    """
+    marked, placed = _placed(
+        docs.select("doc_id", "text", F.struct(*docs.columns).alias("__doc")), shingle, max_bits
+    )
+    rows = marked.select("__row", "doc_id", "__print").join(placed, F.col("__print") == F.col("__of"))
     kept = stage(
-        members.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("__root").agg(F.min("__row").alias("__row")).select("__row"),
+        rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy(F.col("__root").alias("__kept_root")).agg(F.min("__row").alias("__kept")),
         "kept",
     )
-    return members.join(kept, "__row", "left_semi").select("__doc.*")
+    gone = stage(
+        rows.join(kept, F.col("__root") == F.col("__kept_root")).where("__row <> __kept").select("__row"), "gone"
+    )
+    return marked.join(gone, "__row", "left_anti").select("__doc.*")
