@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from almanac.operators.indexing import with_row_index
 from almanac.staging import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -52,12 +53,12 @@ def targets(sources: DataFrame, weights: tuple[float, ...], most_epochs: int) ->
     source cannot take is shared among the others by weight, until none is above.
     Each round of sharing is one sum over the sources.
     """
-    order = Window.orderBy(F.col("source").asc_nulls_last())
     cycle = F.array(*[F.lit(float(w)) for w in weights])
+    placed = with_row_index(sources, [F.col("source").asc_nulls_last()], "place")
     ranked = stage(
-        sources.withColumn(
-            "weight", F.get(cycle, ((F.row_number().over(order) - 1) % len(weights)).cast("int"))
-        ).withColumn("most", F.col("size") * most_epochs),
+        placed.withColumn("weight", F.get(cycle, (F.col("place") % len(weights)).cast("int")))
+        .withColumn("most", F.col("size") * most_epochs)
+        .drop("place"),
         "sources",
     )
     total = ranked.agg(F.sum("size")).first()[0] or 0
