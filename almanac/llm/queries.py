@@ -114,12 +114,11 @@ def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_shard_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign(
-        table(spark, sf_dir, "documents").select("doc_id", "text"), shards=SHARDS
-    ).select(
-        "doc_id", "size",
-        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
-        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    checksum = F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", checksum)
+    return sharding.assign(docs, shards=SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
     )
 
 
