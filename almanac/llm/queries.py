@@ -93,7 +93,7 @@ def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = token_files.write(table(spark, sf_dir, "documents"), TOKENIZER)
+    manifest = token_files.write(table(spark, sf_dir, "documents"), TOKENIZER, by_words=True)
     return token_files.read_documents(spark, manifest)
 
 

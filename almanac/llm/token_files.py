@@ -14,8 +14,7 @@ Documents are range-partitioned and sorted by ``doc_id``; each task writes one
 file under a name of its own and reports it, and only reported files are read, so a
 task that is lost or run twice leaves no trace in the result.
 
-Words are encoded once per worker and kept (the tokenizer drops white space, so a text's ids are
-its words' ids in turn); the store is emptied when it holds ``MOST_WORDS``.
+With ``by_words`` the pieces of words are encoded once per worker and kept (see :class:`WordEncoder`).
 
 Nulls and odd rows: a null text counts as empty and has the end id only.  Null ids come first; rows equal in
 ``doc_id`` are ordered by a hash of the text, then the text.  An empty table gives an empty result.
@@ -48,11 +47,22 @@ BLOCK = 4096
 # Blocks packed, written, read and unpacked at once.
 BLOCKS_AT_ONCE = 64
 
-# Words whose ids a worker keeps.
-MOST_WORDS = 1 << 19
+# Pieces in each of the two generations that a worker keeps: some 80 MB each.
+MOST_PIECES = 400_000
 
-_tokenizers: dict[str, Tokenizer] = {}
-_words: dict[tuple[str, int], dict[bytes, bytes]] = {}
+# Documents taken from a batch at once.
+ROWS_AT_ONCE = 512
+
+# 1 for ASCII letters, 2 for other ASCII characters but the apostrophe, 0 for the rest.
+_KINDS = np.array(
+    [0 if b >= 0x80 or b == 0x27 else 1 if bytes([b]).isalpha() else 2 for b in range(256)], dtype=np.uint8
+)
+
+# What a byte-level tokenizer shows its model for a byte: printable bytes as they are, the others from U+0100 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARACTERS = {b: 0x100 + i for i, b in enumerate(b for b in range(0x100) if b not in _PRINTABLE)}
+
+_encoders: dict[tuple[str, bool], WordEncoder | TextEncoder] = {}
 
 
 def width(vocabulary: int) -> int:
@@ -91,25 +101,86 @@ def unpack(data: bytes, bits: int, n: int) -> np.ndarray:
     return out.reshape(-1)[:n]
 
 
-def encode(text: bytes, tokenizer: Tokenizer, known: dict[bytes, bytes]) -> bytes:
-    """Ids of a text as little-endian uint32."""
-    words = text.split()
-    missing = list({w for w in words if w not in known})
-    if missing:
-        if len(known) + len(missing) > MOST_WORDS:
-            known.clear()
-            missing = list(set(words))
-        found = tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-        known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(missing, found, strict=True))
-    return b"".join(map(known.__getitem__, words))
+class WordEncoder:
+    """Encodes piece by piece and keeps what it has encoded.
+
+    Only for tokenizers that drop white space, ignore case and never join a letter with an ASCII
+    character that is neither letter nor apostrophe: blanks put between such characters change no id, and a text's
+    ids are those of its pieces between white space, in turn.  Composed letters are left to the
+    tokenizer, and so are texts that may hold a special token.
+
+    Pieces are kept in two generations: when the young one is full it becomes the old one, and what is met
+    again moves back.
+    """
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.tokenizer, self.young, self.old = tokenizer, {}, {}
+
+    def __call__(self, text: bytes) -> bytes:
+        if b"<|" not in text:
+            text = with_seams(text.lower() if text.isascii() else text)
+        pieces = text.split()
+        missing = set(pieces).difference(self.young)
+        if len(self.young) + len(missing) > MOST_PIECES:
+            self.old, self.young = self.young, {}
+            missing = set(pieces)
+        if missing:
+            self._learn(missing)
+        return b"".join(map(self.young.__getitem__, pieces))
+
+    def _learn(self, pieces: set[bytes]) -> None:
+        young, old, other = self.young, self.old, []
+        for p in pieces:
+            if p in old:
+                young[p] = old[p]
+            elif (word := plain_word(p)) is not None:
+                young[p] = _as_bytes([t.id for t in self.tokenizer.model.tokenize(word)])
+            else:
+                other.append(p)
+        found = self.tokenizer.encode_batch_fast([p.decode() for p in other], add_special_tokens=False)
+        young.update((p, _as_bytes(e.ids)) for p, e in zip(other, found, strict=True))
+
+
+def plain_word(piece: bytes) -> str | None:
+    """The piece as the tokenizer's model sees it, if it is letters below U+0180 only; else null.
+
+    Such letters are composed already, and all but one have a single lower-case letter.  The model sees a character for each byte.
+    """
+    if piece.isalpha():
+        return piece.lower().decode()
+    text = piece.decode()
+    if text.isalpha() and max(text) < "\u0180" and "\u0130" not in text:
+        return text.lower().encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+    return None
+
+
+def with_seams(text: bytes) -> bytes:
+    """``text`` with blanks between ASCII letters and ASCII characters that are neither letter nor apostrophe."""
+    raw = np.frombuffer(text, dtype=np.uint8)
+    kinds = _KINDS[raw]
+    seams = np.flatnonzero(kinds[:-1] + kinds[1:] == 3)
+    return np.insert(raw, seams + 1, ord(" ")).tobytes() if len(seams) else text
+
+
+class TextEncoder:
+    """Encodes whole texts, for any tokenizer."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.tokenizer = tokenizer
+
+    def __call__(self, text: bytes) -> bytes:
+        return _as_bytes(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids)
+
+
+def _as_bytes(ids: list[int]) -> bytes:
+    return np.array(ids, dtype="<u4").tobytes()
 
 
-def tokenizer_at(path: str) -> tuple[Tokenizer, dict[bytes, bytes]]:
-    """Loaded once per worker, with the words it has encoded."""
-    if path not in _tokenizers:
-        _tokenizers[path] = Tokenizer.from_file(path)
-        _words[path] = {}
-    return _tokenizers[path], _words[path]
+def encoder_at(path: str, by_words: bool) -> WordEncoder | TextEncoder:
+    """Loaded once per worker, with the pieces it has encoded."""
+    if (path, by_words) not in _encoders:
+        _encoders[path, by_words] = (WordEncoder if by_words else TextEncoder)(Tokenizer.from_file(path))
+    return _encoders[path, by_words]
 
 
 def _uri(path: str) -> str:
@@ -184,7 +255,7 @@ class Reader:
         return known[start - first * self.block : end - first * self.block]
 
 
-def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None) -> DataFrame:
+def write(docs: DataFrame, tokenizer_path: str, by_words: bool = False, folder: str | None = None) -> DataFrame:
     """(shard, file, n_docs, n_ids): the written files, in order of ``doc_id``."""
     spark = docs.sparkSession
     folder = _uri(folder or new_folder(spark, "token-files"))
@@ -193,14 +264,16 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None) -> Da
     def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = fs.FileSystem.from_uri(folder)
         store.create_dir(path)
-        tokenizer, known = tokenizer_at(tokenizer_path)
-        end, name = np.array([END_ID], dtype="<u4").tobytes(), f"ids-{uuid.uuid4().hex}.bin"
+        encode = encoder_at(tokenizer_path, by_words)
+        end, name = _as_bytes([END_ID]), f"ids-{uuid.uuid4().hex}.bin"
         with store.open_output_stream(f"{path}/{name}") as out:
             writer = Writer(out, bits)
             for batch in batches:
-                texts = batch.column(1).cast(pa.binary()).to_pylist()
-                for doc_id, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                    writer.add(doc_id, encode(text or b"", tokenizer, known) + end)
+                for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                    part = batch.slice(at, ROWS_AT_ONCE)
+                    texts = part.column(1).cast(pa.binary()).to_pylist()
+                    for doc_id, text in zip(part.column(0).to_pylist(), texts, strict=True):
+                        writer.add(doc_id, encode(text or b"") + end)
             writer.close()
         yield pa.RecordBatch.from_pydict(
             {"shard": [TaskContext.get().partitionId()], "file": [f"{folder}/{name}"],

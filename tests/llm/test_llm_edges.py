@@ -238,7 +238,7 @@ def test_a_random_token_is_reported_and_an_identifier_is_not(spark):
 
 
 def test_token_files_values(odd, none, spark):
-    rows = token_files.read_documents(spark, token_files.write(odd, TOKENIZER)).orderBy("start").collect()
+    rows = token_files.read_documents(spark, token_files.write(odd, TOKENIZER, by_words=True)).orderBy("start").collect()
     assert [r.doc_id for r in rows][:2] == [None, None] and sorted(r.doc_id for r in rows[2:]) == [r.doc_id for r in rows[2:]]
     starts = [0]
     for r in rows:

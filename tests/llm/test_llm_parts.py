@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from almanac.llm import decontaminate, golay, packing_tree, simhash, spans, token_files
 from almanac.llm.components import components
@@ -100,13 +101,29 @@ def test_any_run_of_a_file_can_be_read(tmp_path, monkeypatch):
                 assert reader.ids(a, b).tolist() == everything[a:b].tolist()
 
 
-def test_words_encoded_one_by_one_give_the_texts_ids():
+def test_encoders_give_the_tokenizers_ids():
     from almanac.llm.queries import TOKENIZER
 
-    tokenizer, known = token_files.tokenizer_at(TOKENIZER)
-    for text in ("a\x0bb\x0cc\x1cd", "café ́x", "<|endoftext|>a <|startoftext|> b", "it's it 's I'LL x\u0085y", "ΑΣ ΟΔΟΣ. İ", ""):
-        ids = np.frombuffer(token_files.encode(text.encode(), tokenizer, known), dtype="<u4").tolist()
-        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    texts = [
+        "a\x0bb\x0cc\x1cd", "café cafe\u0301 \u0301x", "<|endoftext|>a <|startoftext|>.B <|ENDOFTEXT|>", "it's it 's I'LL x\u0085y it.'s 'd",
+        "ΑΣ ΟΔΟΣ. İ I\u0307 J\u030c. Kelvin \u212a", "", "a1b2.c—d…e.'f g'.h \U0001f600! x_y=z\u0338", "\x00a\x1fb\x7f",
+    ]
+    for make in (token_files.WordEncoder, token_files.TextEncoder):
+        encode = make(tokenizer)
+        for text in texts:
+            ids = np.frombuffer(encode(text.encode()), dtype="<u4").tolist()
+            assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@given(st.text(alphabet=st.sampled_from(list("aBé.'1<|> \n\u0301ßİΣ-")), max_size=12))
+@settings(max_examples=300, deadline=None)
+def test_any_text_is_encoded_as_by_the_tokenizer(text):
+    from almanac.llm.queries import TOKENIZER
+
+    encode = token_files.encoder_at(TOKENIZER, True)
+    ids = np.frombuffer(encode(text.encode()), dtype="<u4").tolist()
+    assert ids == encode.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 @given(st.lists(st.integers(1, 60), max_size=80), st.integers(60, 100))
