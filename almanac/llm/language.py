@@ -15,6 +15,9 @@ case, other characters to single blanks.
 Training counts on a sample of at most about ``MOST_BYTES`` of text for each language (documents
 drawn by a hash of id and text, whole texts), summed in Spark.  The trees are bounded by that sample.
 
+Whether a text is readable is never judged by trees that hold its own grams: texts fall into two
+folds by a hash of their letters, so copies share a fold, and each fold is judged by the other's trees.
+
 Scoring is exact and vectorised: code lengths for the (order + 1)-grams that the trees know are
 laid out in one table for all languages; any other gram of a batch is worked out once by the rule above.
 
@@ -25,7 +28,8 @@ give an empty result.  Columns of the input named like an output column are repl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +44,9 @@ ORDER = 4
 # Bytes of training text for each language.
 MOST_BYTES = 1 << 20
 
+# Folds of the texts to be judged.
+FOLDS = 2
+
 # Bytes scored at once.
 CHUNK = 1 << 20
 
@@ -72,7 +79,7 @@ def grams(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
 class Trees:
     """Context trees of all languages, frozen."""
 
-    def __init__(self, languages: list[str], counts: list[tuple[int, int, int]], order: int = ORDER):
+    def __init__(self, languages: list[str], counts: list[tuple[int, int, int]] | np.ndarray, order: int = ORDER):
         """``counts``: (language number, gram code of order + 1 bytes, times)."""
         self.languages, self.order = languages, order
         table = np.array(counts, dtype=np.int64).reshape(-1, 3)
@@ -137,21 +144,34 @@ def _found(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return table[at] == values, at
 
 
+def fold_of(text: bytes, folds: int) -> int:
+    """Fold of a text as scored; copies share it."""
+    return zlib.crc32(text) % folds
+
+
 def train(docs: DataFrame, order: int = ORDER, most_bytes: int = MOST_BYTES) -> Trees:
     """Trees from (doc_id, text, lang) rows with a language and a letter."""
+    return train_folds(docs, 1, order, most_bytes)[0]
+
+
+def train_folds(docs: DataFrame, folds: int = FOLDS, order: int = ORDER, most_bytes: int = MOST_BYTES) -> list[Trees]:
+    """For each fold of the texts, trees of its texts alone; a fold without any has empty trees."""
     labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
-        return Trees([], [], order)
-    share = F.create_map(*[x for l in languages for x in (F.lit(l), F.lit(min(1.0, most_bytes / max(1, sizes[l]))))])
+        return [Trees([], [], order)] * folds
+    # All folds are drawn at once, so each gets about ``most_bytes`` of a language.
+    share = F.create_map(
+        *[x for l in languages for x in (F.lit(l), F.lit(min(1.0, folds * most_bytes / max(1, sizes[l]))))]
+    )
     drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit("ppm")), F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30)
     number = F.array_position(F.array(*[F.lit(l) for l in languages]), F.col("lang")) - 1
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owners = batch.column(0).to_numpy()
             texts = batch.column(1).cast(pa.binary()).to_pylist()
+            owners = batch.column(0).to_numpy() * folds + np.array([fold_of(t, folds) for t in texts], dtype=np.int64)
             for k in np.unique(owners):
                 codes, _ = grams([t for t, o in zip(texts, owners, strict=True) if o == k], order + 1)
                 seen, times = np.unique(codes, return_counts=True)
@@ -165,17 +185,27 @@ def train(docs: DataFrame, order: int = ORDER, most_bytes: int = MOST_BYTES) ->
         .mapInArrow(counted, "k bigint, gram bigint, times bigint")
         .groupBy("k", "gram").agg(F.sum("times").alias("times"))
     )
-    return Trees(languages, [tuple(r) for r in counts.collect()], order)
+    table = np.array([tuple(r) for r in counts.collect()], dtype=np.int64).reshape(-1, 3)
+
+    def of_fold(fold: int) -> Trees:
+        own = table[table[:, 0] % folds == fold]
+        return Trees(languages if len(own) else [], own // [folds, 1, 1], order)
+
+    return [of_fold(fold) for fold in range(folds)]
 
 
 def predict(docs: DataFrame, trees: Trees) -> DataFrame:
     """``docs`` with lang_pred, score (share of the best code's probability per byte) and bits_per_byte (of that code)."""
+    return _predicted(docs, trees, scored)
+
+
+def _predicted(docs: DataFrame, trees: Trees | list[Trees], score: Callable[..., pa.Array]) -> DataFrame:
     kept = docs.drop("lang_pred", "score", "bits_per_byte")
     sent = docs.sparkSession.sparkContext.broadcast(trees)
 
     def of_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield scored(sent.value, texts.cast(pa.binary()).to_pylist())
+            yield score(sent.value, texts.cast(pa.binary()).to_pylist())
 
     of_batches.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return kept.withColumn("__scored", F.arrow_udf(of_batches, RESULT)(letters(F.col("text")))).select(
@@ -183,10 +213,28 @@ def predict(docs: DataFrame, trees: Trees) -> DataFrame:
     )
 
 
-def readable(docs: DataFrame, trees: Trees, most_bits: float) -> DataFrame:
-    """``docs`` as given, without those that have no letter or take ``most_bits`` or more per byte in every language."""
-    predicted = predict(docs.select("text", F.struct(*docs.columns).alias("__doc")), trees)
-    return predicted.where((F.col("lang_pred") != UNDETERMINED) & (F.col("bits_per_byte") < most_bits)).select("__doc.*")
+def readable(docs: DataFrame, trees: list[Trees], most_bits: float) -> DataFrame:
+    """``docs`` as given, without those that have no letter or take ``most_bits`` or more per byte in every language.
+
+    ``trees`` of :func:`train_folds`.  If all training texts are of one fold, there is nothing to judge its texts
+    by, and they stay.
+    """
+    predicted = _predicted(docs.select("text", F.struct(*docs.columns).alias("__doc")), trees, scored_apart)
+    kept = (F.col("lang_pred") != UNDETERMINED) & (F.col("bits_per_byte") < most_bits)
+    if any(t.languages for t in trees) and not all(t.languages for t in trees):
+        kept |= (F.col("lang_pred") == UNDETERMINED) & letters(F.col("text")).isNotNull()
+    return predicted.where(kept).select("__doc.*")
+
+
+def scored_apart(trees: list[Trees], texts: list[bytes | None]) -> pa.Array:
+    """Each text scored by the trees of the other fold."""
+    folds = [fold_of(t or b"", FOLDS) for t in texts]
+    parts = [
+        scored(trees[1 - fold], [t if own == fold else None for t, own in zip(texts, folds, strict=True)])
+        for fold in range(FOLDS)
+    ]
+    at = np.array(folds, dtype=np.int64) * len(texts) + np.arange(len(texts))
+    return pa.concat_arrays(parts).take(pa.array(at))
 
 
 def scored(trees: Trees, texts: list[bytes | None]) -> pa.Array:

@@ -18,7 +18,7 @@ UNREADABLE = 7.0
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents written in a learned language; those without a letter or that no language shortens go."""
-    return language.readable(docs, language.train(docs), UNREADABLE)
+    return language.readable(docs, language.train_folds(docs), UNREADABLE)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
