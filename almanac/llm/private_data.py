@@ -155,26 +155,47 @@ def shape(value: Column) -> Column:
 def sanitised_text(text: Column, found: Column) -> Column:
     """``text`` with base spans replaced by their kind and terms generalised or removed.
 
-    ``found`` has (start, kind_no, end, removed); of overlapping spans the first is replaced.
+    ``found`` has (start, kind_no, end, removed).  A span that starts inside earlier ones and reaches beyond
+    them is replaced from their end on.  Blocks of spans are rewritten on their own part of the text first.
     """
     names = F.array(*[F.lit(f"<{k}>") for k in KINDS])
 
-    def put(acc: Column, s: Column) -> Column:
-        value = F.substring(text, s["start"] + 1, s["end"] - s["start"])
-        instead = F.when(s["kind_no"] < TERM, names[s["kind_no"]]).when(s["removed"], "").otherwise(shape(value))
-        piece = F.concat(F.substring(text, acc["to"] + 1, s["start"] - acc["to"]), instead)
-        return F.when(
-            s["start"] >= acc["to"],
-            F.struct(s["end"].alias("to"), F.concat(acc["pieces"], F.array(piece)).alias("pieces")),
-        ).otherwise(acc)
-
-    done = F.aggregate(
-        F.array_sort(found),
-        F.struct(F.lit(0).alias("to"), F.array().cast("array<string>").alias("pieces")),
-        put,
-        lambda acc: F.concat(F.array_join(acc["pieces"], ""), F.substring(text, acc["to"] + 1, F.length(text))),
-    )
-    return F.when(F.size(found) > 0, done).otherwise(text)
+    def block(part: Column, offset: Column, of_block: Column) -> Column:
+        def put(acc: Column, s: Column) -> Column:
+            start, end = F.greatest(s["start"] - offset, acc["to"]), s["end"] - offset
+            value = F.substring(part, start + 1, end - start)
+            instead = F.when(s["kind_no"] < TERM, names[s["kind_no"]]).when(s["removed"], "").otherwise(shape(value))
+            piece = F.concat(F.substring(part, acc["to"] + 1, start - acc["to"]), instead)
+            return F.when(
+                end > acc["to"], F.struct(end.alias("to"), F.concat(acc["pieces"], F.array(piece)).alias("pieces"))
+            ).otherwise(acc)
+
+        return F.aggregate(
+            of_block,
+            F.struct(F.lit(0).alias("to"), F.array().cast("array<string>").alias("pieces")),
+            put,
+            lambda acc: F.array_join(acc["pieces"], ""),
+        )
+
+    def rewritten(ordered: Column) -> Column:
+        def reach(n: Column) -> Column:
+            """End of the first ``n`` spans."""
+            return F.coalesce(F.array_max(F.transform(F.slice(ordered, F.lit(1), n), lambda s: s["end"])), F.lit(0))
+
+        def of_number(b: Column) -> Column:
+            ends = F.struct(reach(b * spans.BLOCK).alias("from"), reach((b + 1) * spans.BLOCK).alias("to"))
+            return spans.let(
+                ends,
+                lambda e: spans.let(
+                    F.substring(text, e["from"] + 1, e["to"] - e["from"]),
+                    lambda part: block(part, e["from"], F.slice(ordered, b * spans.BLOCK + 1, F.lit(spans.BLOCK))),
+                ),
+            )
+
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(ordered) - 1) / spans.BLOCK).cast("int")), of_number)
+        return F.concat(F.array_join(blocks, ""), F.substring(text, reach(F.size(ordered)) + 1, F.length(text)))
+
+    return F.when(F.size(found) > 0, spans.let(F.array_sort(found), rewritten)).otherwise(text)
 
 
 def sanitise(

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from almanac.llm import language
+from almanac.llm import language, private_data, queries
 
 SCHEMA = "doc_id bigint, text string, lang string"
 
@@ -36,3 +36,35 @@ def test_copies_are_judged_by_trees_without_their_grams(spark):
 def test_texts_that_nothing_can_judge_stay(spark):
     docs = spark.createDataFrame([(1, "a single text", "en"), (2, "123", "en")], SCHEMA)
     assert [r.doc_id for r in corpus_pipeline.identify_language(spark, docs, "").collect()] == [1]
+
+
+def test_a_card_that_begins_inside_an_address_is_not_left_readable(spark):
+    text = next(
+        f"x 10.0.0.4 4111 1111 1111 {n:04d} y" for n in range(10000)
+        if private_number_passes(f"4411111111111{n:04d}")
+    )
+    row = private_data.sanitise(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert row.sanitised == "x <ip><card> y"
+
+
+def private_number_passes(number):
+    doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(number))]
+    return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+
+
+def test_many_spans_are_rewritten_as_one_by_one(spark):
+    text = "".join(f"\u00fc{i} a{i}@b.org, 10.0.0.4 4111 1111 1111 {i:04d}; " for i in range(700)) + "end"
+    row = private_data.sanitise(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    to, expected = 0, ""
+    for s in row.spans:
+        if s.end > to:
+            expected += text[to : max(to, s.start)]
+            expected += f"<{private_data.KINDS[s.kind_no]}>" if s.kind_no < private_data.TERM else ""
+            assert s.kind_no < private_data.TERM or s.removed
+            to = s.end
+    assert len(row.spans) > 2 * 256 and row.sanitised == expected + text[to:]
+
+
+def test_op4_runs_the_rewriting(spark):
+    plan = queries.QUERIES["op4_private_data"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "<email>" in plan and "sha2(" in plan
