@@ -8,9 +8,9 @@ protected entity.  What a term t tells about an entity c is measured on the corp
     PMI(t; c) = log2(n(t, c) N / (n(t) n(c)))     IC(c) = log2(N / n(c))
 
 PMI is IC where t occurs nowhere but next to c.  A term that occurs in contexts of c
-at least ``SUPPORT`` times and whose PMI reaches ``GENERALISE`` of IC discloses c: next to c it
+at least ``SUPPORT`` times and whose PMI reaches ``GENERALISE`` of IC discloses c: in texts that hold c it
 is replaced by its shape; from ``REMOVE`` of IC on it is removed.  A context is the text
-up to ``CONTEXT`` code points before and after the entity, up to the neighbouring match of the same kind;
+up to ``CONTEXT`` code points before and after the entity, up to the neighbouring entity of the same kind;
 words cut by its outer end are left out.  A term is a run of two or more letters, in lower case.
 
 Only column expressions, joins and groupings are used.  Counting terms combines in
@@ -82,13 +82,19 @@ def base_spans(text: Column, context: int = CONTEXT) -> Column:
     )
 
     def of_kind(number: int, pattern: str, guard: Column, passes: Callable[[Column], Column]) -> Column:
-        return F.transform(
-            F.filter(spans.find(text, pattern, guard, context), passes),
-            lambda m: F.struct(
-                m["start"].alias("start"), F.lit(number).alias("kind_no"), m["end"].alias("end"),
-                m["value"].alias("value"), m["before"].alias("before"), m["after"].alias("after"),
-            ),
-        )
+        def with_context(kept: Column) -> Column:
+            def one(m: Column, i: Column) -> Column:
+                least = F.greatest(m["start"] - context, F.when(i > 0, F.get(kept, i - 1)["end"]), F.lit(0))
+                most = F.least(m["end"] + context, F.get(kept, i + 1)["start"])
+                return F.struct(
+                    m["start"].alias("start"), F.lit(number).alias("kind_no"), m["end"].alias("end"),
+                    m["value"].alias("value"), F.substring(text, least + 1, m["start"] - least).alias("before"),
+                    F.substring(text, m["end"] + 1, most - m["end"]).alias("after"),
+                )
+
+            return F.transform(kept, one)
+
+        return spans.let(F.filter(spans.find(text, pattern, guard), passes), with_context)
 
     return F.concat(*[of_kind(number, *kind) for number, kind in enumerate(found)])
 
@@ -236,9 +242,37 @@ def sanitise(
         ),
     )
     nothing = F.array().cast("array<struct<start:int,kind_no:int,end:int,removed:boolean>>")
+    holders = stage(
+        marked.select("__row", F.explode("__base").alias("span")).select("__row", entity(F.col("span")).alias("entity")).distinct(),
+        "holders",
+    )
+    # All terms that an entity of a document discloses, wherever they stand in it.
+    held = (
+        holders.join(told, "entity")
+        .groupBy("__row", "term").agg(F.max("removed").alias("removed"))
+        .groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("term", "removed"))).alias("__told"))
+    )
+
+    def further(placed: Column) -> Column:
+        words = F.filter(
+            spans.find(F.col("text"), TERM_PATTERN, F.col("__told").isNotNull()),
+            lambda t: F.map_contains_key("__told", F.lower(t["value"]))
+            & ~F.exists(placed, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
+        )
+        return F.transform(
+            words,
+            lambda t: F.struct(
+                t["start"].alias("start"), F.lit(TERM).alias("kind_no"), t["end"].alias("end"),
+                F.element_at("__told", F.lower(t["value"])).alias("removed"),
+            ),
+        )
+
     return (
         marked.join(stage(terms, "term-spans"), "__row", "left")
-        .withColumn("spans", F.array_sort(F.concat(base, F.coalesce("__terms", nothing))))
+        .join(stage(held, "held-terms"), "__row", "left")
+        .withColumn("spans", spans.let(
+            F.concat(base, F.coalesce("__terms", nothing)), lambda placed: F.array_sort(F.concat(placed, further(placed)))
+        ))
         .withColumn("sanitised", sanitised_text(F.col("text"), F.col("spans")))
-        .drop("__row", "__base", "__terms")
+        .drop("__row", "__base", "__terms", "__told")
     )

@@ -68,3 +68,21 @@ def test_many_spans_are_rewritten_as_one_by_one(spark):
 def test_op4_runs_the_rewriting(spark):
     plan = queries.QUERIES["op4_private_data"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "<email>" in plan and "sha2(" in plan
+
+
+def test_other_numbers_do_not_end_the_context_of_a_card(spark):
+    secret = "Zorblax Quux, customer 7: 4111 1111 1111 1111 paid"
+    plain = "the customer paid at the desk and the customer paid at the door " * 20
+    docs = spark.createDataFrame([(i, secret) for i in range(4)] + [(10 + i, plain) for i in range(40)], "doc_id bigint, text string")
+    rows = private_data.sanitise(docs).collect()
+    assert {r.sanitised for r in rows if r.doc_id < 4} == {" , customer 7: <card> paid"}
+
+
+def test_a_disclosing_term_goes_wherever_it_stands_in_a_document_of_its_entity(spark):
+    far = "the clerk at the desk may contact you today or at any other day " * 5
+    secret = "Contact the zorblax clerk at x@example.org today"
+    docs = spark.createDataFrame(
+        [(i, secret) for i in range(9)] + [(9, f"{secret} {far}Zorblax")] + [(10 + i, far) for i in range(90)], "doc_id bigint, text string"
+    )
+    rows = {r.doc_id: r.sanitised for r in private_data.sanitise(docs, generalise=0.8, remove=0.97).collect()}
+    assert rows[9].startswith("Contact the ") and "orblax" not in rows[9]
