@@ -265,6 +265,42 @@ SELECT doc_id, coalesce(e, 0)::BIGINT AS n_email, coalesce(i, 0)::BIGINT AS n_ip
 FROM doc LEFT JOIN counts USING (uid) LEFT JOIN checksum USING (uid) LEFT JOIN listed USING (uid)
 """
 
+COLLOCATIONS = rf"""
+WITH piece AS (
+    SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+    FROM (SELECT coalesce(lang, 'und') AS lang,
+        unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), phrase_at AS (
+    SELECT lang, size, list_slice(words, pos, pos + size - 1) AS words
+    FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS pos FROM piece, range(1, 6) AS sizes(size) WHERE len(words) >= size)
+), counted AS (
+    SELECT lang, size, words, count(*)::HUGEINT AS f FROM phrase_at GROUP BY ALL
+), total AS (
+    SELECT lang, sum(f)::HUGEINT AS n FROM counted WHERE size = 1 GROUP BY lang
+), candidate AS (
+    SELECT * FROM counted WHERE size > 1 AND f >= 100
+), inside AS (
+    SELECT lang, f, words[i:i + s - 1] AS words
+    FROM candidate, range(1, 5) AS starts(i), range(2, 5) AS sizes(s) WHERE s < size AND i + s - 1 <= size
+), kept AS (
+    SELECT * FROM candidate c WHERE NOT EXISTS (
+        SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.words = c.words AND 100 * i.f >= 100 * c.f)
+), cut AS (
+    SELECT c.lang, c.words, c.f AS a, k, x.f AS l, y.f AS r, n, (1000 * c.f * n) // (x.f * y.f) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM kept) c
+    JOIN counted x ON x.lang = c.lang AND x.words = c.words[1:k]
+    JOIN counted y ON y.lang = c.lang AND y.words = c.words[k + 1:c.size]
+    JOIN total ON total.lang = c.lang
+), lowest AS (
+    SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+), ranked AS (
+    SELECT *, array_to_string(words, ' ') AS phrase,
+        row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' ')) AS rank FROM lowest
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op1_url_reputation": URL_REPUTATION,
     "op4_private_data": PRIVATE_DATA,
@@ -272,4 +308,5 @@ ORACLE: dict[str, str] = {
     "op7_top_k": TOP_K,
     "op8_benchmark_leaks": BENCHMARK_LEAKS,
     "op10_secret_scan": SECRET_SCAN,
+    "op13_collocations": COLLOCATIONS,
 }

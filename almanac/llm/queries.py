@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.llm import (
+    byte_pairs,
+    collocations,
     decontaminate,
     language,
     mixing,
@@ -22,6 +24,7 @@ from almanac.llm import (
     spans,
     token_files,
     topk,
+    whitening,
 )
 from almanac.plans.inputs import table
 
@@ -29,6 +32,7 @@ from almanac.plans.inputs import table
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 SHARDS = 24
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,10 +135,33 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digest(secret_scan.scan(docs), secret_scan.KINDS, secret_scan.RANDOM)
 
 
+def op11_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    most = F.lit((1 << 63) - 1)
+    fits = F.when(F.col("deviation") <= most, F.col("deviation").cast("bigint")).otherwise(
+        F.raise_error(F.lit("a deviation does not fit into 64 bits")).cast("bigint")
+    )
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", fits)
+
+
+def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = byte_pairs.share_ranks(spark, RANKS)
+    decoded = byte_pairs.decode(byte_pairs.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return decoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    phrases, _ = collocations.mine(table(spark, sf_dir, "documents").select("lang", "text"))
+    return phrases
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: with_library(query)
     for query in (
         op1_url_reputation, op2_language_ppm, op3_simhash_golay, op4_private_data, op5_token_files, op6_mix_sources,
-        op7_top_k, op8_benchmark_leaks, op9_shard_packing, op10_secret_scan,
+        op7_top_k, op8_benchmark_leaks, op9_shard_packing, op10_secret_scan, op11_whitened_embeddings,
+        op12_byte_pairs, op13_collocations,
     )
 }
