@@ -169,9 +169,15 @@ base AS (
 ), token AS (
     SELECT * FROM place t WHERE kind = 3 AND length(value) >= 16
         AND NOT EXISTS (SELECT 1 FROM base b WHERE b.uid = t.uid AND b.start < t.stop AND t.start < b.stop)
+), other_token AS (
+    SELECT DISTINCT text, unnest(regexp_extract_all(
+        regexp_replace(text, '{_ASSIGN}|AKIA[A-Z0-9]{{16,}}|[0-9a-f]{{24,}}', ' ', 'g'), '[A-Za-z0-9+/_=-]{{4,}}')) AS token
+    FROM doc
+), sample_token AS (
+    SELECT DISTINCT true AS random, regexp_replace(secret, '[^A-Za-z0-9+/_=-]', '', 'g') AS token FROM base
+    UNION ALL SELECT false, token FROM other_token GROUP BY token HAVING count(*) > 1
 ), sample AS (
-    SELECT true AS random, row_number() OVER () AS n, regexp_replace(secret, '[^A-Za-z0-9+/_=-]', '', 'g') AS token FROM base
-    UNION ALL SELECT false, -row_number() OVER (), value FROM token WHERE NOT regexp_matches(value, '[0-9]')
+    SELECT random, token, row_number() OVER () AS n FROM sample_token
 ), sample_char AS (
     SELECT random, n, unnest(range(1, length(token) + 1)) AS i, strpos('{_ALPHABET}', unnest(string_split(token, ''))) AS c
     FROM sample WHERE token <> ''
@@ -188,13 +194,17 @@ base AS (
         / (0.9::DOUBLE * (o + 10 * CASE WHEN sum(o) OVER () > 0 THEN sum(o) OVER (PARTITION BY b) / sum(o) OVER () ELSE 1 / 67::DOUBLE END)
             / (sum(o) OVER of_a + 10) + 0.1::DOUBLE / 67)))::INTEGER AS ratio
     FROM grid WINDOW of_a AS (PARTITION BY a)
+), spelling AS (
+    SELECT uid, start, 0 AS folded, value FROM token UNION ALL SELECT uid, start, 1, lower(value) FROM token
 ), token_char AS (
-    SELECT uid, start, unnest(range(1, length(value) + 1)) AS i, strpos('{_ALPHABET}', unnest(string_split(value, ''))) AS b
-    FROM token WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+    SELECT uid, start, folded, unnest(range(1, length(value) + 1)) AS i, strpos('{_ALPHABET}', unnest(string_split(value, ''))) AS b
+    FROM spelling
 ), token_pair AS (
-    SELECT uid, start, coalesce(lag(b) OVER (PARTITION BY uid, start ORDER BY i), 0) AS a, b FROM token_char
+    SELECT uid, start, folded, coalesce(lag(b) OVER (PARTITION BY uid, start, folded ORDER BY i), 0) AS a, b FROM token_char
+), judged AS (
+    SELECT uid, start, folded FROM token_pair JOIN ratio USING (a, b) GROUP BY ALL HAVING sum(ratio) > 700 * count(*)
 ), random AS (
-    SELECT uid, start FROM token_pair JOIN ratio USING (a, b) GROUP BY uid, start HAVING sum(ratio) > 10000
+    SELECT uid, start FROM judged GROUP BY ALL HAVING count(*) = 2
 ), every AS (
     SELECT uid, kind, start, stop FROM base UNION ALL SELECT uid, kind, start, stop FROM token JOIN random USING (uid, start)
 ), {_digest("base", "every")},
@@ -206,25 +216,28 @@ SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_a
 FROM doc LEFT JOIN counts USING (uid) LEFT JOIN checksum USING (uid) LEFT JOIN listed USING (uid)
 """
 
-# A context ends after 80 code points or at the neighbouring match of its kind.
+# A context ends after 80 code points or at the neighbouring entity of its kind.
 PRIVATE_DATA = rf"""
-WITH {_places(r"(0, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+'), (1, 'ip', '[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+'), (2, 'card', '[0-9]+(?:[\x20-][0-9]+)*'), (3, 'phone', '\+[0-9][\x20().0-9-]+[0-9]'), (4, 'term', 'x^y')")},
-neighbour AS (
-    SELECT uid, kind, unnest(gaps[1:len(found)]) AS before, unnest(gaps[2:len(found) + 1]) AS after, unnest(range(1, len(found) + 1)) AS i
-    FROM searched WHERE len(found) > 0
-), numbered AS (
-    SELECT *, row_number() OVER (PARTITION BY uid, kind ORDER BY start) AS i, regexp_replace(value, '[^0-9]', '', 'g') AS digits FROM place
-), base AS (
-    SELECT uid, kind, start, stop, "right"(before, 80) AS before, "left"(after, 80) AS after,
-        kind || ':' || CASE WHEN kind < 2 THEN lower(value) ELSE digits END AS entity
-    FROM numbered JOIN neighbour USING (uid, kind, i)
+WITH {_places(r"(0, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+'), (1, 'ip', '[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+'), (2, 'card', '[0-9]+(?:[\x20-][0-9]+)*'), (3, 'phone', '\+[0-9][\x20().0-9-]+[0-9]'), (4, 'term', '\p{L}{2,}')")},
+numbered AS (
+    SELECT *, regexp_replace(value, '[^0-9]', '', 'g') AS digits FROM place
+), passed AS (
+    SELECT uid, kind, start, stop, kind || ':' || CASE WHEN kind < 2 THEN lower(value) ELSE digits END AS entity
+    FROM numbered
     WHERE CASE kind WHEN 0 THEN true
         WHEN 1 THEN list_bool_and(list_transform(string_split(value, '.'),
             lambda x: length(ltrim(x, '0')) <= 3 AND ('0' || right(ltrim(x, '0'), 3))::INTEGER <= 255))
         WHEN 2 THEN length(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1),
             lambda j: CASE WHEN j % 2 = 0 THEN ([0, 2, 4, 6, 8, 1, 3, 5, 7, 9])[substr(reverse(digits), j, 1)::INTEGER + 1]
                 ELSE substr(reverse(digits), j, 1)::INTEGER END)) % 10 = 0
-        ELSE length(digits) BETWEEN 9 AND 15 END
+        WHEN 3 THEN length(digits) BETWEEN 9 AND 15 ELSE false END
+), bounded AS (
+    SELECT *, greatest(start - 80, 0, coalesce(lag(stop) OVER of_kind, 0)) AS least,
+        least(stop + 80, coalesce(lead(start) OVER of_kind, stop + 80)) AS most
+    FROM passed WINDOW of_kind AS (PARTITION BY uid, kind ORDER BY start)
+), base AS (
+    SELECT uid, kind, start, stop, entity, substr(text, least + 1, start - least) AS before, substr(text, stop + 1, most - stop) AS after
+    FROM bounded JOIN doc USING (uid)
 ), context AS (
     SELECT uid, entity, start, row_number() OVER () AS c, before AS text, start - length(before) AS edge, true AS is_left FROM base
     UNION ALL SELECT uid, entity, start, -row_number() OVER (), after, stop, false FROM base
@@ -248,13 +261,24 @@ neighbour AS (
     SELECT entity, sum(n_tc) AS n_c FROM together GROUP BY entity
 ), corpus AS (
     SELECT term, count(*) AS n_t, sum(count(*)) OVER () AS n
-    FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{{L}}{{2,}}')) AS term FROM doc) GROUP BY term
+    FROM (SELECT lower(value) AS term FROM place w WHERE kind = 4 AND NOT EXISTS (
+        SELECT 1 FROM base b WHERE b.uid = w.uid AND b.start < w.stop AND w.start < b.stop)) GROUP BY term
+), given AS (
+    SELECT entity, term, n_c::DOUBLE / n AS without, (least(n_tc, n_t) + n_c::DOUBLE / n) / (n_t + 1) AS given
+    FROM together JOIN corpus USING (term) JOIN around USING (entity)
 ), told AS (
-    SELECT entity, term FROM together JOIN corpus USING (term) JOIN around USING (entity)
-    WHERE n_tc >= 3 AND n > n_c AND log2((least(n_tc, n_t) * n)::DOUBLE / (n_t * n_c)::DOUBLE) / log2(n::DOUBLE / n_c) >= 0.9
+    SELECT entity, term FROM given WHERE given >= 0.5 AND given >= 2 * without
+), near_told AS (
+    SELECT DISTINCT uid, start, stop FROM outside JOIN told USING (entity, term)
+), placed AS (
+    SELECT uid, start, stop FROM base UNION ALL SELECT uid, start, stop FROM near_told
+), further AS (
+    SELECT DISTINCT w.uid, w.start, w.stop
+    FROM place w JOIN base h ON h.uid = w.uid JOIN told ON told.entity = h.entity AND told.term = lower(w.value)
+    WHERE w.kind = 4 AND NOT EXISTS (SELECT 1 FROM placed p WHERE p.uid = w.uid AND p.start < w.stop AND w.start < p.stop)
 ), every AS (
     SELECT uid, kind, start, stop FROM base
-    UNION ALL SELECT DISTINCT uid, 4, start, stop FROM outside JOIN told USING (entity, term)
+    UNION ALL SELECT uid, 4, start, stop FROM near_told UNION ALL SELECT uid, 4, start, stop FROM further
 ), {_digest("base", "every")},
 counts AS (
     SELECT uid, count(*) FILTER (kind = 0) AS e, count(*) FILTER (kind = 1) AS i, count(*) FILTER (kind = 2) AS c,

@@ -3,13 +3,14 @@
 The patterns find e-mail addresses, IP addresses, card and phone numbers.  Each value found is a
 protected entity.  What a term t tells about an entity c is measured on the corpus:
 
-    N        terms in all texts              n(t)    occurrences of t
+    N        terms in all texts              n(t)    occurrences of t, both outside all entities
     n(t, c)  occurrences of t in contexts of c    n(c)    terms in contexts of c
-    PMI(t; c) = log2(n(t, c) N / (n(t) n(c)))     IC(c) = log2(N / n(c))
+    P(c) = n(c) / N                          P(c | t) = (n(t, c) + PRIOR * P(c)) / (n(t) + PRIOR)
 
-PMI is IC where t occurs nowhere but next to c.  A term that occurs in contexts of c
-at least ``SUPPORT`` times and whose PMI reaches ``GENERALISE`` of IC discloses c: in texts that hold c it
-is replaced by its shape; from ``REMOVE`` of IC on it is removed.  A context is the text
+P(c | t) is shrunk towards what is known without t, so every pair that occurs together is judged, a value that occurs once
+included, and one occurrence tells less than many.  t tells log2(P(c | t) / P(c)) bits about c and leaves -log2 P(c | t)
+open.  A term that tells a bit at least and leaves ``GENERALISE`` bits or fewer open discloses c: in texts that hold c it
+is replaced by its shape; from ``REMOVE`` bits down it is removed.  A context is the text
 up to ``CONTEXT`` code points before and after the entity, up to the neighbouring entity of the same kind;
 words cut by its outer end are left out.  A term is a run of two or more letters, in lower case.
 
@@ -44,8 +45,11 @@ IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 TERM_PATTERN = r"\p{L}{2,}+"
 
 CONTEXT = 80
-SUPPORT = 3
-GENERALISE, REMOVE = 0.9, 0.97
+
+# Occurrences that the prior is worth, bits left open up to which a term is generalised and removed, bits it must tell.
+PRIOR = 1.0
+GENERALISE, REMOVE = 1.0, 0.5
+TOLD = 1.0
 
 
 def digits(value: Column) -> Column:
@@ -105,6 +109,19 @@ def entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind_no"].cast("string"), value)
 
 
+def outside_terms(text: Column, base: Column) -> Column:
+    """All terms of a text, but those in its base spans: a name inside an address is no second place where the name occurs."""
+    anywhere = F.regexp_extract_all(text, F.lit(TERM_PATTERN), F.lit(0))
+    outside = F.transform(
+        F.filter(
+            spans.find(text, TERM_PATTERN, F.size(base) > 0),
+            lambda t: ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
+        ),
+        lambda t: t["value"],
+    )
+    return F.transform(F.when(F.size(base) > 0, outside).otherwise(anywhere), F.lower)
+
+
 def context_terms(marked: DataFrame, context: int) -> DataFrame:
     """(__row, entity, term, start, end): the terms in the contexts of each entity, outside all base spans."""
     one = marked.where(F.size("__base") > 0).select("__row", "__base", F.explode("__base").alias("span"))
@@ -132,21 +149,20 @@ def context_terms(marked: DataFrame, context: int) -> DataFrame:
     )
 
 
-def disclosing(near: DataFrame, corpus: DataFrame, support: int, generalise: float, remove: float) -> DataFrame:
+def disclosing(near: DataFrame, corpus: DataFrame, generalise: float, remove: float) -> DataFrame:
     """(entity, term, removed) from ``near`` (entity, term) occurrences and ``corpus`` (term, n)."""
     together = stage(near.groupBy("entity", "term").agg(F.count("*").alias("n_tc")), "co-occurrence")
     around = stage(together.groupBy("entity").agg(F.sum("n_tc").alias("n_c")), "entity-sizes")
     words = stage(corpus, "term-counts")
     total = F.lit(words.agg(F.sum("n")).first()[0] or 0)
-    information = F.log2(total / F.col("n_c"))
-    told = F.log2(F.least("n_tc", "n_t") * total / (F.col("n_t") * F.col("n_c"))) / F.when(information > 0, information)
+    without = F.col("n_c") / total
+    given = (F.least("n_tc", "n_t") + PRIOR * without) / (F.col("n_t") + PRIOR)
     return (
-        together.where(F.col("n_tc") >= support)
-        .join(words.withColumnRenamed("n", "n_t"), "term")
+        together.join(words.withColumnRenamed("n", "n_t"), "term")
         .join(around, "entity")
-        .withColumn("told", told)
-        .where(F.col("told") >= generalise)
-        .select("entity", "term", (F.col("told") >= remove).alias("removed"))
+        .withColumn("given", given)
+        .where((F.col("given") >= 2.0**-generalise) & (F.col("given") >= 2.0**TOLD * without))
+        .select("entity", "term", (F.col("given") >= 2.0**-remove).alias("removed"))
     )
 
 
@@ -207,7 +223,6 @@ def sanitised_text(text: Column, found: Column) -> Column:
 def sanitise(
     docs: DataFrame,
     context: int = CONTEXT,
-    support: int = SUPPORT,
     generalise: float = GENERALISE,
     remove: float = REMOVE,
 ) -> DataFrame:
@@ -222,13 +237,12 @@ def sanitise(
         "marked",
     )
     near = stage(context_terms(marked, context), "context-terms")
-    term = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM_PATTERN), F.lit(0))).alias("term")
-    corpus = marked.select(term).groupBy("term").agg(F.count("*").alias("n"))
-    candidates = near.groupBy("term").agg(F.count("*").alias("seen")).where(F.col("seen") >= support)
+    corpus = marked.select(F.explode(outside_terms(F.col("text"), F.col("__base"))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    candidates = near.select("term").distinct().withColumn("seen", F.lit(True))
     counted = corpus.join(candidates, "term", "left").select("term", "n", F.col("seen").isNotNull().alias("wanted"))
     # Terms that stand next to no entity matter for the total only.
     kept = counted.groupBy(F.when(F.col("wanted"), F.col("term")).alias("term")).agg(F.sum("n").alias("n"))
-    told = stage(disclosing(near, kept, support, generalise, remove), "disclosing")
+    told = stage(disclosing(near, kept, generalise, remove), "disclosing")
     terms = (
         near.join(told, ["entity", "term"])
         .groupBy("__row", "start", "end").agg(F.max("removed").alias("removed"))
