@@ -2,11 +2,13 @@
 
 The patterns find assignments to a secret's name, access keys and long hexadecimal
 numbers.  Other long tokens are judged by two first-order Markov models of their characters: one
-of random strings, trained on the secret parts the patterns found, and one of ordinary identifiers,
-trained on the other long tokens without a digit.  A token is reported if the log-likelihood ratio
-of the two models exceeds ``THRESHOLD`` (in ln units) and it holds a digit and a letter.
+of random strings, trained on the secret parts the patterns found, and one of ordinary identifiers and words,
+trained on the tokens that occur in two different texts.  A token of ``SHORTEST`` characters or more is reported if the
+log-likelihood ratio of the two models exceeds ``RATE`` for each of its characters (in ln units), as it stands and in lower
+case, so that a word in capitals is no secret.  Nothing else is asked of it: secrets of letters only, or of digits only, are
+judged like any other.
 
-Training reads the tokens of about ``SAMPLE_ROWS`` documents, drawn by a hash.  The random model is half
+Training reads the tokens of about ``SAMPLE_ROWS`` documents, drawn by a hash; a token counts once, however often it occurs.  The random model is half
 uniform, so random strings over other letters than the samples' count as random too; without any
 sample both models are uniform and nothing is added.  Together they are one number, in thousandths, for each pair of characters.
 
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.llm import spans
+from almanac.staging import stage
 
 KINDS = ("assign", "access", "hex", "random")
 RANDOM = KINDS.index("random")
@@ -43,10 +46,11 @@ STATES = len(ALPHABET) + 1
 # Uniform part of each model; the ordinary one falls back on how often a character occurs at all.
 RANDOM_EVEN, ORDINARY_EVEN, BACK_OFF = 0.5, 0.1, 10.0
 
-# Shortest token judged, documents sampled for training, least log-likelihood ratio.
-SHORTEST = 16
+# Shortest token judged and shortest one that is an ordinary sample, documents sampled for training, least log-likelihood
+# ratio of a character.
+SHORTEST, SHORTEST_SAMPLE = 16, 4
 SAMPLE_ROWS = 20000
-THRESHOLD = 10.0
+RATE = 0.7
 
 
 def _token(shortest: int) -> str:
@@ -97,31 +101,32 @@ def steps(token: Column) -> Column:
     )
 
 
-def train(docs: DataFrame, shortest: int = SHORTEST, sample_rows: int = SAMPLE_ROWS) -> Column:
+def ordinary_tokens(docs: DataFrame, shortest: int = SHORTEST_SAMPLE) -> DataFrame:
+    """(token): tokens outside the patterns' matches that occur in two different texts, each once."""
+    outside = F.regexp_replace("text", "|".join((ASSIGN, ACCESS, HEX)), " ")
+    tokens = F.array_distinct(F.regexp_extract_all(outside, F.lit(_token(shortest)), F.lit(0)))
+    in_text = docs.select(F.xxhash64("text").alias("of"), F.explode(tokens).alias("token"))
+    return in_text.groupBy("token").agg(F.min("of").alias("one"), F.max("of").alias("other")).where("one <> other").select("token")
+
+
+def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Column:
     """The log-likelihood ratios of all pairs of characters as one constant array, in thousandths."""
     rows = docs.count()
     share = min(1.0, sample_rows / rows) if rows else 1.0
-    drawn = docs.where(F.pmod(F.xxhash64("doc_id", "text", F.lit("secrets")), F.lit(1 << 30)) < share * (1 << 30))
-
-    def samples(base: Column) -> Column:
-        secrets = F.transform(base, lambda b: F.regexp_replace(b["secret"], "[^" + TOKEN_CHARACTER[1:], ""))
-        # A token to be reported holds a digit; those without one are the ordinary samples, so no secret unknown to the patterns teaches them.
-        ordinary = F.filter(
-            F.transform(other_tokens(F.col("text"), base, shortest), lambda t: t["value"]), lambda t: ~t.rlike("[0-9]")
-        )
-
-        def labelled(tokens: Column, random: bool) -> Column:
-            return F.transform(tokens, lambda t: F.struct(F.lit(random).alias("random"), t.alias("token")))
-
-        return F.concat(labelled(secrets, True), labelled(ordinary, False))
-
-    labelled = drawn.select(F.explode(spans.let(base_spans(F.col("text")), samples)).alias("s")).select("s.*")
-    counts = (
+    drawn = docs.where(F.pmod(F.xxhash64("text", F.lit("secrets")), F.lit(1 << 30)) < share * (1 << 30))
+    secrets = drawn.select(F.explode(base_spans(F.col("text"))).alias("s")).select(
+        F.regexp_replace("s.secret", "[^" + TOKEN_CHARACTER[1:], "").alias("token")
+    )
+    labelled = secrets.distinct().withColumn("random", F.lit(True)).unionByName(
+        ordinary_tokens(drawn).withColumn("random", F.lit(False))
+    )
+    counts = stage(
         labelled.where("token <> ''")
         # Each pair once a token, so that one very long token does not outweigh the others.
         .select("random", F.explode(F.array_distinct(steps(F.col("token")))).alias("step"))
         .groupBy("step")
-        .agg(F.count(F.when(F.col("random"), 1)).alias("random"), F.count(F.when(~F.col("random"), 1)).alias("ordinary"))
+        .agg(F.count(F.when(F.col("random"), 1)).alias("random"), F.count(F.when(~F.col("random"), 1)).alias("ordinary")),
+        "character-pairs",
     )
     grid = docs.sparkSession.range(STATES * STATES).select(
         F.col("id").cast("int").alias("step"), F.floor(F.col("id") / STATES).alias("state"), (F.col("id") % STATES).alias("to")
@@ -149,16 +154,18 @@ def train(docs: DataFrame, shortest: int = SHORTEST, sample_rows: int = SAMPLE_R
 
 
 def scan(
-    docs: DataFrame, shortest: int = SHORTEST, threshold: float = THRESHOLD, sample_rows: int = SAMPLE_ROWS
+    docs: DataFrame, shortest: int = SHORTEST, rate: float = RATE, sample_rows: int = SAMPLE_ROWS
 ) -> DataFrame:
     """``docs`` with spans, an array of (start, kind_no, end): pattern matches and random tokens, in order."""
     docs = docs.drop("spans")
-    ratio_of = train(docs, shortest, sample_rows)
+    ratio_of = train(docs, sample_rows)
 
     def random(token: Column) -> Column:
-        mixed = token.rlike("[0-9]") & token.rlike("[A-Za-z]")
-        total = F.aggregate(steps(token), F.lit(0), lambda acc, step: acc + F.get(ratio_of, step))
-        return F.when(mixed, total > 1000 * threshold).otherwise(False)
+        def is_random(spelling: Column) -> Column:
+            total = F.aggregate(steps(spelling), F.lit(0), lambda acc, step: acc + F.get(ratio_of, step))
+            return total > F.lit(1000 * rate) * F.length(spelling)
+
+        return is_random(token) & is_random(F.lower(token))
 
     def all_spans(base: Column) -> Column:
         added = F.filter(other_tokens(F.col("text"), base, shortest), lambda t: random(t["value"]))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from almanac.llm import language, private_data, queries
+from almanac.llm import language, private_data, queries, secret_scan
 
 SCHEMA = "doc_id bigint, text string, lang string"
 
@@ -86,3 +86,42 @@ def test_a_disclosing_term_goes_wherever_it_stands_in_a_document_of_its_entity(s
     )
     rows = {r.doc_id: r.sanitised for r in private_data.sanitise(docs, generalise=0.8, remove=0.97).collect()}
     assert rows[9].startswith("Contact the ") and "orblax" not in rows[9]
+
+
+def plain_texts(n, words_each=60):
+    source = random.Random(11)
+    words = "report station value river green water paper winter garden simple letter number season market".split()
+    return [(i, " ".join(source.choices(words, k=words_each)), "en") for i in range(n)]
+
+
+def test_a_name_beside_an_address_that_occurs_once_goes(spark):
+    text = "letter from Maria Kellermann at maria.kellermann@example.org about the winter market"
+    docs = spark.createDataFrame([*plain_texts(60), (100, text, "en")], SCHEMA)
+    row = private_data.sanitise(docs).where("doc_id = 100").first()
+    terms = {text[s.start : s.end] for s in row.spans if s.kind_no == private_data.TERM}
+    assert {"Maria", "Kellermann"} <= terms and not terms & {"letter", "winter", "market"}
+    assert "Kellermann" not in row.sanitised and "<email>" in row.sanitised and "winter market" in row.sanitised
+
+
+def test_a_name_told_often_is_removed_and_a_lone_text_tells_nothing(spark):
+    text = "Kellermann wrote to a.b@example.org in winter"
+    docs = spark.createDataFrame([*plain_texts(60), *[(100 + i, text, "en") for i in range(3)]], SCHEMA)
+    row = private_data.sanitise(docs).where("doc_id = 100").first()
+    assert "Kellermann" not in row.sanitised and "<Term>" not in row.sanitised
+    alone = private_data.sanitise(docs.where("doc_id = 100")).first()
+    assert all(s.kind_no < private_data.TERM for s in alone.spans)
+
+
+SECRETS = ["qXvBzKpLwRtYhGmNcDfSjQ", "8361947250183746", "xvbqzkpwjrtyhgmncdfsjqxz", "QZXVKJWPBTYHGMFDQXZJKV", "x9K2-qP7_Zw4+Lm8/Vb3"]
+
+
+def test_the_ratio_alone_decides_about_a_token(spark):
+    corpus = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    names = "station_report_of_the_season waterGardenNumberMarket THEREATIONALENTER green-paper-winter-letter"
+    planted = spark.createDataFrame(
+        [(-1 - i, f"the value {secret} is in the paper") for i, secret in enumerate(SECRETS)] + [(-99, names)], "doc_id bigint, text string"
+    )
+    rows = secret_scan.scan(corpus.unionByName(planted)).where("doc_id < 0").collect()
+    found = {r.doc_id: [r.text[s.start : s.end] for s in r.spans] for r in rows}
+    assert found.pop(-99) == []
+    assert found == {-1 - i: [secret] for i, secret in enumerate(SECRETS)}
