@@ -1,8 +1,12 @@
 """Collocations from a weighted de Bruijn graph of word sequences.
 
-Texts are cut into pieces and those into words.  The nodes of the graph are sequences of ``LONGEST - 1`` words; an
-edge is a sequence of ``LONGEST`` words, leads from its first words to its last ones, and weighs as often as it
-occurs.  A piece's last words, of which no edge starts, are kept beside the edges.  So
+Texts are cut into pieces and those into words.  A phrase that occurs ``least`` times has only words and pairs of
+neighbours that do, so words and pairs are counted first, and a piece is cut again where one of them is rarer.  Which ones
+are not is told to the tasks by bits at a hash (``WORD_BITS``, ``PAIR_BITS``: a fixed size, whatever the data); words that share a
+bit with a frequent one only leave more to count.
+
+The nodes of the graph are sequences of ``LONGEST - 1`` words; an edge is a sequence of ``LONGEST`` words, leads from its
+first words to its last ones, and weighs as often as it occurs.  A piece's last words, of which no edge starts, are kept beside the edges.  So
 
     f(sequence) = weight of all edges that start with it + piece ends that start with it
 
@@ -15,9 +19,8 @@ The edges that remain are a graph of their own.  Where a node has one edge in an
 they belong to one path, and :func:`compact` stores such an unary path as one row (cut every
 ``PATH_EDGES`` edges).  Candidates of ``LONGEST`` words are the windows of paths, shorter ones the sequences counted.
 
-Skew: windows spread by a hash of their first two words.  First words that hold more than 1 / ``HOT_SHARE`` of a sample's windows
-(``SAMPLE_ROWS`` documents, drawn by a hash; at most ``HOT_SHARE`` first words) spread by the whole window, and their counts
-are added up once more.  The sample decides where rows go, not what is counted.
+Skew: windows spread by a hash of their first two words.  Pairs that hold more than 1 / ``HOT_SHARE`` of all frequent
+pairs' occurrences (at most ``HOT_SHARE`` of them) spread by the whole window, and their counts are added up once more.
 
 Score: cutting a phrase after its first k words into parts that occur l and r times scores
 floor(1000 * f * n / (l * r)), in decimals of 38 digits; the cut with the lowest score counts, ties to the smallest k.
@@ -30,8 +33,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +56,11 @@ LOW = re.compile(rb"[\x00-\x0A]")
 # Windows that a task holds before it hands them on.
 MOST_HELD = 400_000
 
-# Documents of the sample, share of its windows from which on first words are hot.
-SAMPLE_ROWS, HOT_SHARE = 2000, 1000
+# Bits that tell frequent words and pairs: 1 and 4 MB.
+WORD_BITS, PAIR_BITS = 1 << 23, 1 << 25
+
+# Share of all pairs from which on a pair is hot.
+HOT_SHARE = 1000
 
 # Edges of a path in one row.
 PATH_EDGES = 256
@@ -73,15 +79,46 @@ def unescaped(text: Column) -> Column:
     return text
 
 
-def windows(text: bytes, longest: int) -> Iterator[bytes]:
-    """The window that starts at each word: up to ``longest`` words, within its piece."""
+def pieces(text: bytes) -> Iterator[list[bytes]]:
+    """The words of each piece, coded so that they may stand in a key."""
     rare = LOW.search(text) is not None
     for piece in PIECE_END.split(text.lower()):
         words = piece.split()
-        if rare:
-            words = [escaped(w) for w in words]
-        for i in range(len(words)):
-            yield SEPARATOR.join(words[i : i + longest])
+        yield [escaped(w) for w in words] if rare else words
+
+
+class Frequent(dict):
+    """Whether the bit of a language's word or pair is set; answers are kept while there is room."""
+
+    def __init__(self, bits: bytes, start: bytes):
+        super().__init__()
+        self.bits, self.start = bits, zlib.crc32(start)
+
+    def __missing__(self, words: bytes) -> bool:
+        at = zlib.crc32(words, self.start) % (8 * len(self.bits))
+        found = bool(self.bits[at >> 3] >> (at & 7) & 1)
+        if len(self) >= MOST_HELD:
+            self.clear()
+        self[words] = found
+        return found
+
+
+def cut_runs(words: list[bytes], word: Frequent, pair: Frequent) -> Iterator[list[bytes]]:
+    """The parts of a piece in which all words and all pairs of neighbours are frequent."""
+    run: list[bytes] = []
+    for w in words:
+        if run and not (word[w] and pair[run[-1] + SEPARATOR + w]):
+            yield run
+            run = []
+        if run or word[w]:
+            run.append(w)
+    if run:
+        yield run
+
+
+def windows(words: list[bytes], longest: int) -> list[bytes]:
+    """The window that starts at each word: up to ``longest`` words."""
+    return [SEPARATOR.join(words[i : i + longest]) for i in range(len(words))]
 
 
 def first_words(key: bytes) -> bytes:
@@ -89,30 +126,75 @@ def first_words(key: bytes) -> bytes:
     return SEPARATOR.join(key.split(SEPARATOR, 3)[:3])
 
 
-def _counted(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[dict[bytes, int]]:
-    """Windows of (lang, text) with their counts, some hundred thousand at once."""
-    held: defaultdict[str, Counter] = defaultdict(Counter)
-
-    def drained() -> dict[bytes, int]:
-        found = {}
-        for lang, counts in held.items():
-            start = escaped(lang.encode()) + SEPARATOR
-            found |= {start + window: n for window, n in counts.items()}
-        held.clear()
-        return found
+def _counted(
+    batches: Iterator[pa.RecordBatch], sequences: Callable[[bytes], Callable[[list[bytes]], Iterable[bytes]]]
+) -> Iterator[dict[bytes, int]]:
+    """Keys of (lang, text) with their counts, some hundred thousand at once.
 
+    ``sequences`` gets the start of a language's keys and returns what makes the sequences of a piece.
+    """
+    held: dict[bytes, Counter] = {}
+    of_piece = {}
     for batch in batches:
         for lang, text in zip(batch.column(0), batch.column(1), strict=True):
-            held[lang.as_py()].update(windows(text.as_py(), longest))
+            start = escaped(lang.as_py().encode()) + SEPARATOR
+            if start not in of_piece:
+                of_piece[start] = sequences(start)
+            counts = held.setdefault(start, Counter())
+            for words in pieces(text.as_py()):
+                counts.update(of_piece[start](words))
             if sum(map(len, held.values())) >= MOST_HELD:
-                yield drained()
+                yield {start + key: n for start, counts in held.items() for key, n in counts.items()}
+                held.clear()
     if held:
-        yield drained()
+        yield {start + key: n for start, counts in held.items() for key, n in counts.items()}
+
+
+def _count_rows(found: dict[bytes, int], words: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {
+            "key": pa.array(found, pa.binary()), "words": pa.array(np.full(len(found), words), pa.int32()),
+            "n": pa.array(found.values(), pa.int64()),
+        }
+    )
+
+
+def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words, and with 0 words how many a language has."""
+    for found in _counted(batches, lambda start: lambda words: words):
+        totals: Counter = Counter()
+        for key, n in found.items():
+            totals[key.split(SEPARATOR, 1)[0]] += n
+        yield _count_rows(found, 1)
+        yield _count_rows(totals, 0)
+
+
+def _pair_rows(word_bits: bytes):
+    def sequences(start: bytes):
+        frequent = Frequent(word_bits, start)
+
+        def pairs(words: list[bytes]) -> list[bytes]:
+            known = [frequent[w] for w in words]
+            return [
+                words[i] + SEPARATOR + words[i + 1] for i in range(len(words) - 1) if known[i] and known[i + 1]
+            ]
+
+        return pairs
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _counted(batches, sequences):
+            yield _count_rows(found, 2)
+
+    return of_batches
+
 
+def _window_rows(longest: int, word_bits: bytes, pair_bits: bytes, hot: frozenset[bytes]):
+    def sequences(start: bytes):
+        word, pair = Frequent(word_bits, start), Frequent(pair_bits, start)
+        return lambda words: [w for run in cut_runs(words, word, pair) for w in windows(run, longest)]
 
-def _window_rows(longest: int, hot: frozenset[bytes]):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in _counted(batches, longest):
+        for found in _counted(batches, sequences):
             routes, salted = [], []
             for key in found:
                 start = first_words(key)
@@ -128,26 +210,18 @@ def _window_rows(longest: int, hot: frozenset[bytes]):
     return of_batches
 
 
-def _start_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for found in _counted(batches, 2):
-        yield pa.RecordBatch.from_pydict(
-            {
-                "key": pa.array(found, pa.binary()), "words": pa.array(np.zeros(len(found)), pa.int32()),
-                "n": pa.array(found.values(), pa.int64()),
-            }
-        )
-
-
-def hot_starts(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, hot_share: int = HOT_SHARE) -> frozenset[bytes]:
-    """First words that hold more than 1 / ``hot_share`` of the windows in about ``sample_rows`` documents."""
-    rows = docs.count()
-    share = min(1.0, sample_rows / rows) if rows else 1.0
-    drawn = docs.where(F.pmod(F.xxhash64("text", F.lit("starts")), F.lit(1 << 30)) < share * (1 << 30))
-    counted = stage(
-        drawn.mapInArrow(_start_counts, COUNTS_SCHEMA).groupBy("key").agg(F.sum("n").alias("n")), "window-starts"
+def set_bits(keys: DataFrame, bits: int) -> bytes:
+    """One bit at each key's hash.  The driver receives rows of 4 KB, ``bits`` / 32768 at most."""
+    at = F.crc32("key") % bits + 1
+    rows = (
+        keys.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit"))
+        .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
     )
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    return frozenset(bytes(r["key"]) for r in counted.where(F.col("n") * hot_share > total).select("key").collect())
+    out = bytearray(bits // 8)
+    for row in rows:
+        start = (row["bucket"] - 1) * len(row["bits"])
+        out[start : start + len(row["bits"])] = row["bits"][: len(out) - start]
+    return bytes(out)
 
 
 class Runs:
@@ -168,7 +242,7 @@ class Runs:
         first_gap, next_gap = np.searchsorted(gaps, begin), np.searchsorted(gaps, end)
         alike = self._common(data, begin, end)
         told = []
-        for words in range(self.longest + 1):
+        for words in range(1, self.longest + 1):
             n_words = next_gap - first_gap
             rows = np.flatnonzero(n_words >= words)
             if not len(rows):
@@ -251,15 +325,22 @@ def window_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -
     """(lang, phrase, words, n) of sequences that occur ``least`` times; with 0 words: all words of a language."""
     text = F.coalesce("text", F.lit("")).cast("binary")
     rows = docs.select(F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), text.alias("text"))
-    spread = rows.mapInArrow(_window_rows(longest, hot_starts(rows)), WINDOWS_SCHEMA).repartition("route")
-    counted = (
-        spread.sortWithinPartitions("key").select("key", "salted", "n")
-        .mapInArrow(_prefix_counts(longest, least), COUNTS_SCHEMA)
-        .groupBy("key", "words").agg(F.sum("n").alias("n"))
-        .where((F.col("n") >= least) | (F.col("words") == 0))
+
+    def added(counted: DataFrame) -> DataFrame:
+        return counted.groupBy("key", "words").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("words") == 0))
+
+    words = stage(added(rows.mapInArrow(_word_rows, COUNTS_SCHEMA)), "word-counts")
+    word_bits = set_bits(words.where("words = 1"), WORD_BITS)
+    pairs = stage(added(rows.mapInArrow(_pair_rows(word_bits), COUNTS_SCHEMA)), "pair-counts")
+    pair_bits = set_bits(pairs, PAIR_BITS)
+    all_pairs = pairs.agg(F.sum("n")).first()[0] or 0
+    hot = frozenset(bytes(r["key"]) for r in pairs.where(F.col("n") * HOT_SHARE > all_pairs).select("key").collect())
+    spread = rows.mapInArrow(_window_rows(longest, word_bits, pair_bits, hot), WINDOWS_SCHEMA).repartition("route")
+    counted = added(
+        spread.sortWithinPartitions("key").select("key", "salted", "n").mapInArrow(_prefix_counts(longest, least), COUNTS_SCHEMA)
     )
     parts = F.split(F.col("key").cast("string"), SEPARATOR.decode())
-    return counted.select(
+    return counted.unionByName(words.where("words = 0")).select(
         unescaped(parts[0]).alias("lang"),
         unescaped(F.array_join(F.slice(parts, 2, F.size(parts)), " ")).alias("phrase"), "words", "n",
     )
