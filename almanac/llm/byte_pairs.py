@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 # Pieces in each of the two generations that a worker keeps, and the longest piece kept.
-MOST_PIECES, KEPT_LENGTH = 400_000, 64
+MOST_PIECES, KEPT_LENGTH = 250_000, 64
 
 # Entry of a pair without a rank, above all others.
 NONE = 1 << 80
@@ -122,7 +122,7 @@ def decode_ids(ids: bytes, tokens: list[bytes]) -> bytes:
     return b"".join(map(tokens.__getitem__, np.frombuffer(ids, dtype=ID).tolist()))
 
 
-# One encoder and one list of tokens for each broadcast that a worker has met.
+# The encoder and the list of tokens of the last broadcast that a worker has met; earlier ones would only fill its memory.
 _encoders: dict[tuple[int, str], Encoder] = {}
 _tokens: dict[int, list[bytes]] = {}
 
@@ -130,6 +130,7 @@ _tokens: dict[int, list[bytes]] = {}
 def _encoder(ranks: Broadcast, pattern: str) -> Encoder:
     key = id(ranks.value), pattern
     if key not in _encoders:
+        _encoders.clear()
         _encoders[key] = Encoder(ranks.value, pattern)
     return _encoders[key]
 
@@ -140,6 +141,7 @@ def _token_list(ranks: Broadcast) -> list[bytes]:
         listed = [b""] * (1 + max(ranks.value.values(), default=-1))
         for token, rank in ranks.value.items():
             listed[rank] = token
+        _tokens.clear()
         _tokens[key] = listed
     return _tokens[key]
 
@@ -169,3 +171,19 @@ def decode(tokens: DataFrame, ranks: Broadcast) -> DataFrame:
         return pa.array((decode_ids(i.as_py(), listed) if i.is_valid else None for i in ids), pa.binary())
 
     return tokens.withColumn("decoded", arrow_udf(unpacked, "binary").asNondeterministic()(F.col("ids")))
+
+
+def round_trip(docs: DataFrame, ranks: Broadcast, pattern: str) -> DataFrame:
+    """``docs`` with n_tokens, ids and decoded, as :func:`encode` and :func:`decode` give them, from one pass of one worker."""
+
+    def both(texts: pa.Array) -> pa.Array:
+        encoder, listed = _encoder(ranks, pattern), _token_list(ranks)
+        ids = pa.array((encoder.encode(t.as_py()) for t in texts), pa.binary())
+        decoded = pa.array((decode_ids(i.as_py(), listed) for i in ids), pa.binary())
+        return pa.StructArray.from_arrays([ids, decoded], ["ids", "decoded"])
+
+    coded = arrow_udf(both, "ids binary, decoded binary").asNondeterministic()(F.coalesce("text", F.lit("")))
+    kept = docs.drop("ids", "decoded", "n_tokens")
+    return kept.select(*kept.columns, coded.alias("ids")).select(
+        *kept.columns, "ids.ids", "ids.decoded", (F.octet_length("ids.ids") / 4).cast("bigint").alias("n_tokens")
+    )

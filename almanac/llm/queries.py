@@ -146,8 +146,7 @@ def op11_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ranks = byte_pairs.share_ranks(spark, RANKS)
-    decoded = byte_pairs.decode(byte_pairs.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
-    return decoded.select(
+    return byte_pairs.round_trip(docs, ranks, public_tokenizers.PATTERN).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

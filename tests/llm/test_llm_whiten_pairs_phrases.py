@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import duckdb
@@ -134,6 +135,9 @@ def test_byte_pairs_of_odd_rows(spark):
     found = byte_pairs.decode(byte_pairs.encode(docs, ranks, public_tokenizers.PATTERN), ranks).collect()
     assert sorted((r.doc_id or 0, r.decoded.decode(), r.key) for r in found) == sorted((i or 0, t or "", "given") for i, t, _ in rows)
     assert all(r.n_tokens == len(REFERENCE.encode_ordinary(r.text or "")) for r in found)
+    both = byte_pairs.round_trip(docs, ranks, public_tokenizers.PATTERN).select(*docs.columns).collect()
+    columns = ("doc_id", "text", "key", "ids", "n_tokens", "decoded")
+    assert sorted(repr([r[c] for c in columns]) for r in both) == sorted(repr([r[c] for c in columns]) for r in found)
     assert byte_pairs.encode(docs.limit(0), ranks, public_tokenizers.PATTERN).collect() == []
 
 
@@ -178,7 +182,7 @@ def odd_documents():
 @pytest.mark.parametrize(("hot_share", "least", "most"), [(1000, 3, 2000), (10, 3, 2000), (10, 10, 5)])
 def test_phrases_equal_brute_force(spark, monkeypatch, odd_documents, hot_share, least, most):
     monkeypatch.setattr(collocations, "PATH_EDGES", 4)
-    monkeypatch.setattr(collocations.hot_starts, "__defaults__", (collocations.SAMPLE_ROWS, hot_share))
+    monkeypatch.setattr(collocations, "HOT_SHARE", hot_share)
     docs = spark.createDataFrame(odd_documents, "lang string, text string").repartition(6).withColumn("n", F.lit("given"))
     phrases, paths = collocations.mine(docs, least=least, most_ranks=most)
     assert {tuple(r) for r in phrases.collect()} == brute_phrases(odd_documents, least, most)
@@ -186,17 +190,33 @@ def test_phrases_equal_brute_force(spark, monkeypatch, odd_documents, hot_share,
     assert not edges or max(edges.values()) == 1
 
 
+def test_pieces_are_cut_at_rare_words_and_pairs():
+    def bits(*frequent):
+        out = bytearray(1 << 10)
+        for words in frequent:
+            at = zlib.crc32(b"en\t" + words) % (8 << 10)
+            out[at >> 3] |= 1 << (at & 7)
+        return bytes(out)
+
+    word = collocations.Frequent(bits(b"a", b"b", b"c"), b"en\t")
+    pair = collocations.Frequent(bits(b"a\tb", b"b\tc"), b"en\t")
+    runs = list(collocations.cut_runs(b"z a b c a b z c b a z z".split(), word, pair))
+    assert [b" ".join(r) for r in runs] == [b"a b c", b"a b", b"c", b"b", b"a"]
+
+
 def test_counts_over_many_small_batches(odd_documents):
     import pyarrow as pa
 
     counted = Counter()
     for lang, text in odd_documents:
-        counted.update(collocations.escaped((lang or "und").encode()) + b"\t" + w for w in collocations.windows((text or "").encode(), 5))
+        start = collocations.escaped((lang or "und").encode()) + b"\t"
+        for words in collocations.pieces((text or "").encode()):
+            counted.update(start + w for w in collocations.windows(words, 5))
     keys = sorted(counted)
     expected = Counter()
     for key in keys:
         parts = key.split(b"\t")
-        for words in range(len(parts)):
+        for words in range(1, len(parts)):
             expected[b"\t".join(parts[: words + 1]), words] += counted[key]
     for size in (1, 3, 1000):
         runs, found = collocations.Runs(5, 4), Counter()
