@@ -46,12 +46,18 @@ from almanac.staging import stage
 # Words of the longest phrase, least count of a candidate, ranks returned for each language.
 LONGEST, LEAST, MOST_RANKS = 5, 100, 2000
 NO_LANGUAGE = "und"
-PIECE_END = re.compile(rb"[.,;:!?\x0A-\x0D]+")
+PIECE_ENDS = b".,;:!?\x0A\x0B\x0C\x0D"
+PIECE_END = re.compile(b"[" + PIECE_ENDS + b"]+")
+
+# Stands between pieces in a list of words; no word holds it.
+MARK = b"."
 
 # Keys are language and words, joined by the lowest byte that occurs in them, so that whatever starts alike sorts
 # together.  Lower bytes, and the escape itself, become the escape and a character from "0" on.
 SEPARATOR, ESCAPE = b"\t", b"\n"
 LOW = re.compile(rb"[\x00-\x0A]")
+# Those of them that can stand in a word.
+LOW_IN_WORDS = re.compile(rb"[\x00-\x08]")
 
 # Windows that a task holds before it hands them on.
 MOST_HELD = 400_000
@@ -79,12 +85,14 @@ def unescaped(text: Column) -> Column:
     return text
 
 
-def pieces(text: bytes) -> Iterator[list[bytes]]:
-    """The words of each piece, coded so that they may stand in a key."""
-    rare = LOW.search(text) is not None
-    for piece in PIECE_END.split(text.lower()):
-        words = piece.split()
-        yield [escaped(w) for w in words] if rare else words
+def marked_words(text: bytes) -> list[bytes]:
+    """The words of a text, coded so that they may stand in a key, with marks where pieces end."""
+    words = PIECE_END.sub(b" " + MARK + b" ", text.lower()).split()
+    return [escaped(w) for w in words] if LOW_IN_WORDS.search(text) else words
+
+
+def all_words(text: bytes) -> list[bytes]:
+    return [w for w in marked_words(text) if w != MARK]
 
 
 class Frequent(dict):
@@ -93,32 +101,34 @@ class Frequent(dict):
     def __init__(self, bits: bytes, start: bytes):
         super().__init__()
         self.bits, self.start = bits, zlib.crc32(start)
+        self[MARK] = False
 
     def __missing__(self, words: bytes) -> bool:
         at = zlib.crc32(words, self.start) % (8 * len(self.bits))
         found = bool(self.bits[at >> 3] >> (at & 7) & 1)
         if len(self) >= MOST_HELD:
             self.clear()
+            self[MARK] = False
         self[words] = found
         return found
 
 
-def cut_runs(words: list[bytes], word: Frequent, pair: Frequent) -> Iterator[list[bytes]]:
-    """The parts of a piece in which all words and all pairs of neighbours are frequent."""
-    run: list[bytes] = []
-    for w in words:
-        if run and not (word[w] and pair[run[-1] + SEPARATOR + w]):
-            yield run
-            run = []
-        if run or word[w]:
-            run.append(w)
-    if run:
-        yield run
-
-
-def windows(words: list[bytes], longest: int) -> list[bytes]:
-    """The window that starts at each word: up to ``longest`` words."""
-    return [SEPARATOR.join(words[i : i + longest]) for i in range(len(words))]
+def cut_windows(words: list[bytes], word: Frequent, pair: Frequent, longest: int) -> list[bytes]:
+    """The window that starts at each frequent word: up to ``longest`` words, as long as their pairs are frequent."""
+    known = list(map(word.__getitem__, words))
+    joined = [
+        a and b and pair[first + SEPARATOR + second]
+        for a, b, first, second in zip(known, known[1:], words, words[1:], strict=False)
+    ]
+    joined.append(False)
+    found = []
+    for i, starts in enumerate(known):
+        if starts:
+            end, most = i, i + longest - 1
+            while end < most and joined[end]:
+                end += 1
+            found.append(words[i] if end == i else SEPARATOR.join(words[i : end + 1]))
+    return found
 
 
 def first_words(key: bytes) -> bytes:
@@ -127,22 +137,20 @@ def first_words(key: bytes) -> bytes:
 
 
 def _counted(
-    batches: Iterator[pa.RecordBatch], sequences: Callable[[bytes], Callable[[list[bytes]], Iterable[bytes]]]
+    batches: Iterator[pa.RecordBatch], sequences: Callable[[bytes], Callable[[bytes], Iterable[bytes]]]
 ) -> Iterator[dict[bytes, int]]:
     """Keys of (lang, text) with their counts, some hundred thousand at once.
 
-    ``sequences`` gets the start of a language's keys and returns what makes the sequences of a piece.
+    ``sequences`` gets the start of a language's keys and returns what makes the sequences of a text.
     """
     held: dict[bytes, Counter] = {}
-    of_piece = {}
+    of_text = {}
     for batch in batches:
         for lang, text in zip(batch.column(0), batch.column(1), strict=True):
             start = escaped(lang.as_py().encode()) + SEPARATOR
-            if start not in of_piece:
-                of_piece[start] = sequences(start)
-            counts = held.setdefault(start, Counter())
-            for words in pieces(text.as_py()):
-                counts.update(of_piece[start](words))
+            if start not in of_text:
+                of_text[start] = sequences(start)
+            held.setdefault(start, Counter()).update(of_text[start](text.as_py()))
             if sum(map(len, held.values())) >= MOST_HELD:
                 yield {start + key: n for start, counts in held.items() for key, n in counts.items()}
                 held.clear()
@@ -161,7 +169,7 @@ def _count_rows(found: dict[bytes, int], words: int) -> pa.RecordBatch:
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words, and with 0 words how many a language has."""
-    for found in _counted(batches, lambda start: lambda words: words):
+    for found in _counted(batches, lambda start: all_words):
         totals: Counter = Counter()
         for key, n in found.items():
             totals[key.split(SEPARATOR, 1)[0]] += n
@@ -173,10 +181,12 @@ def _pair_rows(word_bits: bytes):
     def sequences(start: bytes):
         frequent = Frequent(word_bits, start)
 
-        def pairs(words: list[bytes]) -> list[bytes]:
-            known = [frequent[w] for w in words]
+        def pairs(text: bytes) -> list[bytes]:
+            words = marked_words(text)
+            known = list(map(frequent.__getitem__, words))
             return [
-                words[i] + SEPARATOR + words[i + 1] for i in range(len(words) - 1) if known[i] and known[i + 1]
+                first + SEPARATOR + second
+                for a, b, first, second in zip(known, known[1:], words, words[1:], strict=False) if a and b
             ]
 
         return pairs
@@ -191,7 +201,7 @@ def _pair_rows(word_bits: bytes):
 def _window_rows(longest: int, word_bits: bytes, pair_bits: bytes, hot: frozenset[bytes]):
     def sequences(start: bytes):
         word, pair = Frequent(word_bits, start), Frequent(pair_bits, start)
-        return lambda words: [w for run in cut_runs(words, word, pair) for w in windows(run, longest)]
+        return lambda text: cut_windows(marked_words(text), word, pair, longest)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in _counted(batches, sequences):
