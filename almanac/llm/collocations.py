@@ -11,9 +11,9 @@ first words to its last ones, and weighs as often as it occurs.  A piece's last
     f(sequence) = weight of all edges that start with it + piece ends that start with it
 
 where a node's count is the flow out of it plus the pieces that end in it, and shorter counts follow from longer ones in
-the same way.  :func:`window_counts` combines edges and piece ends in the map tasks, sorts them by sequence, and
+the same way, down to three words; words and pairs have been counted before.  :func:`window_counts` combines edges and piece ends in the map tasks, sorts them by sequence, and
 reads all counts off one pass over the sorted rows: rows that start alike are neighbours.  Only sequences that occur
-``least`` times leave that pass (single words: all, since their sequences lie in several partitions).
+``least`` times leave that pass.
 
 The edges that remain are a graph of their own.  Where a node has one edge in and one out and both weigh the same,
 they belong to one path, and :func:`compact` stores such an unary path as one row (cut every
@@ -59,6 +59,9 @@ LOW = re.compile(rb"[\x00-\x0A]")
 # Those of them that can stand in a word.
 LOW_IN_WORDS = re.compile(rb"[\x00-\x08]")
 
+# Words of the shortest sequence whose count follows from windows.
+SHORTEST_WINDOW = 3
+
 # Windows that a task holds before it hands them on.
 MOST_HELD = 400_000
 
@@ -114,7 +117,7 @@ class Frequent(dict):
 
 
 def cut_windows(words: list[bytes], word: Frequent, pair: Frequent, longest: int) -> list[bytes]:
-    """The window that starts at each frequent word: up to ``longest`` words, as long as their pairs are frequent."""
+    """The windows of three to ``longest`` words whose pairs are all frequent, one for each word that starts one."""
     known = list(map(word.__getitem__, words))
     joined = [
         a and b and pair[first + SEPARATOR + second]
@@ -123,11 +126,12 @@ def cut_windows(words: list[bytes], word: Frequent, pair: Frequent, longest: int
     joined.append(False)
     found = []
     for i, starts in enumerate(known):
-        if starts:
-            end, most = i, i + longest - 1
+        if starts and joined[i]:
+            end, most = i + 1, i + longest - 1
             while end < most and joined[end]:
                 end += 1
-            found.append(words[i] if end == i else SEPARATOR.join(words[i : end + 1]))
+            if end > i + 1:
+                found.append(SEPARATOR.join(words[i : end + 1]))
     return found
 
 
@@ -252,7 +256,7 @@ class Runs:
         first_gap, next_gap = np.searchsorted(gaps, begin), np.searchsorted(gaps, end)
         alike = self._common(data, begin, end)
         told = []
-        for words in range(1, self.longest + 1):
+        for words in range(SHORTEST_WINDOW, self.longest + 1):
             n_words = next_gap - first_gap
             rows = np.flatnonzero(n_words >= words)
             if not len(rows):
@@ -268,7 +272,7 @@ class Runs:
             new[1:] = (length[1:] != length[:-1]) | (shared[1:] < length[1:])
             starts = np.flatnonzero(new)
             totals = np.add.reduceat(counts[rows], starts)
-            all_told = np.maximum.reduceat(salted[rows], starts) | (words <= 1)
+            all_told = np.maximum.reduceat(salted[rows], starts)
             told += self._ended(words, data, begin[rows[starts]], cut[starts], totals, all_told)
         return told
 
@@ -350,7 +354,7 @@ def window_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -
         spread.sortWithinPartitions("key").select("key", "salted", "n").mapInArrow(_prefix_counts(longest, least), COUNTS_SCHEMA)
     )
     parts = F.split(F.col("key").cast("string"), SEPARATOR.decode())
-    return counted.unionByName(words.where("words = 0")).select(
+    return counted.unionByName(words).unionByName(pairs).select(
         unescaped(parts[0]).alias("lang"),
         unescaped(F.array_join(F.slice(parts, 2, F.size(parts)), " ")).alias("phrase"), "words", "n",
     )
