@@ -13,13 +13,14 @@ from pyspark.ml.classification import (
     OneVsRest,
     OneVsRestModel,
 )
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from almanac.models.caching import cached
 from almanac.models.hinge import L1Hinge, L1HingeModel
 from almanac.models.standardiser import fit_standardiser
+from almanac.models.stochastic import PLACE, SagaL1Logistic, StochasticL1Hinge, content_hash
 from almanac.operators import metrics
 
 # Fixed value: with C = 50 / n the penalty 1 / (C * n) is 0.02 for every n.
@@ -55,6 +56,18 @@ def l1_hinge(classes: int, penalty: float = L1_PENALTY, tol: float = TOLERANCE,
     )
 
 
+def stochastic_l1_hinge(classes: int, penalty: float = L1_PENALTY, passes: int = 10, seed: int = 0) -> Estimator:
+    """The objective of :func:`l1_hinge`, by stochastic steps in a fixed number of passes."""
+    return StochasticL1Hinge(
+        numClasses=classes, featuresCol="scaled", labelCol="label", regParam=penalty, maxIter=passes, seed=seed
+    )
+
+
+def saga_l1_logistic(classes: int, penalty: float = L1_PENALTY, seed: int = 0) -> Estimator:
+    """The objective of :func:`l1_logistic`, by variance-reduced stochastic steps."""
+    return SagaL1Logistic(numClasses=classes, featuresCol="scaled", labelCol="label", regParam=penalty, seed=seed)
+
+
 def linear_svc(
     penalty: float = L1_PENALTY, tol: float = SVC_TOLERANCE, max_iter: int = MOST_STEPS, parallelism: int = 4
 ) -> Estimator:
@@ -77,14 +90,16 @@ def fit_models(train: DataFrame, estimators: dict[str, Estimator]) -> dict[str,
     The training rows are kept while they are scaled, the scaled ones while models pass over them.  A
     fit that took no step, or was stopped by its cap on steps, is reported as a warning.
     """
-    rows = with_vector(train.select("features", F.col("label").cast("double").alias("label")))
+    labelled = train.select("features", F.col("label").cast("double").alias("label"))
+    # The stochastic solvers go by the order of a hash of the rows as they were given.
+    rows = with_vector(labelled.withColumn(PLACE, content_hash("features", "label")))
     with cached(rows) as kept:
         scaling = fit_scaling(kept)
-        with cached(scaling.transform(kept).select("scaled", "label")) as scaled:
+        with cached(scaling.transform(kept).select("scaled", "label", PLACE)) as scaled:
             fitted = {name: estimator.fit(scaled) for name, estimator in estimators.items()}
     for name, model in fitted.items():
         for steps in steps_taken(model):
-            if not 0 < steps < _most_steps(estimators[name]):
+            if not isinstance(estimators[name], StochasticL1Hinge) and not 0 < steps < _most_steps(estimators[name]):
                 warnings.warn(f"{name} stopped after {steps} steps", RuntimeWarning, stacklevel=2)
     return {name: PipelineModel([*scaling.stages, model]) for name, model in fitted.items()}
 
@@ -150,6 +165,37 @@ def compare_models(models: dict[str, PipelineModel], test: DataFrame) -> DataFra
     return scores.join(sparsity, "model", "left")
 
 
+def optimality(model: PipelineModel, train: DataFrame, penalty: float = L1_PENALTY) -> DataFrame:
+    """(class, feature, value, gradient, gap) of an L1 logistic model, from its coefficient table and the training rows.
+
+    ``gap`` says by how much a coefficient violates the conditions of the optimum: a zero one needs a gradient of no more than
+    the penalty, any other the penalty against its sign; the intercept (feature -1) a gradient of 0.
+    """
+    spark = train.sparkSession
+    weights = coefficients(spark, {"m": model}).unionByName(
+        intercepts(spark, {"m": model}).select("model", "class", F.lit(-1).alias("feature"), F.col("intercept").alias("value"))
+    ).drop("model")
+    rows = model.stages[0].transform(with_vector(train)).select(
+        F.xxhash64("id").alias("row"), "label", vector_to_array("scaled").alias("x")
+    )
+    with_one = rows.select("row", "label", F.posexplode(F.concat("x", F.array(F.lit(1.0)))).alias("at", "x"))
+    long_form = with_one.withColumn("feature", F.when(F.col("at") == F.max("at").over(Window.partitionBy("row")), -1).otherwise(F.col("at")))
+    margins = long_form.join(weights, "feature").groupBy("row", "label", "class").agg(F.sum(F.col("x") * F.col("value")).alias("margin"))
+    of_row = Window.partitionBy("row")
+    shares = margins.withColumn("share", F.exp(F.col("margin") - F.max("margin").over(of_row))).withColumn(
+        "residual", F.col("share") / F.sum("share").over(of_row) - (F.col("label") == F.col("class")).cast("double")
+    )
+    n = train.count()
+    gradients = shares.join(long_form.select("row", "feature", "x"), "row").groupBy("class", "feature").agg(
+        (F.sum(F.col("residual") * F.col("x")) / n).alias("gradient")
+    )
+    value, gradient = F.col("value"), F.col("gradient")
+    gap = F.when(F.col("feature") == -1, F.abs(gradient)).when(value == 0, F.greatest(F.abs(gradient) - penalty, F.lit(0.0))).otherwise(
+        F.abs(gradient + penalty * F.signum(value))
+    )
+    return weights.join(gradients, ["class", "feature"]).withColumn("gap", gap)
+
+
 def _intercepts(fitted: Model) -> Sequence[float]:
     if isinstance(fitted, L1HingeModel):
         return fitted.matrix[:, -1]

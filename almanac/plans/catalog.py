@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import Estimator
 from pyspark.ml.functions import vector_to_array
@@ -13,14 +14,14 @@ from pyspark.sql import types as T
 from almanac.functions import keys, text
 from almanac.models import classifiers, forest
 from almanac.models.caching import cached
-from almanac.operators import indexing, joins, metrics, reshape, routing, runlog, scaling, splits
+from almanac.operators import calendars, indexing, joins, keying, metrics, quantiles, reshape, routing, runlog, scaling, splits
 from almanac.plans import digits, weather
 from almanac.plans.inputs import daily, observations, runs, table, vectors
 from almanac.sinks import tables
 from almanac.sinks.files import write_csv
 from almanac.sources import files
 from almanac.staging import new_folder, stage
-from almanac.streaming.listener import deliver, listen
+from almanac.streaming.listener import deliver, hand_over, listen, listen_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -254,6 +255,24 @@ def schedule_last_slot(spark, sf):
     return runlog.schedule_grid(table(spark, sf, "events"), "ts", "10 minutes", "event_id", catchup=False)
 
 
+# Schedules of the calendar queries: hours on weekdays, days of the month or Mondays, every third minute of some hours,
+# months by step, once, and presets.
+CALENDARS = (
+    "0 6,18 * * 1-5", "30 */8 1,15 * mon", "*/20 9-17/4 * jan,feb 0", "15 9 29 */2 *", "@once", "@weekly", "@monthly", "@yearly",
+)
+
+
+@query
+def schedule_cron(spark, sf):
+    """Events of each slot of several calendar schedules, empty slots included."""
+    events = table(spark, sf, "events").select("ts", "event_id")
+    grids = [
+        calendars.schedule_slots(events, "ts", schedule, "event_id").select(F.lit(schedule).alias("schedule"), "slot", "n")
+        for schedule in CALENDARS
+    ]
+    return reduce(DataFrame.unionByName, grids)
+
+
 @query
 def latest_per_key(spark, sf):
     messages = [F.col("event_type"), F.array("value").alias("latest_values")]
@@ -320,6 +339,12 @@ def render_message(spark, sf):
     return table(spark, sf, "events").select("event_id", message.alias("message"))
 
 
+@query
+def unique_surrogate_keys(spark, sf):
+    """Surrogate keys of which no two are equal."""
+    return keying.unique_surrogate_keys(table(spark, sf, "events").select("event_id"), "event_id")
+
+
 @query
 def surrogate_keys(spark, sf):
     return table(spark, sf, "events").select(
@@ -455,6 +480,20 @@ def directory_listener(spark, sf):
     return listened.select("event_id", "user_id", "event_type", "value", named)
 
 
+@query
+def listener_ledger(spark, sf):
+    """Events handed over file by file, counted by kind over the files that the ledger lists; no file may stay behind."""
+    inbox, sink, ledger, archive = (new_folder(spark, name) for name in ("inbox", "handed-over", "ledger", "archive"))
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    events.repartition(8, "event_id").write.json(inbox)
+    stream = listen_once(spark, inbox, events.schema, "json", files_per_trigger=3)
+    hand_over(stream, sink, ledger, archive, new_folder(spark, "ledger-checkpoint"), every=None).awaitTermination()
+    listed = spark.read.parquet(ledger).select("file_name", "n")
+    taken = spark.read.schema(stream.schema).parquet(sink).join(listed, "file_name").groupBy("event_type").agg(F.count("*").alias("n"))
+    archived = spark.read.schema(events.schema).json(archive).groupBy("event_type").agg(F.count("*").alias("archived"))
+    return taken.join(archived, "event_type").select("event_type", "n", "archived")
+
+
 # --- fitted models ------------------------------------------------------------------------
 
 
@@ -476,6 +515,23 @@ def forest_forecast_lagged(spark, sf):
     return weather.forecast(lagged, forest.LAG_FEATURES)
 
 
+@query
+def forest_trees(spark, sf):
+    """The nodes of the trees that forecast by season."""
+    return weather.grow(observations(spark, sf)).table(spark)
+
+
+@query
+def key_ranges(spark, sf):
+    """Even ranges of two key columns, and how many rows each holds."""
+
+    def of(source: str, key: str) -> DataFrame:
+        rows = table(spark, sf, source).select(F.col(key).cast("bigint").alias("key"))
+        return quantiles.key_ranges(rows, "key", 16).select(F.lit(source).alias("source"), "*")
+
+    return of("orders", "o_orderkey").unionByName(of("events", "user_id")).unionByName(of("lineitem", "l_partkey"))
+
+
 def estimators(samples: DataFrame) -> dict[str, Estimator]:
     k = classes(samples)
     return {
@@ -511,6 +567,29 @@ def mlp_classifier(spark, sf):
     return classified(spark, sf, "mlp")
 
 
+@query
+def stochastic_hinge_classifier(spark, sf):
+    """Classes by the hinge objective, from ten stochastic passes."""
+    samples = vectors(spark, sf)
+    return digits.classify(samples, classifiers.stochastic_l1_hinge(classes(samples)))
+
+
+@query
+def saga_classifier(spark, sf):
+    """Classes by the L1 logistic objective, from variance-reduced steps."""
+    samples = vectors(spark, sf)
+    return digits.classify(samples, classifiers.saga_l1_logistic(classes(samples)))
+
+
+@query
+def saga_optimality(spark, sf):
+    """Each coefficient with the gradient that the training rows give it, and how far it is from the optimum's conditions."""
+    samples = vectors(spark, sf)
+    train, _ = digits.train_and_test(samples)
+    model = classifiers.fit_models(train, {"saga": classifiers.saga_l1_logistic(classes(samples))})["saga"]
+    return classifiers.optimality(model, train)
+
+
 @query
 def score_models(spark, sf):
     samples = vectors(spark, sf)

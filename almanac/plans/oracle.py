@@ -38,6 +38,80 @@ _OBSERVATIONS = f"""
            CAST(tmax AS FLOAT) AS tmax
     FROM {_DAILY} d JOIN customer c ON d.station = c.c_custkey"""
 
+def _forest(observed: str, features: tuple[str, ...]) -> str:
+    """Tables ``routed`` (leaf of each row and tree), ``nodes`` and ``forecast`` of a histogram forest, level by level.
+
+    3 trees of depth 4, 32 bins, a third of the features (rounded up) at each node, seed 15, labels in 2^-20.
+    """
+    bounds = (1580030169, 3160060337, 3950075422, 4213413783, 4279248374, 4292415292, 4294609778, 4294923276)
+    looked_at = -(-len(features) // 3)
+    long_form = " UNION ALL ".join(
+        f"SELECT id, {f} AS feature, CAST({name} AS DOUBLE) AS x, in_train FROM obs" for f, name in enumerate(features)
+    )
+    levels = ""
+    for d in range(4):
+        levels += f""", hist{d} AS (
+            SELECT r.tree, r.node, c.feature, b.bin, sum(w) AS n, sum(w * y) AS total
+            FROM at{d} r JOIN choice c ON c.tree = r.tree AND c.node = r.node JOIN binned b ON b.id = r.id AND b.feature = c.feature
+            WHERE r.w > 0 AND r.node >= {1 << d} GROUP BY ALL
+        ), upto{d} AS (
+            SELECT *, sum(n) OVER upto AS ln, sum(total) OVER upto AS ls, sum(n) OVER whole AS an, sum(total) OVER whole AS asum
+            FROM hist{d} WINDOW upto AS (PARTITION BY tree, node, feature ORDER BY bin), whole AS (PARTITION BY tree, node, feature)
+        ), scored{d} AS (
+            SELECT tree, node, feature, bin, ls::DOUBLE * ls::DOUBLE / ln + (asum - ls)::DOUBLE * (asum - ls)::DOUBLE / (an - ln) AS score,
+                asum::DOUBLE * asum::DOUBLE / an AS unsplit
+            FROM upto{d} WHERE ln < an
+        ), split{d} AS (
+            SELECT tree, node, feature, bin FROM scored{d} WHERE score > unsplit
+            QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY score DESC, feature, bin) = 1
+        ), at{d + 1} AS (
+            SELECT r.tree, r.id, r.w, r.y, CASE WHEN s.node IS NULL THEN r.node ELSE 2 * r.node + (b.bin > s.bin)::INT END AS node
+            FROM at{d} r LEFT JOIN split{d} s ON s.tree = r.tree AND s.node = r.node LEFT JOIN binned b ON b.id = r.id AND b.feature = s.feature
+        )"""
+    all_nodes = " UNION ALL ".join(
+        f"SELECT tree, node, sum(w) AS n, sum(w * y) AS total FROM at{d} WHERE w > 0 AND node >= {1 << d} GROUP BY ALL" for d in range(5)
+    )
+    all_splits = " UNION ALL ".join(f"SELECT * FROM split{d}" for d in range(4))
+    draw = _hex("md5('15:' || tree || ':' || station || ':' || CAST(date AS VARCHAR))", 8)
+    return f"""WITH obs AS (
+        SELECT *, row_number() OVER () AS id, CAST(dayofyear(date) AS INT) AS day_of_year,
+            {_hex("md5('15:' || station || ':' || CAST(date AS VARCHAR))", 8)} < 3221225472 AS in_train
+        FROM ({observed})
+    ), long_form AS (
+        {long_form}
+    ), placed AS (
+        SELECT feature, x, row_number() OVER (PARTITION BY feature ORDER BY x) AS i, count(*) OVER (PARTITION BY feature) AS n,
+            max(x) OVER (PARTITION BY feature) AS most
+        FROM long_form WHERE in_train AND x IS NOT NULL
+    ), cut AS (
+        SELECT feature, x, row_number() OVER (PARTITION BY feature ORDER BY x) - 1 AS place
+        FROM (SELECT DISTINCT feature, x FROM placed JOIN range(1, 32) AS parts(j) ON i = (j * n + 31) // 32 WHERE x < most)
+    ), binned AS (
+        SELECT id, l.feature, count(c.x) AS bin FROM long_form l LEFT JOIN cut c ON c.feature = l.feature AND c.x < l.x GROUP BY ALL
+    ), choice AS (
+        SELECT tree, node, feature FROM range(3) AS t(tree), range(1, 16) AS n(node), range({len(features)}) AS f(feature)
+        QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY md5('15:' || tree || ':' || node || ':' || feature)) <= {looked_at}
+    ), at0 AS (
+        SELECT tree, id, y, 1 AS node, CASE WHEN in_train THEN {" + ".join(f"(draw >= {b})::INT" for b in bounds)} ELSE 0 END AS w
+        FROM (SELECT tree, id, in_train, CAST(round(CAST(tmax AS DOUBLE) * 1048576) AS BIGINT) AS y, {draw} AS draw FROM obs, range(3) AS t(tree))
+    ){levels}, nodes AS (
+        SELECT tree, node, n, total::DOUBLE / n / 1048576 AS mean FROM ({all_nodes})
+    ), splits AS (
+        SELECT a.tree, a.node, a.feature, c.x AS threshold FROM ({all_splits}) a JOIN cut c ON c.feature = a.feature AND c.place = a.bin
+    ), forecast AS (
+        SELECT station, date, tmax, (list_sum([m0, m1]) + m2) / 3 AS prediction
+        FROM (
+            SELECT id, max(mean) FILTER (r.tree = 0) AS m0, max(mean) FILTER (r.tree = 1) AS m1, max(mean) FILTER (r.tree = 2) AS m2
+            FROM at4 r JOIN nodes n ON n.tree = r.tree AND n.node = r.node GROUP BY id
+        ) JOIN obs USING (id) WHERE NOT in_train
+    )"""
+
+
+_SEASON = ("latitude", "longitude", "elevation", "day_of_year")
+_LAG = (*_SEASON[:3], "yesterday_tmax")
+_LAGGED_OBSERVATIONS = f"""
+    SELECT t.*, y.tmax AS yesterday_tmax FROM ({_OBSERVATIONS}) t JOIN ({_OBSERVATIONS}) y ON t.date - 1 = y.date AND t.station = y.station"""
+
 ORACLE: dict[str, str] = {
     "daily_max": f"SELECT * FROM {_DAILY}",
     "day_of_year_features": f"""
@@ -205,9 +279,70 @@ ORACLE: dict[str, str] = {
     "model_scaler": f"""
         SELECT pos, round(avg(x), 6) AS m, round(stddev_pop(x), 6) AS sd
         FROM {_LONG} e JOIN (SELECT vec_id FROM {_POSITIONS} WHERE pos < floor(n * 0.75)) USING (vec_id) GROUP BY pos""",
-    "forest_holdout": f"""
-        SELECT station, date, tmax, isfinite(tmax) AS finite FROM ({_OBSERVATIONS})
-        WHERE {_hex("md5('15:' || station || ':' || CAST(date AS VARCHAR))", 8)} >= 3221225472""",
+    "forest_forecast": _forest(_OBSERVATIONS, _SEASON) + " SELECT station, date, tmax, prediction FROM forecast",
+    "forest_forecast_lagged": _forest(_LAGGED_OBSERVATIONS, _LAG) + " SELECT station, date, tmax, prediction FROM forecast",
+    "forest_validation": _forest(_OBSERVATIONS, _SEASON) + """
+        SELECT round(sqrt(avg(power(tmax - prediction, 2))), 6) AS rmse, round(avg(abs(tmax - prediction)), 6) AS mae,
+               round(1 - sum(power(tmax - prediction, 2)) / (count(*) * var_pop(tmax)), 6) AS r2
+        FROM forecast""",
+    "forest_trees": _forest(_OBSERVATIONS, _SEASON) + f"""
+        SELECT CAST(n.tree AS INT) AS tree, CAST(n.node AS INT) AS node, ({list(_SEASON)})[s.feature + 1] AS feature, threshold,
+               CAST(n AS BIGINT) AS n, mean
+        FROM nodes n LEFT JOIN splits s ON s.tree = n.tree AND s.node = n.node""",
+    "forest_holdout": _forest(_OBSERVATIONS, _SEASON) + """
+        SELECT station, date, tmax, coalesce(isfinite(prediction), false) AS finite FROM forecast""",
+    "listener_ledger": "SELECT event_type, count(*) AS n, count(*) AS archived FROM events GROUP BY event_type",
+    "unique_surrogate_keys": f"""
+        WITH keyed AS (
+            SELECT event_id, {_hex("md5(CAST(event_id AS VARCHAR))", 8)} % 123456789 AS key FROM events
+        ), placed AS (
+            SELECT *, row_number() OVER (ORDER BY key, event_id) - 1 AS place FROM keyed
+        )
+        SELECT event_id, CAST(place + max(key - place) OVER (ORDER BY place) AS BIGINT) AS custom_id FROM placed""",
+    "schedule_cron": """
+        WITH span AS (
+            SELECT min(ts) AS first, max(ts) AS last FROM events
+        ), minutes AS (
+            SELECT unnest(generate_series(date_trunc('day', first) - INTERVAL 400 DAY, last, INTERVAL 1 MINUTE)) AS m FROM span
+        ), slots AS (
+            SELECT '0 6,18 * * 1-5' AS schedule, m FROM minutes
+            WHERE minute(m) = 0 AND hour(m) IN (6, 18) AND dayofweek(m) BETWEEN 1 AND 5
+            UNION ALL SELECT '30 */8 1,15 * mon', m FROM minutes
+            WHERE minute(m) = 30 AND hour(m) % 8 = 0 AND (day(m) IN (1, 15) OR dayofweek(m) = 1)
+            UNION ALL SELECT '*/20 9-17/4 * jan,feb 0', m FROM minutes
+            WHERE minute(m) % 20 = 0 AND hour(m) IN (9, 13, 17) AND month(m) IN (1, 2) AND dayofweek(m) = 0
+            UNION ALL SELECT '15 9 29 */2 *', m FROM minutes
+            WHERE minute(m) = 15 AND hour(m) = 9 AND day(m) = 29 AND month(m) IN (1, 3, 5, 7, 9, 11)
+            UNION ALL SELECT '@once', first FROM span
+            UNION ALL SELECT '@weekly', m FROM minutes WHERE minute(m) = 0 AND hour(m) = 0 AND dayofweek(m) = 0
+            UNION ALL SELECT '@monthly', m FROM minutes WHERE minute(m) = 0 AND hour(m) = 0 AND day(m) = 1
+            UNION ALL SELECT '@yearly', m FROM minutes WHERE minute(m) = 0 AND hour(m) = 0 AND dayofyear(m) = 1
+        ), spanned AS (
+            SELECT schedule, m, lead(m) OVER (PARTITION BY schedule ORDER BY m) AS until FROM slots
+        )
+        SELECT schedule, m AS slot, count(event_id) AS n
+        FROM spanned JOIN span ON until IS NULL OR until > first
+        LEFT JOIN events ON ts >= m AND (until IS NULL OR ts < until)
+        GROUP BY schedule, m""",
+    "key_ranges": """
+        WITH keys AS (
+            SELECT 'orders' AS source, CAST(o_orderkey AS BIGINT) AS key FROM orders
+            UNION ALL SELECT 'events', user_id FROM events UNION ALL SELECT 'lineitem', l_partkey FROM lineitem
+        ), placed AS (
+            SELECT source, key, row_number() OVER (PARTITION BY source ORDER BY key) AS i, count(*) OVER (PARTITION BY source) AS n,
+                   max(key) OVER (PARTITION BY source) AS most
+            FROM keys WHERE key IS NOT NULL
+        ), bound AS (
+            SELECT DISTINCT source, key FROM placed JOIN range(1, 16) AS parts(j) ON i = (j * n + 15) // 16 WHERE key < most
+        ), ends AS (
+            SELECT source, lag(key) OVER of AS lower, key AS upper, row_number() OVER of - 1 AS range
+            FROM (SELECT source, key FROM bound UNION ALL SELECT DISTINCT source, NULL FROM keys)
+            WINDOW of AS (PARTITION BY source ORDER BY key NULLS LAST)
+        )
+        SELECT e.source, CAST(range AS INT) AS range, lower, upper, count(k.key) AS n
+        FROM ends e LEFT JOIN keys k ON k.source = e.source AND (lower IS NULL OR k.key > lower) AND (upper IS NULL OR k.key <= upper)
+        GROUP BY ALL
+        UNION ALL SELECT source, -1, NULL, NULL, count(*) - count(key) FROM keys GROUP BY source""",
     "classifier_rows": f"""
         SELECT model, vec_id AS id, label, label BETWEEN 0 AND 9 AS in_range, vec_id IS NOT NULL AS same
         FROM {_POSITIONS}, (VALUES ('l1_logistic'), ('l1_hinge'), ('linear_svc'), ('mlp')) m(model)

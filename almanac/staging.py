@@ -38,6 +38,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the cluster's checkpoint folder, partitions and their order kept, without its lineage."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(staging_root(df.sparkSession))
+    return df.checkpoint()
+
+
 def clean(spark: SparkSession) -> bool:
     """Remove what this application has staged; results that still read it are lost."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
