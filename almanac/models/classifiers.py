@@ -56,7 +56,7 @@ def l1_hinge(classes: int, penalty: float = L1_PENALTY, tol: float = TOLERANCE,
     )
 
 
-def stochastic_l1_hinge(classes: int, penalty: float = L1_PENALTY, passes: int = 10, seed: int = 0) -> Estimator:
+def stochastic_l1_hinge(classes: int, penalty: float = L1_PENALTY, passes: int = 5, seed: int = 0) -> Estimator:
     """The objective of :func:`l1_hinge`, by stochastic steps in a fixed number of passes."""
     return StochasticL1Hinge(
         numClasses=classes, featuresCol="scaled", labelCol="label", regParam=penalty, maxIter=passes, seed=seed

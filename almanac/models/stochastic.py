@@ -235,10 +235,10 @@ class StochasticL1Hinge(_Stochastic):
 
     @keyword_only
     def __init__(self, *, numClasses=2, featuresCol="features", labelCol="label", predictionCol="prediction",
-                 regParam=0.02, maxIter=10, seed=0):
+                 regParam=0.02, maxIter=5, seed=0):
         super().__init__()
         self._set(**self._input_kwargs)
-        self._setDefault(numClasses=2, regParam=0.02, maxIter=10, seed=0)
+        self._setDefault(numClasses=2, regParam=0.02, maxIter=5, seed=0)
 
     def _solve(self, rows, n, shape):
         weights, penalty = np.zeros(shape), self.getRegParam()

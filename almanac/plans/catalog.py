@@ -569,7 +569,7 @@ def mlp_classifier(spark, sf):
 
 @query
 def stochastic_hinge_classifier(spark, sf):
-    """Classes by the hinge objective, from ten stochastic passes."""
+    """Classes by the hinge objective, from a few stochastic passes."""
     samples = vectors(spark, sf)
     return digits.classify(samples, classifiers.stochastic_l1_hinge(classes(samples)))
 
