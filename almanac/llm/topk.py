@@ -8,16 +8,19 @@ to its row of a dense score array.  The k best of each row are selected, and the
 selections of all blocks are merged by rank.
 
 A component x becomes floor(``SCALE`` * x).  Vectors may differ in length; a missing
-dimension weighs nothing.  Scores are exact 64-bit integers.
+dimension weighs nothing.  Scores are exact: blocks whose weights or products could leave 32 or 64 bits are kept and
+accumulated in wider numbers, if need be in Python's whole numbers.  A score among the results that does not fit into
+64 bits is an error.
 
-Nulls and odd rows: a vector that is null, or holds a null, a non-finite component or
-one whose weight exceeds ``MOST_WEIGHT`` (products would not fit), takes no part; nor does a row with a null id.
+Nulls and odd rows: a vector that is null, or holds a null or a non-finite component, takes no part; nor does a row with a null id.
+A component whose weight is infinite as a double is an error.
 Rows with equal ids are rows of their own, and only the very query row is left out of its candidates; further ties go by block and place.
 Empty tables, and tables without a query, give an empty result.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,46 +34,48 @@ from almanac.staging import stage
 # Weights per unit, queries are rows whose id is divisible by QUERY_STEP, results per query.
 SCALE, QUERY_STEP, K = 64.0, 20, 20
 
-# Largest weight that takes part.
-MOST_WEIGHT = 1 << 27
-
 # Rows of a candidate block and of a query block; queries and candidates scored at once.
 ROWS, QUERIES = 8192, 512
 TILE_QUERIES, TILE_ROWS = 32, 2048
 
-BLOCK_SCHEMA = "block bigint, n int, ids binary, weights binary, uids binary"
+BLOCK_SCHEMA = "block bigint, n int, wide boolean, ids binary, weights binary, uids binary"
 
 
 def _block(number: int, ids: np.ndarray, weights: np.ndarray, uids: np.ndarray) -> pa.RecordBatch:
+    wide = weights.dtype == object
     return pa.RecordBatch.from_pydict(
         {
             "block": pa.array([number], pa.int64()), "n": pa.array([len(ids)], pa.int32()),
-            "ids": [ids.astype("<i8").tobytes()], "weights": [weights.astype("<i4").tobytes()],
-            "uids": [uids.astype("<i8").tobytes()],
+            "wide": [wide], "ids": [ids.astype("<i8").tobytes()],
+            "weights": [pickle.dumps(weights) if wide else weights.astype("<i4").tobytes()], "uids": [uids.astype("<i8").tobytes()],
         }
     )
 
 
 def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = row["n"]
-    return (
-        np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["weights"], "<i4").reshape(n, -1), np.frombuffer(row["uids"], "<i8")
-    )
+    # Pickled weights were written by this module's own tasks.
+    weights = pickle.loads(row["weights"]) if row["wide"] else np.frombuffer(row["weights"], "<i4").reshape(row["n"], -1)
+    return np.frombuffer(row["ids"], "<i8"), weights, np.frombuffer(row["uids"], "<i8")
 
 
 def weighted(ids: pa.Array, vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and integer weights (padded with 0 to one length) of the rows that take part."""
+    """Ids and integer weights (padded with 0 to one length) of the rows that take part; 32 bits or Python's whole numbers."""
     kept, rows = [], []
     for key, vector in zip(ids.to_pylist(), vectors, strict=True):
         if key is None or not vector.is_valid or vector.values.null_count:
             continue
-        x = np.floor(SCALE * vector.values.to_numpy(zero_copy_only=False).astype(np.float64))
-        if np.isfinite(x).all() and (np.abs(x) <= MOST_WEIGHT).all():
+        x = vector.values.to_numpy(zero_copy_only=False).astype(np.float64)
+        if np.isfinite(x).all():
+            with np.errstate(over="ignore"):
+                weights = np.floor(SCALE * x)
+            if not np.isfinite(weights).all():
+                raise ValueError(f"a component of {key} has no finite weight")
             kept.append(key)
-            rows.append(x.astype(np.int32))
-    out = np.zeros((len(rows), max(map(len, rows), default=0)), dtype=np.int32)
+            rows.append(weights)
+    wide = any(len(x) and np.abs(x).max() >= 1 << 31 for x in rows)
+    out = np.zeros((len(rows), max(map(len, rows), default=0)), dtype=object if wide else np.int32)
     for i, x in enumerate(rows):
-        out[i, : len(x)] = x
+        out[i, : len(x)] = [int(v) for v in x] if wide else x.astype(np.int32)
     return np.array(kept, dtype=np.int64), out
 
 
@@ -110,11 +115,15 @@ def _stacked(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     return np.concatenate([i for i, _, _ in parts]), np.vstack(weights), np.concatenate([u for _, _, u in parts])
 
 
+def _largest(weights: np.ndarray) -> int:
+    return max((abs(int(w)) for w in (weights.min(), weights.max())), default=0) if weights.size else 0
+
+
 def scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     """Dense scores, accumulated one dimension after the other."""
     terms = min(queries.shape[1], candidates.shape[1])
-    most = int(np.abs(queries).max(initial=0)) * int(np.abs(candidates).max(initial=0)) * terms
-    kind = np.int32 if most < 1 << 31 else np.int64
+    most = _largest(queries) * _largest(candidates) * terms
+    kind = np.int32 if most < 1 << 31 else np.int64 if most < 1 << 63 else object
     postings = np.ascontiguousarray(candidates[:, :terms].T.astype(kind))
     weights = queries[:, :terms].astype(kind)
     out = np.zeros((len(queries), len(candidates)), dtype=kind)
@@ -133,6 +142,8 @@ def scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
 def best(row: np.ndarray, ids: np.ndarray, allowed: np.ndarray, k: int) -> np.ndarray:
     """Places of the k largest scores, ties to the smaller id."""
     places = np.flatnonzero(allowed)
+    if row.dtype == object:
+        return np.array(sorted(places, key=lambda place: (-row[place], ids[place], place))[:k], dtype=np.int64)
     if len(places) > k:
         values = row[places]
         least = np.partition(values, len(values) - k)[len(values) - k]
@@ -140,6 +151,12 @@ def best(row: np.ndarray, ids: np.ndarray, allowed: np.ndarray, k: int) -> np.nd
     return places[np.lexsort((ids[places], -row[places].astype(np.int64)))][:k]
 
 
+def _as_long(found: np.ndarray) -> np.ndarray:
+    if found.dtype == object and any(abs(score) >= 1 << 63 for score in found):
+        raise OverflowError("a score does not fit into 64 bits")
+    return found.astype(np.int64)
+
+
 def _score_pairs(k: int):
     def of_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,7 +171,7 @@ def _score_pairs(k: int):
                     out["query_id"].append(np.full(len(places), query_ids[q]))
                     out["vec_id"].append(ids[places])
                     out["vec_uid"].append(uids[places])
-                    out["score"].append(line[places].astype(np.int64))
+                    out["score"].append(_as_long(line[places]))
                 yield pa.RecordBatch.from_pydict({x: np.concatenate(v) for x, v in out.items()})
 
     return of_pairs
@@ -176,7 +193,7 @@ def search(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP) -> Data
     left = candidates.select(*[F.col(c).alias(f"c_{c}") for c in candidates.columns]).withColumn("q", F.explode(numbers["q"]))
     right = queries.select(*[F.col(c).alias(f"q_{c}") for c in queries.columns]).withColumn("c", F.explode(numbers["c"]))
     pairs = left.join(right, (F.col("c_block") == F.col("c")) & (F.col("q") == F.col("q_block"))).select(
-        *[f"{side}_{c}" for side in "cq" for c in ("n", "ids", "weights", "uids")]
+        *[f"{side}_{c}" for side in "cq" for c in ("n", "wide", "ids", "weights", "uids")]
     )
     found = pairs.mapInArrow(
         _score_pairs(k), "query_uid bigint, query_id bigint, vec_id bigint, vec_uid bigint, score bigint"

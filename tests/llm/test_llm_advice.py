@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from almanac.llm import language, private_data, queries, secret_scan
+from almanac.llm import language, private_data, queries, secret_scan, topk
 
 SCHEMA = "doc_id bigint, text string, lang string"
 
@@ -125,3 +125,23 @@ def test_the_ratio_alone_decides_about_a_token(spark):
     found = {r.doc_id: [r.text[s.start : s.end] for s in r.spans] for r in rows}
     assert found.pop(-99) == []
     assert found == {-1 - i: [secret] for i, secret in enumerate(SECRETS)}
+
+
+def test_finite_vectors_of_any_size_take_part(spark):
+    vectors = [(20, [2.0, 1.0]), (21, [3e6, 1.0]), (22, [-3e6, 0.0]), (23, [1.0, 1.0]), (24, [1e12, -1e12]), (25, [2.0]), (40, [0.0, 5.0]), (26, [1e300, 0.0])]
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(3)
+
+    def expected(rows, query):
+        weights = {i: [int(64 * x // 1) for x in v] for i, v in rows}
+        found = [(-sum(a * b for a, b in zip(weights[query], w)), i) for i, w in weights.items() if i != query]
+        return [(query, rank, i, -score) for rank, (score, i) in enumerate(sorted(found), 1)]
+
+    kept = vectors[:-1]
+    rows = topk.search(table.where("vec_id <> 26")).collect()
+    assert sorted(map(tuple, rows)) == sorted(expected(kept, 20) + expected(kept, 40))
+    assert rows and {r.vec_id for r in rows if r.query_id == 20 and r["rank"] == 2} == {21}
+    # Query 40 weighs nothing where 26 is large; query 20 makes a score that no long holds.
+    rows = topk.search(table.where("vec_id <> 20")).collect()
+    assert sorted(map(tuple, rows)) == expected(vectors[1:], 40)
+    with pytest.raises(Exception, match="does not fit"):
+        topk.search(table).collect()
