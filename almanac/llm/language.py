@@ -150,22 +150,30 @@ def fold_of(text: bytes, folds: int) -> int:
 
 
 def train(docs: DataFrame, order: int = ORDER, most_bytes: int = MOST_BYTES) -> Trees:
-    """Trees from (doc_id, text, lang) rows with a language and a letter."""
+    """Trees from (text, lang) rows with a language and a letter."""
     return train_folds(docs, 1, order, most_bytes)[0]
 
 
 def train_folds(docs: DataFrame, folds: int = FOLDS, order: int = ORDER, most_bytes: int = MOST_BYTES) -> list[Trees]:
     """For each fold of the texts, trees of its texts alone; a fold without any has empty trees."""
-    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
+    place = F.pmod(F.xxhash64("text", F.lit("ppm")), F.lit(1 << 30))
+    found = labelled.where(F.col("text").rlike(r"\p{L}")).groupBy("lang").agg(
+        F.sum(F.octet_length("text")).alias("n"), F.min(place).alias("first")
+    ).collect()
+    sizes, first = {r["lang"]: r["n"] for r in found}, {r["lang"]: r["first"] for r in found}
     languages = sorted(sizes)
     if not languages:
         return [Trees([], [], order)] * folds
-    # All folds are drawn at once, so each gets about ``most_bytes`` of a language.
-    share = F.create_map(
-        *[x for l in languages for x in (F.lit(l), F.lit(min(1.0, folds * most_bytes / max(1, sizes[l]))))]
+    # All folds are drawn at once, so each gets about ``most_bytes`` of a language.  The draw goes by the text, so equal texts
+    # are drawn together, and a language's first text always is: a few long texts may else all be missed.
+    bound = F.create_map(
+        *[
+            x for l in languages
+            for x in (F.lit(l), F.lit(max(first[l] + 1, round(min(1.0, folds * most_bytes / max(1, sizes[l])) * (1 << 30)))))
+        ]
     )
-    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit("ppm")), F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30)
+    drawn = place < F.element_at(bound, F.col("lang"))
     number = F.array_position(F.array(*[F.lit(l) for l in languages]), F.col("lang")) - 1
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +197,9 @@ def train_folds(docs: DataFrame, folds: int = FOLDS, order: int = ORDER, most_by
 
     def of_fold(fold: int) -> Trees:
         own = table[table[:, 0] % folds == fold]
-        return Trees(languages if len(own) else [], own // [folds, 1, 1], order)
+        # A language of which nothing was learnt has no tree: an empty one would code any unfamiliar text best.
+        learnt, number = np.unique(own[:, 0] // folds, return_inverse=True)
+        return Trees([languages[k] for k in learnt], np.column_stack([number.reshape(-1), own[:, 1:]]), order)
 
     return [of_fold(fold) for fold in range(folds)]
 

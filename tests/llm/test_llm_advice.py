@@ -1,5 +1,6 @@
 """Cases in which an operator did less than its whole job."""
 
+import math
 import random
 
 import pytest
@@ -145,3 +146,65 @@ def test_finite_vectors_of_any_size_take_part(spark):
     assert sorted(map(tuple, rows)) == expected(vectors[1:], 40)
     with pytest.raises(Exception, match="does not fit"):
         topk.search(table).collect()
+
+
+def test_a_language_of_which_nothing_was_learnt_wins_no_text(spark):
+    rows = [*plain_texts(30), *[(100 + i, "12345 - 678", "xx") for i in range(5)]]
+    trees = language.train(spark.createDataFrame(rows, SCHEMA))
+    assert trees.languages == ["en"]
+    unfamiliar = spark.createDataFrame([(1, "zebra quiz vex", None), (2, "Это совсем другой язык", None), (3, "12345", None)], SCHEMA)
+    predicted = {r.doc_id: r.lang_pred for r in language.predict(unfamiliar, trees).collect()}
+    assert predicted == {1: "en", 2: "en", 3: "und"}
+
+
+def test_a_language_of_few_long_texts_is_learnt_from_one_at_least(spark):
+    words = "ein langer deutscher Text mit vielen Wörtern über Flüsse und Berge "
+    rows = [*plain_texts(30), *[(100 + i, words * 300 + str(i), "de") for i in range(4)]]
+    for most_bytes in (10, 1000):
+        trees = language.train(spark.createDataFrame(rows, SCHEMA), most_bytes=most_bytes)
+        assert trees.languages == ["de", "en"]
+
+
+def plain_code_length(text, counts, order):
+    """Bits of a text by escape method C, symbol by symbol, straight from the rule."""
+    total = 0.0
+    for i in range(len(text)):
+        for n in range(order, -1, -1):
+            context = tuple(text[j] if j >= 0 else 32 for j in range(i - n, i))
+            seen = counts.get(context, {})
+            kinds, times = len(seen), sum(seen.values())
+            if text[i] in seen:
+                total += math.log2((times + kinds) / seen[text[i]])
+                break
+            if kinds:
+                total += math.log2((times + kinds) / kinds)
+        else:
+            total += 8.0
+    return total
+
+
+def test_whole_documents_score_as_a_plain_coder_does(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").limit(40)
+    trees = language.train(docs)
+    rows = docs.select("doc_id", "lang", language.letters(F.col("text")).alias("letters")).collect()
+    models = {}
+    for r in rows:
+        if r.letters is None or r.lang is None:
+            continue
+        text, model = r.letters.encode(), models.setdefault(r.lang, {})
+        for i in range(len(text)):
+            for n in range(language.ORDER + 1):
+                context = tuple(text[j] if j >= 0 else 32 for j in range(i - n, i))
+                seen = model.setdefault(context, {})
+                seen[text[i]] = seen.get(text[i], 0) + 1
+    predicted = {r.doc_id: r for r in language.predict(docs, trees).collect()}
+    checked = 0
+    for r in rows:
+        if r.letters is not None and len(r.letters) < 3000:
+            bits = {l: plain_code_length(r.letters.encode(), m, language.ORDER) / len(r.letters.encode()) for l, m in models.items()}
+            best = min(sorted(bits), key=bits.get)
+            assert predicted[r.doc_id].lang_pred == best
+            assert predicted[r.doc_id].bits_per_byte == pytest.approx(bits[best], abs=1e-3)
+            assert predicted[r.doc_id].score == pytest.approx(1 / sum(2 ** (bits[best] - b) for b in bits.values()), abs=1e-3)
+            checked += 1
+    assert checked > 20
