@@ -2,8 +2,8 @@
 
 Texts are cut into pieces and those into words.  A phrase that occurs ``least`` times has only words and pairs of
 neighbours that do, so words and pairs are counted first, and a piece is cut again where one of them is rarer.  Which ones
-are not is told to the tasks by bits at a hash (``WORD_BITS``, ``PAIR_BITS``: a fixed size, whatever the data); words that share a
-bit with a frequent one only leave more to count.
+are not is told to the tasks by bits at two hashes (``WORD_BITS``, ``PAIR_BITS``: a fixed size, whatever the data); words that share
+both with frequent ones only leave more to count.
 
 The nodes of the graph are sequences of ``LONGEST - 1`` words; an edge is a sequence of ``LONGEST`` words, leads from its
 first words to its last ones, and weighs as often as it occurs.  A piece's last words, of which no edge starts, are kept beside the edges.  So
@@ -38,6 +38,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,8 +66,9 @@ SHORTEST_WINDOW = 3
 # Windows that a task holds before it hands them on.
 MOST_HELD = 400_000
 
-# Bits that tell frequent words and pairs: 1 and 4 MB.
+# Bits that tell frequent words and pairs: 1 and 4 MB.  Fixed value: the seed of Spark's own hash.
 WORD_BITS, PAIR_BITS = 1 << 23, 1 << 25
+HASH_SEED = 42
 
 # Share of all pairs from which on a pair is hot.
 HOT_SHARE = 1000
@@ -99,22 +101,26 @@ def all_words(text: bytes) -> list[bytes]:
 
 
 class Frequent(dict):
-    """Whether the bit of a language's word or pair is set; answers are kept while there is room."""
+    """Whether both bits of a language's word or pair are set; answers are kept while there is room."""
 
     def __init__(self, bits: bytes, start: bytes):
         super().__init__()
-        self.bits, self.start = bits, zlib.crc32(start)
+        self.bits, self.start = bits, start
         self[MARK] = False
 
     def __missing__(self, words: bytes) -> bool:
-        at = zlib.crc32(words, self.start) % (8 * len(self.bits))
-        found = bool(self.bits[at >> 3] >> (at & 7) & 1)
+        key = self.start + words
+        found = self._set(zlib.crc32(key)) and self._set(xxhash.xxh64_intdigest(key, seed=HASH_SEED))
         if len(self) >= MOST_HELD:
             self.clear()
             self[MARK] = False
         self[words] = found
         return found
 
+    def _set(self, number: int) -> bool:
+        at = number % (8 * len(self.bits))
+        return bool(self.bits[at >> 3] >> (at & 7) & 1)
+
 
 def cut_windows(words: list[bytes], word: Frequent, pair: Frequent, longest: int) -> list[bytes]:
     """The windows of three to ``longest`` words whose pairs are all frequent, one for each word that starts one."""
@@ -225,10 +231,11 @@ def _window_rows(longest: int, word_bits: bytes, pair_bits: bytes, hot: frozense
 
 
 def set_bits(keys: DataFrame, bits: int) -> bytes:
-    """One bit at each key's hash.  The driver receives rows of 4 KB, ``bits`` / 32768 at most."""
-    at = F.crc32("key") % bits + 1
+    """Two bits for each key, by two hashes.  The driver receives rows of 4 KB, ``bits`` / 32768 at most."""
+    places = F.array(F.crc32("key") % bits + 1, F.pmod(F.xxhash64("key"), F.lit(bits)) + 1)
+    at = F.col("at")
     rows = (
-        keys.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit"))
+        keys.select(F.explode(places).alias("at")).select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit"))
         .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
     )
     out = bytearray(bits // 8)

@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 
 from almanac.llm import byte_pairs, collocations, queries, whitening
@@ -194,8 +195,9 @@ def test_pieces_are_cut_at_rare_words_and_pairs():
     def bits(*frequent):
         out = bytearray(1 << 10)
         for words in frequent:
-            at = zlib.crc32(b"en\t" + words) % (8 << 10)
-            out[at >> 3] |= 1 << (at & 7)
+            for number in (zlib.crc32(b"en\t" + words), xxhash.xxh64_intdigest(b"en\t" + words, seed=42)):
+                at = number % (8 << 10)
+                out[at >> 3] |= 1 << (at & 7)
         return bytes(out)
 
     word = collocations.Frequent(bits(b"a", b"b", b"c"), b"en\t")
@@ -246,6 +248,14 @@ def test_paths_are_compact_and_cycles_stay_whole(spark):
     assert sorted(" ".join(r.words) for r in paths.collect() if r.words[0] in "xy") == ["x y x y x", "y x y x y"]
 
 
+def test_bits_made_by_spark_are_those_that_tasks_look_at(spark):
+    keys = [b"en\tw%d" % i for i in range(500)]
+    bits = collocations.set_bits(spark.createDataFrame([(k,) for k in keys], "key binary"), 1 << 17)
+    frequent = collocations.Frequent(bits, b"en\t")
+    assert len(bits) == 1 << 14 and all(frequent[k[3:]] for k in keys)
+    assert sum(frequent[b"x%d" % i] for i in range(2000)) < 10
+
+
 def test_empty_tables_have_no_phrases(spark):
     phrases, paths = collocations.mine(spark.createDataFrame([], "lang string, text string"))
     assert phrases.collect() == [] and paths.collect() == []
