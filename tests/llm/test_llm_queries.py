@@ -139,7 +139,8 @@ def test_base_spans_equal_a_plain_search(spark, texts, name, kinds):
         found = brute_spans(texts[r.doc_id], kinds)
         assert r.base_sha256 == hashlib.sha256(joined(found).encode()).hexdigest()
         assert [r[f"n_{kind}"] for kind, _, _ in kinds] == [sum(f[3] == kind for f in found) for kind, _, _ in kinds]
-        assert set(joined(found).split(",")) <= set(r.spans.split(","))
+        # A text without base spans may have spans of the method.
+        assert {joined([f]) for f in found} <= set(r.spans.split(","))
 
 
 def test_op5_files_hold_every_id(spark, texts):
