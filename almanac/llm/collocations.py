@@ -63,8 +63,8 @@ LOW_IN_WORDS = re.compile(rb"[\x00-\x08]")
 # Words of the shortest sequence whose count follows from windows.
 SHORTEST_WINDOW = 3
 
-# Windows that a task holds before it hands them on.
-MOST_HELD = 400_000
+# Sequences that a task holds before it hands them on; answers that it keeps for each language and kind.
+MOST_HELD, MOST_ANSWERS = 600_000, 200_000
 
 # Bits that tell frequent words and pairs: 1 and 4 MB.  Fixed value: the seed of Spark's own hash.
 WORD_BITS, PAIR_BITS = 1 << 23, 1 << 25
@@ -111,7 +111,7 @@ class Frequent(dict):
     def __missing__(self, words: bytes) -> bool:
         key = self.start + words
         found = self._set(zlib.crc32(key)) and self._set(xxhash.xxh64_intdigest(key, seed=HASH_SEED))
-        if len(self) >= MOST_HELD:
+        if len(self) >= MOST_ANSWERS:
             self.clear()
             self[MARK] = False
         self[words] = found
@@ -148,8 +148,8 @@ def first_words(key: bytes) -> bytes:
 
 def _counted(
     batches: Iterator[pa.RecordBatch], sequences: Callable[[bytes], Callable[[bytes], Iterable[bytes]]]
-) -> Iterator[dict[bytes, int]]:
-    """Keys of (lang, text) with their counts, some hundred thousand at once.
+) -> Iterator[tuple[bytes, Counter]]:
+    """The start of a language's keys and what follows it, with counts; some hundred thousand are held at once.
 
     ``sequences`` gets the start of a language's keys and returns what makes the sequences of a text.
     """
@@ -162,16 +162,15 @@ def _counted(
                 of_text[start] = sequences(start)
             held.setdefault(start, Counter()).update(of_text[start](text.as_py()))
             if sum(map(len, held.values())) >= MOST_HELD:
-                yield {start + key: n for start, counts in held.items() for key, n in counts.items()}
+                yield from held.items()
                 held.clear()
-    if held:
-        yield {start + key: n for start, counts in held.items() for key, n in counts.items()}
+    yield from held.items()
 
 
-def _count_rows(found: dict[bytes, int], words: int) -> pa.RecordBatch:
+def _count_rows(start: bytes, found: Counter, words: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(
         {
-            "key": pa.array(found, pa.binary()), "words": pa.array(np.full(len(found), words), pa.int32()),
+            "key": pa.array((start + key for key in found), pa.binary()), "words": pa.array(np.full(len(found), words), pa.int32()),
             "n": pa.array(found.values(), pa.int64()),
         }
     )
@@ -179,12 +178,9 @@ def _count_rows(found: dict[bytes, int], words: int) -> pa.RecordBatch:
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words, and with 0 words how many a language has."""
-    for found in _counted(batches, lambda start: all_words):
-        totals: Counter = Counter()
-        for key, n in found.items():
-            totals[key.split(SEPARATOR, 1)[0]] += n
-        yield _count_rows(found, 1)
-        yield _count_rows(totals, 0)
+    for start, found in _counted(batches, lambda start: all_words):
+        yield _count_rows(start, found, 1)
+        yield _count_rows(start.removesuffix(SEPARATOR), Counter({b"": found.total()}), 0)
 
 
 def _pair_rows(word_bits: bytes):
@@ -202,8 +198,8 @@ def _pair_rows(word_bits: bytes):
         return pairs
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in _counted(batches, sequences):
-            yield _count_rows(found, 2)
+        for start, found in _counted(batches, sequences):
+            yield _count_rows(start, found, 2)
 
     return of_batches
 
@@ -214,16 +210,16 @@ def _window_rows(longest: int, word_bits: bytes, pair_bits: bytes, hot: frozense
         return lambda text: cut_windows(marked_words(text), word, pair, longest)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in _counted(batches, sequences):
+        for start, found in _counted(batches, sequences):
             routes, salted = [], []
-            for key in found:
-                start = first_words(key)
-                salted.append(start in hot)
-                routes.append(zlib.crc32(key if salted[-1] else start) >> 1)
+            for window in found:
+                first = first_words(start + window)
+                salted.append(first in hot)
+                routes.append(zlib.crc32(start + window if salted[-1] else first) >> 1)
             yield pa.RecordBatch.from_pydict(
                 {
                     "route": pa.array(routes, pa.int32()), "salted": pa.array(salted),
-                    "key": pa.array(found, pa.binary()), "n": pa.array(found.values(), pa.int64()),
+                    "key": pa.array((start + window for window in found), pa.binary()), "n": pa.array(found.values(), pa.int64()),
                 }
             )
 
