@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from almanac.functions import keys, text
 from almanac.models import classifiers, forest
 from almanac.models.caching import cached
-from almanac.operators import calendars, indexing, joins, keying, metrics, quantiles, reshape, routing, runlog, scaling, splits
+from almanac.operators import calendars, indexing, joins, keying, metrics, quantiles, reshape, routing, runlog, scaling, sparse, splits
 from almanac.plans import digits, weather
 from almanac.plans.inputs import daily, observations, runs, table, vectors
 from almanac.sinks import tables
@@ -22,6 +22,7 @@ from almanac.sinks.files import write_csv
 from almanac.sources import files
 from almanac.staging import new_folder, stage
 from almanac.streaming.listener import deliver, hand_over, listen, listen_once
+from almanac.streaming.slots import count_slots, late_rows, slot_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -398,6 +399,48 @@ def compare_predictors(spark, sf):
     return metrics.compare_predictors(tall, "quality")
 
 
+def thinned(spark: SparkSession, sf: str) -> DataFrame:
+    """(id, label, features): vectors in which weights below 0.05 are 0, in dense form."""
+    weight = lambda x: F.when(F.abs(x.cast("double")) < 0.05, 0.0).otherwise(x.cast("double"))
+    return vectors(spark, sf).select("id", "label", F.transform("features", weight).alias("features"))
+
+
+def sparse_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return thinned(spark, sf).withColumn("features", sparse.to_sparse("features"))
+
+
+@query
+def sparse_feature_stats(spark, sf):
+    stats = sparse.sparse_feature_stats(sparse_vectors(spark, sf), "features")
+    return stats.select("pos", F.round("mean", 6).alias("m"), F.round("sd", 6).alias("sd"))
+
+
+@query
+def sparse_zero_share(spark, sf):
+    return sparse.sparse_zero_share(sparse_vectors(spark, sf), "features")
+
+
+@query
+def sparse_products(spark, sf):
+    """Inner product of each standardised vector with falling weights; no vector is filled in."""
+    samples = sparse_vectors(spark, sf)
+    stats = stage(sparse.sparse_feature_stats(samples, "features"), "sparse-stats")
+    weights = stats.select("pos", (1.0 / (F.col("pos") + 1)).alias("weight"))
+    products = sparse.standardized_products(samples, "id", "features", stats, weights)
+    return products.select("id", F.round("product", 6).alias("product"))
+
+
+@query
+def sparse_csv(spark, sf):
+    """Vectors through wide numeric files; the numbers that are not zero are read back."""
+    folder = new_folder(spark, "sparse-csv")
+    samples = thinned(spark, sf)
+    wide = width(samples)
+    write_csv(reshape.array_to_columns(samples, "features", wide), folder)
+    read = files.read_sparse_csv(spark, folder, wide, samples.select("id", "label").schema)
+    return sparse.entries(read, "features", "id", "label")
+
+
 # --- files and tables ---------------------------------------------------------------------
 
 
@@ -494,6 +537,22 @@ def listener_ledger(spark, sf):
     return taken.join(archived, "event_type").select("event_type", "n", "archived")
 
 
+@query
+def streamed_slots(spark, sf):
+    """Events counted in slots of 4 hours as they arrive; errors come a delivery later, those of closed slots too late."""
+    inbox, sink, late, checkpoint = (new_folder(spark, name) for name in ("slots-inbox", "slots", "late", "slots-checkpoint"))
+    events = table(spark, sf, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    for delivery in (events.where("event_type <> 'error'"), events.where("event_type = 'error' OR event_type IS NULL")):
+        delivery.write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 100_000).parquet(inbox)
+        count_slots(stream, "ts", "4 hours", "30 days", sink, late, checkpoint, trigger=None).awaitTermination()
+    slot = F.window("ts", "4 hours")["start"].alias("slot")
+    missed = late_rows(spark, late).groupBy(slot).agg(F.count("*").alias("late"))
+    return slot_counts(spark, sink).join(missed, "slot", "full").select(
+        F.col("slot").cast("timestamp_ntz").alias("slot"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("late", F.lit(0)).alias("late")
+    )
+
+
 # --- fitted models ------------------------------------------------------------------------
 
 

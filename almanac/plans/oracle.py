@@ -19,6 +19,9 @@ _LONG = """(
     FROM embeddings)"""
 
 
+_THIN = f"(SELECT vec_id, label, pos, CASE WHEN abs(x) < 0.05 THEN 0.0::DOUBLE ELSE x END AS x FROM {_LONG} JOIN embeddings USING (vec_id))"
+
+
 def _hex(digest: str, digits: int) -> str:
     return f"CAST(('0x' || substr({digest}, 1, {digits})) AS BIGINT)"
 
@@ -230,6 +233,25 @@ ORACLE: dict[str, str] = {
     "zero_share": f"""
         SELECT pos, round(avg(CASE WHEN abs(x) < 0.05 THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS zero_pct
         FROM {_LONG} GROUP BY pos""",
+    "sparse_feature_stats": f"""
+        SELECT pos, round(avg(x), 6) AS m, round(stddev_pop(x), 6) AS sd FROM {_THIN} GROUP BY pos""",
+    "sparse_zero_share": f"""
+        SELECT pos, round(avg(CASE WHEN x = 0 THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS zero_pct FROM {_THIN} GROUP BY pos""",
+    "sparse_products": f"""
+        SELECT vec_id AS id, round(sum((x - m) / CASE WHEN sd = 0 THEN 1 ELSE sd END / (pos + 1)), 6) AS product
+        FROM {_THIN} JOIN (SELECT pos, avg(x) AS m, stddev_pop(x) AS sd FROM {_THIN} GROUP BY pos) USING (pos)
+        GROUP BY vec_id""",
+    "sparse_csv": f"SELECT vec_id AS id, label, pos, x FROM {_THIN} WHERE x <> 0",
+    "streamed_slots": f"""
+        WITH arrived AS (
+            SELECT {_slots('4 hours')} AS slot, event_type IS NULL OR event_type = 'error' AS second FROM events WHERE ts IS NOT NULL
+        ), judged AS (
+            SELECT slot, second AND slot + INTERVAL 4 HOURS
+                   <= (SELECT max(ts) FROM events WHERE event_type <> 'error') - INTERVAL 30 DAY AS late
+            FROM arrived
+        )
+        SELECT slot, count(*) FILTER (NOT coalesce(late, false)) AS n, count(*) FILTER (late) AS late
+        FROM judged GROUP BY slot""",
     "accuracy": """
         SELECT round(avg(CASE WHEN doc_id % 2 = quality THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS acc,
                count(*) AS n

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from almanac.operators.sparse import to_sparse
+
 # The columns of a station file, in file order.
 STATION_SCHEMA = T.StructType(
     [
@@ -55,6 +57,13 @@ def read_matrix_csv(
     return wide.select(*keys.names, F.array(*[f.name for f in numbers]).alias(name))
 
 
+def read_sparse_csv(
+    spark: SparkSession, path: str, width: int, keys: T.StructType, name: str = "features", prefix: str = "p"
+) -> DataFrame:
+    """The same file with vectors in the form of :mod:`almanac.operators.sparse`; zeros are gone before any shuffle."""
+    return read_matrix_csv(spark, path, width, keys, name, prefix).withColumn(name, to_sparse(name))
+
+
 def file_inventory(spark: SparkSession, directory: str) -> DataFrame:
     """(path, modificationTime, length) of all files below a directory; reads no content."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory)
