@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from almanac.llm.apart import own_columns_apart
+
 UNDETERMINED = "und"
 
 # Longest context in bytes; a gram of ORDER + 1 bytes fits a 64-bit number.
@@ -204,6 +206,7 @@ def train_folds(docs: DataFrame, folds: int = FOLDS, order: int = ORDER, most_by
     return [of_fold(fold) for fold in range(folds)]
 
 
+@own_columns_apart
 def predict(docs: DataFrame, trees: Trees) -> DataFrame:
     """``docs`` with lang_pred, score (share of the best code's probability per byte) and bits_per_byte (of that code)."""
     return _predicted(docs, trees, scored)

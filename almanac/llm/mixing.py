@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from almanac.llm.apart import own_columns_apart
 from almanac.operators.indexing import with_row_index
 from almanac.staging import stage
 
@@ -78,6 +79,7 @@ def targets(sources: DataFrame, weights: tuple[float, ...], most_epochs: int) ->
     )
 
 
+@own_columns_apart
 def mix(
     docs: DataFrame,
     weights: tuple[float, ...] = (1.0, 2.0, 3.0),

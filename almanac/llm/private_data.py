@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanac.llm import spans
+from almanac.llm.apart import own_columns_apart
 from almanac.staging import stage
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -220,6 +221,7 @@ def sanitised_text(text: Column, found: Column) -> Column:
     return F.when(F.size(found) > 0, spans.let(F.array_sort(found), rewritten)).otherwise(text)
 
 
+@own_columns_apart
 def sanitise(
     docs: DataFrame,
     context: int = CONTEXT,

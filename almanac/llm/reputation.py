@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from almanac.llm.apart import own_columns_apart
 from almanac.staging import stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -119,6 +120,7 @@ def reputation(outcomes: DataFrame) -> DataFrame:
     )
 
 
+@own_columns_apart
 def judge(
     pages: DataFrame,
     labels: DataFrame,

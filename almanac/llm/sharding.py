@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from almanac.llm.apart import own_columns_apart
 from almanac.llm.packing_tree import best_fit_decreasing
 from almanac.staging import stage
 
@@ -61,6 +62,7 @@ def _pack(items: list[tuple[int, int]], shards: int | None, capacity: int | None
     return best_fit_decreasing(items, high)
 
 
+@own_columns_apart
 def assign(
     docs: DataFrame, shards: int | None = None, capacity: int | None = None, pieces: int = PIECES
 ) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almanac.llm import golay
+from almanac.llm.apart import own_columns_apart
 from almanac.llm.components import components
 from almanac.staging import stage
 
@@ -189,6 +190,7 @@ def _placed(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, Da
     return marked, placed
 
 
+@own_columns_apart
 def cluster(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = golay.MAX_BITS) -> DataFrame:
     """``docs`` with fingerprint (16 hex digits) and component_id (smallest ``doc_id`` it is linked to)."""
     marked, placed = _placed(docs, shingle, max_bits)

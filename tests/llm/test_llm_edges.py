@@ -36,7 +36,8 @@ ROWS = [
 # Names that operators use for their own columns.
 CLASHING = (
     "size", "target", "taken", "tail", "epochs", "source_size", "shard", "slot", "fingerprint", "component_id", "lang_pred",
-    "score", "bits_per_byte", "spans", "sanitised", "n_words", "n_hit", "n_items", "items", "contaminated", "key", "rows", "root",
+    "score", "bits_per_byte", "spans", "__row", "__base", "__terms", "__told", "__print", "__of", "__root", "__kept", "__doc",
+    "__key", "__range", "__cut", "__side", "__group", "__item", "__unit", "__found", "__new", "__scored", "given", "sanitised", "n_words", "n_hit", "n_items", "items", "contaminated", "key", "rows", "root",
 )
 
 
@@ -210,6 +211,26 @@ def test_searching_in_parts_finds_the_same(odd, benchmark):
     assert whole == parts
 
 
+def test_searching_in_parts_writes_texts_once(odd, benchmark, monkeypatch):
+    written, stage = [], decontaminate.stage
+
+    def noted(df, label):
+        written.append((label, "text" in df.columns))
+        return stage(df, label)
+
+    monkeypatch.setattr(decontaminate, "stage", noted)
+    assert decontaminate.find_leaks(odd, benchmark, most_bytes=20).count() == len(ROWS)
+    assert len(written) > 3 and [label for label, texts in written if texts] == ["leak-documents"]
+
+
+def test_a_part_of_the_benchmark_is_built_once_in_a_worker():
+    items = [("a", b"one two three"), ("b", b"one two four")]
+    first = decontaminate.tables_of("part", items, 2)
+    assert decontaminate.tables_of("part", items, 2) is first
+    assert decontaminate.tables_of("next part", items, 2) is not first
+    assert first.occurrences([b"zero", b"one", b"two", b"four"]) == ([1, 4], {"a", "b"})
+
+
 def test_shard_values(odd):
     rows = sharding.assign(odd, shards=3).collect()
     assert {r["size"] for r in rows if r.text is None} == {8}

@@ -148,14 +148,18 @@ WORDS = st.lists(st.sampled_from(["a", "b", "c"]), max_size=40)
 @settings(max_examples=200, deadline=None)
 def test_search_equals_comparing_everywhere(words, items, window):
     texts = [(str(i), " ".join(item).encode()) for i, item in enumerate(items)]
-    patterns = decontaminate.patterns_of(texts, window)
+    patterns = {}
+    for name, text in texts:
+        item = text.split()
+        for at in range(max(1, len(item) - window + 1) if item else 0):
+            patterns.setdefault(tuple(item[at : at + window]), set()).add(name)
     hits, names = set(), set()
     for pattern, owners in patterns.items():
         for at in range(len(words) - len(pattern) + 1):
             if tuple(w.encode() for w in words[at : at + len(pattern)]) == pattern:
                 hits |= set(range(at, at + len(pattern)))
                 names |= set(owners)
-    ranges, found = decontaminate.occurrences([w.encode() for w in words], decontaminate.searchers(patterns))
+    ranges, found = decontaminate.Tables(texts, window).occurrences([w.encode() for w in words])
     covered = {x for a, b in zip(ranges[::2], ranges[1::2], strict=True) for x in range(a, b)}
     assert (covered, found) == (hits, names)
 
