@@ -119,20 +119,27 @@ class Searcher:
     def _slot(self, before, last):
         return (before * MIX + last) & self.mask
 
-    def search(self, text: array, words: array) -> Iterator[tuple[int, array]]:
-        """(first word, items) of every occurrence in ``text``, from left to right; patterns are in ``words``."""
-        length, shift, mask, back = self.length, self.shift, self.mask, self.block - 1
-        last, n = length - 1, len(text)
+    def search(self, text: list[bytes], numbers: dict[bytes, int], words: array) -> Iterator[tuple[int, array]]:
+        """(first word, items) of every occurrence in ``text``, from left to right; patterns are in ``words``.
+
+        Only words of blocks that the search stops at are looked up, and those of places that may be occurrences.
+        """
+        length, shift, mask, furthest, back = self.length, self.shift, self.mask, self.furthest, self.block - 1
+        last, n, number = length - 1, len(text), numbers.get
         while last < n:
-            before, final = text[last - back], text[last]
-            jump = shift[(before * MIX + final) & mask]
+            final, before = number(text[last]), number(text[last - back])
+            # A word that stands in no pattern makes a block that stands in none.
+            jump = furthest if final is None or before is None else shift[(before * MIX + final) & mask]
             if jump:
                 last += jump
                 continue
             start = last - length + 1
-            for pattern in self._bucket(before << 32 | final, text[start]):
+            first = number(text[start])
+            bucket = range(0) if first is None else self._bucket(before << 32 | final, first)
+            found = array("i", [number(w, -1) for w in text[start : last + 1]]) if bucket else None
+            for pattern in bucket:
                 at = self.starts[pattern]
-                if words[at : at + length] == text[start : last + 1]:
+                if words[at : at + length] == found:
                     yield start, self.owners[self.owned[pattern] : self.owned[pattern + 1]]
                     break
             last += 1
@@ -171,11 +178,9 @@ class Tables:
 
     def occurrences(self, words: list[bytes]) -> tuple[list[int], set[str]]:
         """Hit words as merged ranges [start, end, start, end, ...], and the items found."""
-        unknown, number = len(self.numbers), self.numbers.get
-        text = array("i", [number(w, unknown) for w in words])
         ranges, items = [], set()
         for searcher in self.searchers:
-            for start, owners in searcher.search(text, self.words):
+            for start, owners in searcher.search(words, self.numbers, self.words):
                 ranges.append((start, start + searcher.length))
                 items.update(owners)
         return merged(ranges), {self.names[i] for i in items}
