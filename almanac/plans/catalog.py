@@ -545,7 +545,7 @@ def streamed_slots(spark, sf):
     for delivery in (events.where("event_type <> 'error'"), events.where("event_type = 'error' OR event_type IS NULL")):
         delivery.write.mode("append").parquet(inbox)
         stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 100_000).parquet(inbox)
-        count_slots(stream, "ts", "4 hours", "30 days", sink, late, checkpoint, trigger=None).awaitTermination()
+        count_slots(stream, "ts", "4 hours", "10 days", sink, late, checkpoint, trigger=None).awaitTermination()
     slot = F.window("ts", "4 hours")["start"].alias("slot")
     missed = late_rows(spark, late).groupBy(slot).agg(F.count("*").alias("late"))
     return slot_counts(spark, sink).join(missed, "slot", "full").select(

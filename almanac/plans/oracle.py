@@ -247,7 +247,7 @@ ORACLE: dict[str, str] = {
             SELECT {_slots('4 hours')} AS slot, event_type IS NULL OR event_type = 'error' AS second FROM events WHERE ts IS NOT NULL
         ), judged AS (
             SELECT slot, second AND slot + INTERVAL 4 HOURS
-                   <= (SELECT max(ts) FROM events WHERE event_type <> 'error') - INTERVAL 30 DAY AS late
+                   <= (SELECT max(ts) FROM events WHERE event_type <> 'error') - INTERVAL 10 DAY AS late
             FROM arrived
         )
         SELECT slot, count(*) FILTER (NOT coalesce(late, false)) AS n, count(*) FILTER (late) AS late
