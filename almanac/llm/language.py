@@ -13,7 +13,7 @@ Statistics stay as trained while a text is scored.  Texts are reduced to their l
 case, other characters to single blanks.
 
 Training counts on a sample of at most about ``MOST_BYTES`` of text for each language (documents
-drawn by a hash of id and text, whole texts), summed in Spark.  The trees are bounded by that sample.
+drawn by a hash of the text, whole texts), summed in Spark.  The trees are bounded by that sample.
 
 Whether a text is readable is never judged by trees that hold its own grams: texts fall into two
 folds by a hash of their letters, so copies share a fold, and each fold is judged by the other's trees.
