@@ -307,3 +307,12 @@ def test_labels_decide_where_no_rule_fits(spark):
     labels = pages.select("page_id", (F.col("page_id") < 30).alias("good"))
     rows = reputation.judge(pages, labels).collect()
     assert {(r.host, r.verdict) for r in rows} == {("fine.org", "allow"), ("spam.net", "block")}
+
+
+def test_pages_keep_columns_named_like_an_operators_own(spark):
+    pages = spark.createDataFrame([(1, "http://a.b/c", "given"), (2, None, None)], "page_id bigint, url string, __host string")
+    labels = spark.createDataFrame([(1, True)], "page_id bigint, good boolean")
+    plain = reputation.judge(pages.drop("__host"), labels)
+    rows = {r.page_id: r.asDict() for r in reputation.judge(pages, labels).collect()}
+    assert {i: r.pop("__host") for i, r in rows.items()} == {1: "given", 2: None}
+    assert rows == {r.page_id: r.asDict() for r in plain.collect()}
