@@ -32,8 +32,8 @@ def test_every_sql_belongs_to_a_query():
 
 def test_only_fitted_values_go_without_sql():
     assert UNCHECKED == [
-        "forest_forecast", "forest_forecast_lagged", "forest_validation",
-        "l1_classifier", "l1_hinge_classifier", "linear_svc_classifier", "mlp_classifier", "score_models",
+        "l1_classifier", "l1_hinge_classifier", "linear_svc_classifier", "mlp_classifier", "saga_classifier", "saga_optimality",
+        "score_models", "stochastic_hinge_classifier",
     ]
 
 
