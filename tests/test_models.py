@@ -207,6 +207,25 @@ def test_training_goes_on_until_it_converges(spark):
     assert classifiers.predict(models["l1_logistic"], test).select("prediction").distinct().count() > 1
 
 
+def test_a_small_training_set_lies_in_one_partition_without_lineage(separable):
+    """Every step of a fit is a job: it must not start twelve tasks, nor carry the plan of the split to them."""
+    seen = []
+
+    class Probe:
+        def getMaxIter(self):
+            return classifiers.MOST_STEPS
+
+        def fit(self, rows):
+            seen.append((rows.count(), rows.rdd.getNumPartitions(), rows._jdf.queryExecution().optimizedPlan().toString()))
+            return classifiers.l1_logistic().fit(rows)
+
+    many = separable.repartition(12, "id").withColumn("id", F.col("id") + 0)
+    classifiers.fit_models(many, {"m": Probe()})
+    ((rows, parts, plan),) = seen
+    assert (rows, parts) == (300, 1)
+    assert "Exchange" not in plan
+
+
 def test_a_fit_that_meets_its_cap_is_reported(separable):
     with pytest.warns(RuntimeWarning, match="stopped after 1 steps"):
         classifiers.fit_models(separable, {"m": classifiers.l1_logistic(max_iter=1)})
