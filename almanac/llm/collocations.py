@@ -38,6 +38,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,7 +77,13 @@ HOT_SHARE = 1000
 # Edges of a path in one row.
 PATH_EDGES = 256
 
-WINDOWS_SCHEMA = "route int, salted boolean, key binary, n bigint"
+# Words that a task looks at together, pairs of them that it holds before it counts them, and rows that it hands on at once.
+CHUNK, MOST_PAIRS, MOST_ROWS = 500_000, 6_000_000, 50_000
+
+# Odd number that tells the first word of a pair from the second.
+PLACE_OF_FIRST = 1_000_003
+
+WINDOWS_SCHEMA = "route int, salted boolean, key binary, rest array<binary>, n array<bigint>"
 COUNTS_SCHEMA = "key binary, words int, n bigint"
 
 
@@ -122,6 +129,60 @@ class Frequent(dict):
         return bool(self.bits[at >> 3] >> (at & 7) & 1)
 
 
+class Numbers(Frequent):
+    """Numbers of a language's words whose bits are set, from 1 on as they are met; all others, and marks, are 0."""
+
+    def __init__(self, bits: bytes, start: bytes):
+        super().__init__(bits, start)
+        self.words, self.hashes, self.rare = [b""], [(0, 0)], []
+
+    def __missing__(self, word: bytes) -> int:
+        key = self.start + word
+        hashes = zlib.crc32(key), xxhash.xxh64_intdigest(key, seed=HASH_SEED)
+        number = 0
+        if all(map(self._set, hashes)):
+            number = len(self.words)
+            self.words.append(word)
+            self.hashes.append(tuple(h & 0xFFFFFFFF for h in hashes))
+        else:
+            if len(self.rare) >= MOST_ANSWERS:
+                for rare in self.rare:
+                    del self[rare]
+                self.rare.clear()
+            self.rare.append(word)
+        self[word] = number
+        return number
+
+    def phrases(self, columns: np.ndarray) -> pa.Array:
+        """The words of rows of numbers, joined; 0 stands for no word."""
+        words = pa.array([None, *self.words[1:]], pa.binary())
+        return pc.binary_join_element_wise(*(words.take(pa.array(c)) for c in columns.T), SEPARATOR, null_handling="skip")
+
+
+def frequent_pairs(numbers: Numbers, ids: np.ndarray, pair_bits: np.ndarray) -> np.ndarray:
+    """Whether each word and the next are both numbered and both bits of the pair are set."""
+    both = (ids[:-1] > 0) & (ids[1:] > 0)
+    at = np.flatnonzero(both)
+    for hashes in np.array(numbers.hashes, dtype=np.int64).T:
+        places = (hashes[ids[at]] * PLACE_OF_FIRST + hashes[ids[at + 1]]) % (8 * len(pair_bits))
+        at = at[(pair_bits[places >> 3] >> (places & 7)) & 1 > 0]
+    found = np.zeros(len(ids), dtype=bool)
+    found[at] = True
+    return found
+
+
+def numbered_windows(ids: np.ndarray, joined: np.ndarray, longest: int) -> np.ndarray:
+    """The windows that :func:`cut_windows` finds, as rows of numbers, filled up with 0."""
+    joined = np.append(joined, np.zeros(longest, dtype=bool))
+    starts = np.flatnonzero(joined[:-1] & joined[1:]) if longest >= SHORTEST_WINDOW else np.zeros(0, dtype=np.int64)
+    found = np.zeros((len(starts), longest), dtype=np.int32)
+    goes_on = np.ones(len(starts), dtype=bool)
+    for word in range(longest):
+        goes_on &= joined[starts + word - 1] if word else True
+        found[goes_on, word] = ids[starts[goes_on] + word]
+    return found
+
+
 def cut_windows(words: list[bytes], word: Frequent, pair: Frequent, longest: int) -> list[bytes]:
     """The windows of three to ``longest`` words whose pairs are all frequent, one for each word that starts one."""
     known = list(map(word.__getitem__, words))
@@ -141,11 +202,6 @@ def cut_windows(words: list[bytes], word: Frequent, pair: Frequent, longest: int
     return found
 
 
-def first_words(key: bytes) -> bytes:
-    """Language and up to two words."""
-    return SEPARATOR.join(key.split(SEPARATOR, 3)[:3])
-
-
 def _counted(
     batches: Iterator[pa.RecordBatch], sequences: Callable[[bytes], Callable[[bytes], Iterable[bytes]]]
 ) -> Iterator[tuple[bytes, Counter]]:
@@ -183,52 +239,123 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _count_rows(start.removesuffix(SEPARATOR), Counter({b"": found.total()}), 0)
 
 
-def _pair_rows(word_bits: bytes):
-    def sequences(start: bytes):
-        frequent = Frequent(word_bits, start)
+def _numbered(batches: Iterator[pa.RecordBatch], bits: bytes) -> Iterator[tuple[Numbers, np.ndarray]]:
+    """Texts of one language after the other, as numbers of their words, each with a 0 at its end."""
+    numbers: dict[bytes, Numbers] = {}
+    held: dict[bytes, list[np.ndarray]] = {}
+    sizes: Counter = Counter()
+    for batch in batches:
+        for lang, text in zip(batch.column(0), batch.column(1), strict=True):
+            start = escaped(lang.as_py().encode()) + SEPARATOR
+            if start not in numbers:
+                numbers[start] = Numbers(bits, start)
+            words = marked_words(text.as_py())
+            words.append(MARK)
+            held.setdefault(start, []).append(np.fromiter(map(numbers[start].__getitem__, words), np.int32, len(words)))
+            sizes[start] += len(words)
+            if sizes[start] >= CHUNK:
+                yield numbers[start], np.concatenate(held.pop(start))
+                del sizes[start]
+    for start, texts in held.items():
+        yield numbers[start], np.concatenate(texts)
+
 
-        def pairs(text: bytes) -> list[bytes]:
-            words = marked_words(text)
-            known = list(map(frequent.__getitem__, words))
-            return [
-                first + SEPARATOR + second
-                for a, b, first, second in zip(known, known[1:], words, words[1:], strict=False) if a and b
-            ]
+def _parts(columns: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
+    batch = pa.RecordBatch.from_pydict(columns)
+    for at in range(0, batch.num_rows, MOST_ROWS):
+        yield batch.slice(at, MOST_ROWS)
 
-        return pairs
+
+def _pair_rows(word_bits: bytes):
+    def counted(numbers: Numbers, codes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        pairs, n = np.unique(np.concatenate(codes), return_counts=True)
+        for at in range(0, len(pairs), MOST_ROWS):
+            part = pairs[at : at + MOST_ROWS]
+            phrases = numbers.phrases(np.stack([part >> 32, part & 0xFFFFFFFF], axis=1))
+            keys = pc.binary_join_element_wise(numbers.start.removesuffix(SEPARATOR), phrases, SEPARATOR)
+            yield pa.RecordBatch.from_pydict(
+                {"key": keys, "words": pa.array(np.full(len(part), 2), pa.int32()), "n": pa.array(n[at : at + MOST_ROWS], pa.int64())}
+            )
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for start, found in _counted(batches, sequences):
-            yield _count_rows(start, found, 2)
+        held: dict[bytes, tuple[Numbers, list[np.ndarray]]] = {}
+        size = 0
+        for numbers, ids in _numbered(batches, word_bits):
+            both = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+            held.setdefault(numbers.start, (numbers, []))[1].append(ids[both].astype(np.int64) << 32 | ids[both + 1])
+            size += len(both)
+            if size >= MOST_PAIRS:
+                for of_language in held.values():
+                    yield from counted(*of_language)
+                held.clear()
+                size = 0
+        for of_language in held.values():
+            yield from counted(*of_language)
 
     return of_batches
 
 
 def _window_rows(longest: int, word_bits: bytes, pair_bits: bytes, hot: frozenset[bytes]):
-    def sequences(start: bytes):
-        word, pair = Frequent(word_bits, start), Frequent(pair_bits, start)
-        return lambda text: cut_windows(marked_words(text), word, pair, longest)
+    """One row for each first two words; a row for each window where these are hot."""
+
+    def counted(numbers: Numbers, found: Counter) -> Iterator[pa.RecordBatch]:
+        windows = np.frombuffer(b"".join(found), dtype=np.int32).reshape(-1, longest)
+        order = np.lexsort((windows[:, 1], windows[:, 0]))
+        windows, n = windows[order], np.fromiter(found.values(), np.int64, len(found))[order]
+        new = np.append(True, (windows[1:, :2] != windows[:-1, :2]).any(axis=1))
+        begin = np.flatnonzero(new)
+        firsts = [numbers.start + first for first in numbers.phrases(windows[begin, :2]).to_pylist()]
+        salted = np.fromiter((first in hot for first in firsts), bool, len(firsts))
+        rest = numbers.phrases(windows[:, 2:])
+        group = np.cumsum(new) - 1
+        rows = np.flatnonzero(new | salted[group])
+        keys = [firsts[g] for g in group[rows]]
+        routes = [
+            zlib.crc32(key + SEPARATOR + rest[at].as_py() if salt else key) >> 1
+            for key, at, salt in zip(keys, rows.tolist(), salted[group[rows]].tolist(), strict=True)
+        ]
+        offsets = pa.array(np.append(rows, len(windows)), pa.int32())
+        yield from _parts(
+            {
+                "route": pa.array(routes, pa.int32()), "salted": pa.array(salted[group[rows]]), "key": pa.array(keys, pa.binary()),
+                "rest": pa.ListArray.from_arrays(offsets, rest), "n": pa.ListArray.from_arrays(offsets, pa.array(n)),
+            }
+        )
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for start, found in _counted(batches, sequences):
-            routes, salted = [], []
-            for window in found:
-                first = first_words(start + window)
-                salted.append(first in hot)
-                routes.append(zlib.crc32(start + window if salted[-1] else first) >> 1)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "route": pa.array(routes, pa.int32()), "salted": pa.array(salted),
-                    "key": pa.array((start + window for window in found), pa.binary()), "n": pa.array(found.values(), pa.int64()),
-                }
-            )
+        bits = np.frombuffer(pair_bits, dtype=np.uint8)
+        held: dict[bytes, tuple[Numbers, Counter]] = {}
+        for numbers, ids in _numbered(batches, word_bits):
+            found = numbered_windows(ids, frequent_pairs(numbers, ids, bits), longest)
+            if len(found):
+                held.setdefault(numbers.start, (numbers, Counter()))[1].update(found.view(f"V{found.itemsize * longest}").ravel().tolist())
+            if sum(len(counts) for _, counts in held.values()) >= MOST_HELD:
+                for of_language in held.values():
+                    yield from counted(*of_language)
+                held.clear()
+        for of_language in held.values():
+            yield from counted(*of_language)
 
     return of_batches
 
 
 def set_bits(keys: DataFrame, bits: int) -> bytes:
     """Two bits for each key, by two hashes.  The driver receives rows of 4 KB, ``bits`` / 32768 at most."""
-    places = F.array(F.crc32("key") % bits + 1, F.pmod(F.xxhash64("key"), F.lit(bits)) + 1)
+    return _set_places(keys, F.array(F.crc32("key") % bits + 1, F.pmod(F.xxhash64("key"), F.lit(bits)) + 1), bits)
+
+
+def set_pair_bits(keys: DataFrame, bits: int) -> bytes:
+    """The same for pairs, by the hashes of their words, each after the language."""
+    parts = F.split(F.col("key").cast("string"), SEPARATOR.decode())
+    first, second = (F.concat(parts[0], F.lit(SEPARATOR.decode()), parts[word]).cast("binary") for word in (1, 2))
+
+    def place(hashed: Callable[[Column], Column]) -> Column:
+        return (hashed(first) * PLACE_OF_FIRST + hashed(second)) % bits + 1
+
+    return _set_places(keys, F.array(place(F.crc32), place(lambda word: F.xxhash64(word).bitwiseAND(0xFFFFFFFF))), bits)
+
+
+def _set_places(keys: DataFrame, places: Column, bits: int) -> bytes:
     at = F.col("at")
     rows = (
         keys.select(F.explode(places).alias("at")).select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit"))
@@ -318,6 +445,36 @@ class Runs:
                 yield from self._told(words, held)
 
 
+def sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(windows, counts, salted) in the order of the windows, from rows in the order of their first two words."""
+
+    def told(held: list[pa.RecordBatch]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        rest, n, key = (rows.column(c).combine_chunks() for c in ("rest", "n", "key"))
+        row = np.repeat(np.arange(len(key)), pc.list_value_length(rest).to_numpy())
+        windows = pc.binary_join_element_wise(key.take(pa.array(row)), rest.flatten(), SEPARATOR)
+        order = pc.sort_indices(windows)
+        salted = rows.column("salted").to_numpy()[row]
+        return windows.take(order), n.flatten().to_numpy()[order], salted[order]
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        keys = batch.column("key")
+        if not len(keys):
+            continue
+        # The last key may go on in the next batch.
+        cut = len(keys) - 1
+        while cut and keys[cut - 1] == keys[cut]:
+            cut -= 1
+        if cut or held and keys[0] != held[-1].column("key")[-1]:
+            yield told([*held, batch.slice(0, cut)])
+            held = [batch.slice(cut)]
+        else:
+            held.append(batch)
+    if held:
+        yield told(held)
+
+
 def _prefix_counts(longest: int, least: int):
     def rows(found: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
         keys, words, n = zip(*found, strict=True)
@@ -327,11 +484,9 @@ def _prefix_counts(longest: int, least: int):
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = Runs(longest, least)
-        for batch in batches:
-            if batch.num_rows:
-                salted = batch.column(1).to_numpy(zero_copy_only=False)
-                if found := list(runs.add(batch.column(0), batch.column(2).to_numpy(), salted)):
-                    yield rows(found)
+        for windows, counts, salted in sorted_windows(batches):
+            if len(windows) and (found := list(runs.add(windows, counts, salted))):
+                yield rows(found)
         if found := list(runs.rest()):
             yield rows(found)
 
@@ -349,12 +504,12 @@ def window_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -
     words = stage(added(rows.mapInArrow(_word_rows, COUNTS_SCHEMA)), "word-counts")
     word_bits = set_bits(words.where("words = 1"), WORD_BITS)
     pairs = stage(added(rows.mapInArrow(_pair_rows(word_bits), COUNTS_SCHEMA)), "pair-counts")
-    pair_bits = set_bits(pairs, PAIR_BITS)
+    pair_bits = set_pair_bits(pairs, PAIR_BITS)
     all_pairs = pairs.agg(F.sum("n")).first()[0] or 0
     hot = frozenset(bytes(r["key"]) for r in pairs.where(F.col("n") * HOT_SHARE > all_pairs).select("key").collect())
     spread = rows.mapInArrow(_window_rows(longest, word_bits, pair_bits, hot), WINDOWS_SCHEMA).repartition("route")
     counted = added(
-        spread.sortWithinPartitions("key").select("key", "salted", "n").mapInArrow(_prefix_counts(longest, least), COUNTS_SCHEMA)
+        spread.sortWithinPartitions("key").select("key", "salted", "rest", "n").mapInArrow(_prefix_counts(longest, least), COUNTS_SCHEMA)
     )
     parts = F.split(F.col("key").cast("string"), SEPARATOR.decode())
     return counted.unionByName(words).unionByName(pairs).select(

@@ -212,6 +212,32 @@ def test_pieces_are_cut_at_rare_words_and_pairs():
     assert [w.count(b"\t") + 1 for w in found] == [4, 4, 4, 4, 4, 4, 3, 3] and found[-1] == b"a\tb\tc"
 
 
+def test_windows_of_numbers_are_those_of_words_in_a_row_for_each_first_pair(spark):
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    text = b" ".join(rng.choice([b"a", b"B", b"c", b"d.", b"rare", b"e"]) for _ in range(3000))
+    words = [b"en\t" + w for w in (b"a", b"b", b"c", b"d", b"e")]
+    pairs = [b"en\t" + p for p in (b"a\tb", b"b\tc", b"c\ta", b"a\ta", b"c\td", b"e\ta")]
+    frame = lambda keys: spark.createDataFrame([(k,) for k in keys], "key binary")
+    word_bits = collocations.set_bits(frame(words), 1 << 17)
+    pair_bits = collocations.set_pair_bits(frame(pairs), 1 << 20)
+    word, pair = collocations.Frequent(word_bits, b"en\t"), collocations.Frequent(bytes(1 << 17), b"en\t")
+    pair.update({p[3:]: True for p in pairs})
+    expected = Counter(b"en\t" + w for w in collocations.cut_windows(collocations.marked_words(text), word, pair, 5))
+    batch = pa.RecordBatch.from_pydict({"lang": pa.array(["en"]), "text": pa.array([text])})
+    for hot in (frozenset(), frozenset([b"en\ta\tb"])):
+        rows = [r for b in collocations._window_rows(5, word_bits, pair_bits, hot)(iter([batch])) for r in b.to_pylist()]
+        found = Counter()
+        for r in rows:
+            for rest, n in zip(r["rest"], r["n"], strict=True):
+                found[r["key"] + b"\t" + rest] += n
+        assert found == expected and found.total() > 100
+        assert {r["key"] for r in rows if r["salted"]} == hot
+        cold = [r["key"] for r in rows if not r["salted"]]
+        assert len(cold) == len(set(cold)) < len(found)
+
+
 def test_counts_over_many_small_batches(odd_documents):
     import pyarrow as pa
 
