@@ -19,8 +19,9 @@ The edges that remain are a graph of their own.  Where a node has one edge in an
 they belong to one path, and :func:`compact` stores such an unary path as one row (cut every
 ``PATH_EDGES`` edges).  Candidates of ``LONGEST`` words are the windows of paths, shorter ones the sequences counted.
 
-Skew: windows spread by a hash of their first two words.  Pairs that hold more than 1 / ``HOT_SHARE`` of all frequent
-pairs' occurrences (at most ``HOT_SHARE`` of them) spread by the whole window, and their counts are added up once more.
+Tasks look at words as numbers of their own and hand on windows that start with the same two words in one row, which is sorted where
+it arrives.  Skew: these rows spread by a hash of the two words.  Pairs that hold more than 1 / ``HOT_SHARE`` of all frequent
+pairs' occurrences (at most ``HOT_SHARE`` of them) have a row for each window, spread by the whole of it, and their counts are added up once more.
 
 Score: cutting a phrase after its first k words into parts that occur l and r times scores
 floor(1000 * f * n / (l * r)), in decimals of 38 digits; the cut with the lowest score counts, ties to the smallest k.
