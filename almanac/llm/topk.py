@@ -1,15 +1,17 @@
-"""Exact top-k inner products of integer vectors, term at a time.
+"""Exact top-k inner products of integer vectors, accumulated by terms.
 
 The table is packed into blocks of rows (plain arrays in one row each), written
-once; the query rows are packed again into blocks of their own.  Every pair of a query block and a
-candidate block is one row of a join: a dimension's weights in the candidate block are its
-posting list, and each query that has the dimension adds its weight times the list
-to its row of a dense score array.  The k best of each row are selected, and the
-selections of all blocks are merged by rank.
+once; the query rows are packed again into groups, one row each, of bounded size.
+A task meets one group with the candidate blocks of one part of the table, which it reads
+where they lie: neither blocks nor pairs of blocks are shuffled.  A dimension's weights in a
+candidate block are its posting list, and each query that has the dimension adds its weight times the list
+to its row of a dense score array; dimensions that one side lacks are left out.  Each query keeps its k best so
+far, so of a later score array only the scores that reach the least of these are looked at.  The selections of
+all parts are merged by rank.
 
 A component x becomes floor(``SCALE`` * x).  Vectors may differ in length; a missing
-dimension weighs nothing.  Scores are exact: blocks whose weights or products could leave 32 or 64 bits are kept and
-accumulated in wider numbers, if need be in Python's whole numbers.  A score among the results that does not fit into
+dimension weighs nothing.  Scores are exact: they are accumulated in floats while all sums stay below the
+whole numbers that these hold, else in 64 bits, if need be in Python's whole numbers.  A score among the results that does not fit into
 64 bits is an error.
 
 Nulls and odd rows: a vector that is null, or holds a null or a non-finite component, takes no part; nor does a row with a null id.
@@ -25,8 +27,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.staging import stage
@@ -34,28 +37,42 @@ from almanac.staging import stage
 # Weights per unit, queries are rows whose id is divisible by QUERY_STEP, results per query.
 SCALE, QUERY_STEP, K = 64.0, 20, 20
 
-# Rows of a candidate block and of a query block; queries and candidates scored at once.
-ROWS, QUERIES = 8192, 512
-TILE_QUERIES, TILE_ROWS = 32, 2048
+# Rows of a candidate block and of a query block, and bytes of a candidate block; queries and candidates scored at once.
+ROWS, QUERIES, BLOCK_BYTES = 8192, 512, 8 << 20
+TILE_QUERIES, TILE_ROWS = 256, 1024
 
-BLOCK_SCHEMA = "block bigint, n int, wide boolean, ids binary, weights binary, uids binary"
+# Queries of a group and bytes of their weights (4 each), which a worker holds; scores of a task.
+GROUP_QUERIES, GROUP_BYTES, TASK_SCORES = 32768, 8 << 20, 10**11
+
+# Weights are kept in as many bytes as they need; 0 stands for pickled whole numbers of any size.
+BLOCK_SCHEMA = "block bigint, n int, width int, bytes int, ids binary, weights binary, uids binary"
+NARROW = {1: "<i1", 2: "<i2", 4: "<i4"}
+
+LEAST, MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 
 def _block(number: int, ids: np.ndarray, weights: np.ndarray, uids: np.ndarray) -> pa.RecordBatch:
     wide = weights.dtype == object
+    size = 0 if wide else next(size for size in NARROW if size == 4 or _largest(weights) < 1 << 8 * size - 1)
     return pa.RecordBatch.from_pydict(
         {
             "block": pa.array([number], pa.int64()), "n": pa.array([len(ids)], pa.int32()),
-            "wide": [wide], "ids": [ids.astype("<i8").tobytes()],
-            "weights": [pickle.dumps(weights) if wide else weights.astype("<i4").tobytes()], "uids": [uids.astype("<i8").tobytes()],
+            "width": pa.array([weights.shape[1]], pa.int32()), "bytes": pa.array([size], pa.int32()),
+            "ids": [ids.astype("<i8").tobytes()],
+            "weights": [pickle.dumps(weights) if wide else weights.astype(NARROW[size]).tobytes()], "uids": [uids.astype("<i8").tobytes()],
         }
     )
 
 
-def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _arrays(batch: pa.RecordBatch, row: int, side: str = "") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    value = {x: batch.column(f"{side}{x}")[row] for x in ("n", "width", "bytes", "ids", "weights", "uids")}
+    n, width, size = (value[x].as_py() for x in ("n", "width", "bytes"))
     # Pickled weights were written by this module's own tasks.
-    weights = pickle.loads(row["weights"]) if row["wide"] else np.frombuffer(row["weights"], "<i4").reshape(row["n"], -1)
-    return np.frombuffer(row["ids"], "<i8"), weights, np.frombuffer(row["uids"], "<i8")
+    if size:
+        weights = np.frombuffer(value["weights"].as_buffer(), NARROW[size]).reshape(n, width)
+    else:
+        weights = pickle.loads(value["weights"].as_py())
+    return np.frombuffer(value["ids"].as_buffer(), "<i8"), weights, np.frombuffer(value["uids"].as_buffer(), "<i8")
 
 
 def weighted(ids: pa.Array, vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -83,8 +100,10 @@ def pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidate blocks of a partition; a row's uid is its block and place."""
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
-        for at in range(0, batch.num_rows, ROWS):
-            ids, weights = weighted(batch.column(0).slice(at, ROWS), batch.column(1).slice(at, ROWS))
+        widest = pc.max(pc.list_value_length(batch.column(1))).as_py() or 1
+        rows = max(1, min(ROWS, BLOCK_BYTES // (4 * widest)))
+        for at in range(0, batch.num_rows, rows):
+            ids, weights = weighted(batch.column(0).slice(at, rows), batch.column(1).slice(at, rows))
             if len(ids):
                 yield _block(number, ids, weights, number * ROWS + np.arange(len(ids)))
                 number += 1
@@ -94,8 +113,8 @@ def _pack_queries(step: int):
     def of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            for row in batch.to_pylist():
-                ids, weights, uids = _arrays(row)
+            for row in range(batch.num_rows):
+                ids, weights, uids = _arrays(batch, row)
                 chosen = ids % step == 0
                 for at in range(0, int(chosen.sum()), QUERIES):
                     held.append(tuple(a[chosen][at : at + QUERIES] for a in (ids, weights, uids)))
@@ -109,6 +128,13 @@ def _pack_queries(step: int):
     return of_blocks
 
 
+def _group_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The query blocks of a partition as one, with the partition as its number."""
+    held = [_arrays(batch, row) for batch in batches for row in range(batch.num_rows)]
+    if held:
+        yield _block(TaskContext.get().partitionId(), *_stacked(held))
+
+
 def _stacked(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     wide = max(w.shape[1] for _, w, _ in parts)
     weights = [np.pad(w, ((0, 0), (0, wide - w.shape[1]))) for _, w, _ in parts]
@@ -119,35 +145,35 @@ def _largest(weights: np.ndarray) -> int:
     return max((abs(int(w)) for w in (weights.min(), weights.max())), default=0) if weights.size else 0
 
 
-def scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """Dense scores, accumulated one dimension after the other."""
+def tiles(queries: np.ndarray, candidates: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first query, first candidate, scores) of tile after tile, accumulated by terms that both sides have."""
     terms = min(queries.shape[1], candidates.shape[1])
-    most = _largest(queries) * _largest(candidates) * terms
-    kind = np.int32 if most < 1 << 31 else np.int64 if most < 1 << 63 else object
-    postings = np.ascontiguousarray(candidates[:, :terms].T.astype(kind))
-    weights = queries[:, :terms].astype(kind)
-    out = np.zeros((len(queries), len(candidates)), dtype=kind)
-    for q in range(0, len(queries), TILE_QUERIES):
-        for c in range(0, len(candidates), TILE_ROWS):
-            tile = out[q : q + TILE_QUERIES, c : c + TILE_ROWS]
-            step = np.empty_like(tile)
-            for term in range(terms):
-                with_term = weights[q : q + TILE_QUERIES, term]
-                if with_term.any():
-                    np.multiply(with_term[:, None], postings[term, c : c + TILE_ROWS], out=step)
-                    np.add(tile, step, out=tile)
-    return out
-
-
-def best(row: np.ndarray, ids: np.ndarray, allowed: np.ndarray, k: int) -> np.ndarray:
+    used = np.flatnonzero((queries[:, :terms] != 0).any(axis=0) & (candidates[:, :terms] != 0).any(axis=0))
+    most = _largest(queries) * _largest(candidates) * len(used)
+    kind = next((k for k, end in ((np.float32, 1 << 24), (np.float64, 1 << 53), (np.int64, 1 << 63)) if most < end), object)
+    postings = np.ascontiguousarray(candidates[:, used].T.astype(kind))
+    weights = np.ascontiguousarray(queries[:, used].astype(kind))
+    for c in range(0, len(candidates), TILE_ROWS):
+        lists = np.ascontiguousarray(postings[:, c : c + TILE_ROWS])
+        for q in range(0, len(queries), TILE_QUERIES):
+            of_queries = weights[q : q + TILE_QUERIES]
+            if kind in (np.float32, np.float64):
+                yield q, c, of_queries @ lists
+                continue
+            tile = np.zeros((len(of_queries), lists.shape[1]), dtype=kind)
+            for term in range(len(used)):
+                tile += of_queries[:, term, None] * lists[term]
+            yield q, c, tile
+
+
+def best(row: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k largest scores, ties to the smaller id."""
-    places = np.flatnonzero(allowed)
+    places = np.arange(len(row))
     if row.dtype == object:
         return np.array(sorted(places, key=lambda place: (-row[place], ids[place], place))[:k], dtype=np.int64)
     if len(places) > k:
-        values = row[places]
-        least = np.partition(values, len(values) - k)[len(values) - k]
-        places = places[values >= least]
+        least = np.partition(row, len(row) - k)[len(row) - k]
+        places = np.flatnonzero(row >= least)
     return places[np.lexsort((ids[places], -row[places].astype(np.int64)))][:k]
 
 
@@ -157,30 +183,96 @@ def _as_long(found: np.ndarray) -> np.ndarray:
     return found.astype(np.int64)
 
 
+class Selection:
+    """The k best candidates so far of each query of a group, by score, id and uid."""
+
+    def __init__(self, ids: np.ndarray, weights: np.ndarray, uids: np.ndarray, k: int):
+        self.ids, self.weights, self.uids, self.k = ids, weights, uids, k
+        self.least = np.full(len(ids), LEAST)
+        nothing = np.zeros(0, dtype=np.int64)
+        self.tiles = [(nothing,) * 4] * -(-len(ids) // TILE_QUERIES)
+        self.waiting, self.sizes = [[] for _ in self.tiles], [0] * len(self.tiles)
+
+    def meet(self, ids: np.ndarray, weights: np.ndarray, uids: np.ndarray) -> None:
+        for q, c, scores in tiles(self.weights, weights):
+            rows, places = self._hits(scores, self.least[q : q + TILE_QUERIES], ids[c : c + TILE_ROWS])
+            found = scores[rows, places]
+            found = found if found.dtype == object else found.astype(np.int64)
+            rows, places = rows + q, places + c
+            other = np.flatnonzero(uids[places] != self.uids[rows])
+            if len(other):
+                tile = q // TILE_QUERIES
+                self.waiting[tile].append((rows[other], found[other], ids[places[other]], uids[places[other]]))
+                self.sizes[tile] += len(other)
+                if self.sizes[tile] * 2 > self.k * len(scores) or len(self.tiles[tile][0]) < self.k * len(scores):
+                    self._merge(tile)
+
+    def _hits(self, scores: np.ndarray, least: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores that may be among the best: not below the least of these, and of no more candidates a query than the k best and itself."""
+        reach = np.arange(len(scores))
+        if scores.dtype != object:
+            hits = np.flatnonzero(scores >= least.astype(scores.dtype)[:, None])
+            rows, places = np.divmod(hits, scores.shape[1])
+            counts = np.bincount(rows, minlength=len(scores))
+            if counts.max(initial=0) <= 4 * self.k:
+                return rows, places
+            reach = np.flatnonzero(counts)
+        chosen = [best(scores[row], ids, self.k + 1) for row in reach]
+        return np.repeat(reach, [len(x) for x in chosen]), np.concatenate(chosen)
+
+    def _merge(self, tile: int) -> None:
+        parts = [self.tiles[tile], *self.waiting[tile]]
+        rows, scores, ids, uids = (np.concatenate([part[i] for part in parts]) for i in range(4))
+        if scores.dtype == object:
+            order = np.array(sorted(range(len(rows)), key=lambda i: (rows[i], -scores[i], ids[i], uids[i])))
+        else:
+            order = np.lexsort((uids, ids, -scores, rows))
+        rows = rows[order]
+        starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+        rank = np.arange(len(rows)) - np.repeat(starts, np.diff(np.r_[starts, len(rows)]))
+        kept = order[rank < self.k]
+        self.tiles[tile] = rows[rank < self.k], scores[kept], ids[kept], uids[kept]
+        full = order[rank == self.k - 1]
+        self.least[rows[rank == self.k - 1]] = [min(max(int(score), LEAST), MOST) for score in scores[full]]
+        self.waiting[tile], self.sizes[tile] = [], 0
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        for tile, waiting in enumerate(self.waiting):
+            if waiting:
+                self._merge(tile)
+            rows, scores, ids, uids = self.tiles[tile]
+            yield pa.RecordBatch.from_pydict(
+                {"query_uid": self.uids[rows], "query_id": self.ids[rows], "vec_id": ids, "vec_uid": uids, "score": _as_long(scores)}
+            )
+
+
 def _score_pairs(k: int):
     def of_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        selections: dict[int, Selection] = {}
         for batch in batches:
-            for row in batch.to_pylist():
-                query_ids, query_weights, query_uids = _arrays({x[2:]: v for x, v in row.items() if x.startswith("q_")})
-                ids, weights, uids = _arrays({x[2:]: v for x, v in row.items() if x.startswith("c_")})
-                found = scores(query_weights, weights)
-                out = {"query_uid": [], "query_id": [], "vec_id": [], "vec_uid": [], "score": []}
-                for q, line in enumerate(found):
-                    places = best(line, ids, uids != query_uids[q], k)
-                    out["query_uid"].append(np.full(len(places), query_uids[q]))
-                    out["query_id"].append(np.full(len(places), query_ids[q]))
-                    out["vec_id"].append(ids[places])
-                    out["vec_uid"].append(uids[places])
-                    out["score"].append(_as_long(line[places]))
-                yield pa.RecordBatch.from_pydict({x: np.concatenate(v) for x, v in out.items()})
+            for row in range(batch.num_rows):
+                group = batch.column("q_block")[row].as_py()
+                if group not in selections:
+                    selections[group] = Selection(*(a.copy() for a in _arrays(batch, row, "q_")), k)
+                selections[group].meet(*_arrays(batch, row, "c_"))
+        for selection in selections.values():
+            yield from selection.batches()
 
     return of_pairs
 
 
-def _numbers(blocks: DataFrame) -> Column:
-    """All block numbers as one constant array: one number for thousands of rows."""
-    listed = ",".join(str(r["block"]) for r in blocks.select("block").orderBy("block").collect())
-    return F.split(F.lit(listed), ",").cast("array<bigint>") if listed else F.array().cast("array<bigint>")
+def _spread(candidates: DataFrame, queries: DataFrame) -> tuple[int, int]:
+    """Into how many groups the queries go, and into how many parts the candidates.
+
+    A group is no larger than its bounds.  Each part gives k results a query, so the queries are split further
+    before the candidates are.
+    """
+    sums = queries.agg(F.sum("n"), F.sum(F.col("n").cast("bigint") * F.col("width") * 4), F.count("n")).first()
+    n, size, blocks = (x or 0 for x in sums)
+    rows = candidates.agg(F.sum("n")).first()[0] or 0
+    tasks = 2 * candidates.sparkSession.sparkContext.defaultParallelism
+    groups = max(1, -(-n // GROUP_QUERIES), -(-size // GROUP_BYTES), min(tasks, blocks))
+    return groups, max(1, -(-tasks // groups), -(-rows * n // (groups * TASK_SCORES)))
 
 
 def search(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP) -> DataFrame:
@@ -188,13 +280,12 @@ def search(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP) -> Data
     rows = vectors.select(F.col("vec_id").cast("bigint"), F.col("embedding").cast("array<double>"))
     candidates = stage(rows.mapInArrow(pack_rows, BLOCK_SCHEMA), "candidate-blocks")
     queries = stage(candidates.mapInArrow(_pack_queries(query_step), BLOCK_SCHEMA), "query-blocks")
-    # Each block names the blocks of the other side it meets; the pairs spread over the cluster by both numbers.
-    numbers = {side: _numbers(blocks) for side, blocks in (("c", candidates), ("q", queries))}
-    left = candidates.select(*[F.col(c).alias(f"c_{c}") for c in candidates.columns]).withColumn("q", F.explode(numbers["q"]))
-    right = queries.select(*[F.col(c).alias(f"q_{c}") for c in queries.columns]).withColumn("c", F.explode(numbers["c"]))
-    pairs = left.join(right, (F.col("c_block") == F.col("c")) & (F.col("q") == F.col("q_block"))).select(
-        *[f"{side}_{c}" for side in "cq" for c in ("n", "wide", "ids", "weights", "uids")]
-    )
+    groups, parts = _spread(candidates, queries)
+    grouped = stage(queries.repartition(groups).mapInArrow(_group_queries, BLOCK_SCHEMA), "query-groups")
+    # A task for each group and part; the groups were numbered from 0.
+    left = candidates.coalesce(parts).select(*[F.col(c).alias(f"c_{c}") for c in candidates.columns])
+    right = grouped.repartitionById(groups, F.col("block").cast("int")).select(*[F.col(c).alias(f"q_{c}") for c in grouped.columns])
+    pairs = left.crossJoin(right.hint("shuffle_replicate_nl"))
     found = pairs.mapInArrow(
         _score_pairs(k), "query_uid bigint, query_id bigint, vec_id bigint, vec_uid bigint, score bigint"
     )
