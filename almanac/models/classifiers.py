@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Iterator, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 
 from almanac.models.caching import cached
 from almanac.models.hinge import L1Hinge, L1HingeModel
+from almanac.models.perceptron import PackedPerceptron
 from almanac.models.standardiser import fit_standardiser
 from almanac.models.stochastic import PLACE, SagaL1Logistic, StochasticL1Hinge, content_hash
 from almanac.operators import metrics
@@ -85,13 +88,20 @@ def perceptron(layers: Sequence[int], seed: int = 0, max_iter: int = MOST_STEPS)
     )
 
 
+def packed_perceptron(layers: Sequence[int], seed: int = 0, max_iter: int = MOST_STEPS) -> Estimator:
+    """The objective and the steps of :func:`perceptron`, taken on packed rows; only sums round otherwise."""
+    return PackedPerceptron(
+        featuresCol="scaled", labelCol="label", layers=list(layers), seed=seed, tol=TOLERANCE, maxIter=max_iter
+    )
+
+
 def fit_models(train: DataFrame, estimators: dict[str, Estimator]) -> dict[str, PipelineModel]:
     """Fit every estimator on one scaled training set in memory; each model carries the scaler.
 
     The training rows are kept while they are scaled, the scaled ones while models pass over them.  These
     are written once without their lineage, which every job of a fit would carry to its tasks.  They keep
-    their partitions: other sums would round otherwise, and a perceptron end elsewhere.  A fit that took no
-    step, or was stopped by its cap on steps, is reported as a warning.
+    their partitions: other sums would round otherwise, and a perceptron end elsewhere.  The fits run side by side, since
+    each waits for many short jobs.  A fit that took no step, or was stopped by its cap on steps, is reported as a warning.
     """
     labelled = train.select("features", F.col("label").cast("double").alias("label"))
     # The stochastic solvers go by the order of a hash of the rows as they were given.
@@ -99,8 +109,9 @@ def fit_models(train: DataFrame, estimators: dict[str, Estimator]) -> dict[str,
     with cached(rows) as kept:
         scaling = fit_scaling(kept)
         whole = checkpointed(scaling.transform(kept).select("scaled", "label", PLACE))
-    with cached(whole) as scaled:
-        fitted = {name: estimator.fit(scaled) for name, estimator in estimators.items()}
+    with cached(whole) as scaled, ThreadPool(max(1, len(estimators))) as pool:
+        fit = inheritable_thread_target(train.sparkSession)(lambda name: estimators[name].fit(scaled))
+        fitted = dict(zip(estimators, pool.map(fit, estimators), strict=True))
     for name, model in fitted.items():
         for steps in steps_taken(model):
             if not isinstance(estimators[name], StochasticL1Hinge) and not 0 < steps < _most_steps(estimators[name]):
@@ -112,7 +123,7 @@ def steps_taken(model: Model) -> list[int]:
     """Steps of each fit inside a model just trained."""
     if isinstance(model, OneVsRestModel):
         return [single.summary().totalIterations for single in model.models]
-    if isinstance(model, L1HingeModel):
+    if isinstance(model, L1HingeModel) or hasattr(model, "passes"):
         return [model.passes]
     summary = model.summary() if callable(model.summary) else model.summary
     return [summary.totalIterations]
